@@ -1,11 +1,12 @@
 """Raw -> staging cleaning.
 
-Order of steps follows the source pipeline: drop incomplete rows, keep
-positive closes and non-negative volumes, parse the date, round prices to
-4 dp, stamp the ingestion time, de-duplicate on (symbol, date). Two fixes:
-values are cast to the declared types with ``try_cast`` first (D8; bad values
-become NULL and are dropped by step 1), and de-duplication is deterministic
-(D6). All steps are narrow except the de-dup, which is one aggregation.
+Steps of the source pipeline: drop incomplete rows, keep positive closes and
+non-negative volumes, parse the date, round prices to 4 dp, stamp the
+ingestion time, de-duplicate on (symbol, date). Two fixes: values are cast to
+the declared types and the date is parsed *first*, with ``try_cast`` /
+``try_to_date`` (D8, D9), so a bad value or date becomes NULL and is dropped by
+the completeness check instead of reaching staging; and de-duplication is
+deterministic (D6). All steps are narrow except the de-dup, one aggregation.
 """
 
 from __future__ import annotations
@@ -90,10 +91,10 @@ def clean(raw: DataFrame, ingested_at: dt.datetime | str | Column | None = None,
     """
     return (
         raw.transform(cast_declared)
+        .transform(parse_date)
         .transform(drop_incomplete)
         .transform(positive_close)
         .transform(non_negative_volume)
-        .transform(parse_date)
         .transform(round_prices)
         .transform(lambda d: stamp_ingestion(d, ingested_at))
         .transform(lambda d: dedup_bars(d, keys, dedup_order))

@@ -56,34 +56,31 @@ _TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "
 def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T: symbol = brand, date = ship day, price = extendedprice / quantity (unrounded).
 
-    Open/close are the first/last trade by a total order of lineitem columns.
-    Pre-aggregated per (partkey, day) before the join: a hot part collapses
-    map-side, and the join then sees at most one row per part and day.
+    Open/close are the first/last trade by a total order of lineitem columns,
+    taken as min/max of one struct (order columns, then price): one comparison
+    per row yields both the position and the price.
+
+    Plan: ``part`` is a dimension; AQE broadcasts it when small, otherwise the
+    join is sort-merge and a hot part key is split by AQE's skew-join handling.
+    The (brand, day) aggregate is combined map-side before its shuffle, so a
+    hot brand or day is reduced in every task first.
     """
     li = table(spark, sf_dir, "lineitem").select(*_TRADE_ORDER, "l_shipdate")
-    price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
-    ordkey = F.struct(*[F.col(c) for c in _TRADE_ORDER])
-    per_part = li.groupBy("l_partkey", F.to_date("l_shipdate").alias("date")).agg(
-        F.min(ordkey).alias("first_ord"),
-        F.min_by(price, ordkey).alias("first_px"),
-        F.max(ordkey).alias("last_ord"),
-        F.max_by(price, ordkey).alias("last_px"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.sum("l_quantity").alias("qty"),
-    )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = per_part.join(part, per_part.l_partkey == part.p_partkey)
+    price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+    trade = F.struct(*[F.col(c) for c in _TRADE_ORDER], price.alias("px"))
+    joined = li.join(part, li.l_partkey == part.p_partkey)
     return (
-        joined.groupBy(F.col("p_brand").alias("symbol"), "date")
+        joined.groupBy(F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("date"))
         .agg(
-            F.min_by("first_px", "first_ord").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("last_px", "last_ord").alias("close"),
-            F.sum("qty").cast("bigint").alias("volume"),
+            F.min(trade).alias("first"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.max(trade).alias("last"),
+            F.sum("l_quantity").cast("bigint").alias("volume"),
         )
-        .select("date", "symbol", "open", "high", "low", "close", "volume")
+        .select("date", "symbol", F.col("first.px").alias("open"), "high", "low",
+                F.col("last.px").alias("close"), "volume")
     )
 
 

@@ -38,8 +38,7 @@ def decode_ticks(records: DataFrame, value_col: str = "value", bad_records: str
         schema = StructType([
             f if f.name != "volume" else f.__class__("volume", StringType(), True) for f in TICK_JSON.fields
         ])
-    text = F.col(value_col).cast("string")
-    parsed = records.select(F.from_json(text, schema).alias("t"), text.alias("_raw"))
+    parsed = records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("t"))
     if bad_records == "quarantine":
         parsed = parsed.filter(F.col("t.symbol").isNotNull() & F.col("t.timestamp").isNotNull())
     ticks = parsed.select("t.*")
