@@ -1,0 +1,93 @@
+"""Raw -> staging cleaning on the FIXTURES.md "raw bars" cases."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from quantlake.operators.cleaning import (
+    clean,
+    dedup_bars,
+    drop_incomplete,
+    ingested_at_as_text,
+    round_prices,
+)
+
+RAW = ("date string, symbol string, open double, high double, low double, close double, "
+       "volume bigint, date_partition string")
+TS = "2024-02-02 00:00:00"
+
+
+def raw(spark, rows):
+    return spark.createDataFrame(rows, RAW)
+
+
+ROWS = [
+    ("2024-01-02", "AAA", 1.0, 2.0, 0.5, 1.5, 10, "r"),          # good
+    (None, "AAA", 1.0, 2.0, 0.5, 1.5, 10, "r"),                  # NULL date
+    ("2024-01-03", None, 1.0, 2.0, 0.5, 1.5, 10, "r"),           # NULL symbol
+    ("2024-01-04", "AAA", 1.0, 2.0, 0.5, None, 10, "r"),         # NULL close
+    ("2024-01-05", "AAA", 1.0, 2.0, 0.5, float("nan"), 10, "r"),  # NaN close
+    ("2024-01-06", "AAA", 1.0, 2.0, 0.5, 1.5, None, "r"),        # NULL volume
+    ("2024-01-07", "AAA", 1.0, 2.0, 0.5, 0.0, 10, "r"),          # close 0
+    ("2024-01-08", "AAA", 1.0, 2.0, 0.5, -1.0, 10, "r"),         # negative close
+    ("2024-01-09", "AAA", 1.0, 2.0, 0.5, 1.5, -5, "r"),          # negative volume
+    ("not a date", "AAA", 1.0, 2.0, 0.5, 1.5, 10, "r"),          # unparseable date
+    ("2024-01-10", "AAA", 1.00005, 2.12344, 0.99995, 1.23455, 0, "r"),  # 5-decimal prices, volume 0
+]
+
+
+def test_clean_keeps_only_valid_rows(spark):
+    out = clean(raw(spark, ROWS), TS).orderBy("date").collect()
+    assert [r["date"] for r in out] == [dt.date(2024, 1, 2), dt.date(2024, 1, 10)]
+    last = out[1]
+    # HALF_UP on the decimal value, 4 dp
+    assert (last["open"], last["high"], last["low"], last["close"]) == (1.0001, 2.1234, 1.0, 1.2346)
+    assert last["ingested_at"] == dt.datetime(2024, 2, 2)
+
+
+def test_dropna_treats_nan_as_missing(spark):
+    df = spark.createDataFrame([("A", 1.0), ("A", float("nan")), ("A", None)], "symbol string, close double")
+    assert drop_incomplete(df, ("symbol", "close")).count() == 1
+
+
+def test_round_half_up_on_decimal_text(spark):
+    df = spark.createDataFrame([(1.00005, 2.5e-5, -1.00005, 1.005)], "open double, high double, low double, close double")
+    r = round_prices(df).first()
+    assert (r["open"], r["high"], r["low"]) == (1.0001, 0.0, -1.0001)
+    assert round_prices(df, ("close",), 2).first()["close"] == 1.01
+
+
+def test_dedup_is_deterministic_and_keeps_greatest(spark):
+    rows = [("2024-01-02", "AAA", 1.0, 1.0, 1.0, 1.0 + i / 10, 10, f"r{i % 3}") for i in range(30)]
+    df = raw(spark, rows)
+    a = dedup_bars(df).collect()
+    b = dedup_bars(df.repartition(5).orderBy(F.rand(1))).collect()
+    assert len(a) == 1 and a == b
+    assert a[0]["close"] == pytest.approx(3.9)
+    newest = dedup_bars(df, order=["date_partition", "close"]).first()
+    assert newest["date_partition"] == "r2" and newest["close"] == pytest.approx(3.9)  # i = 29
+    oldest_run = dedup_bars(df.filter("date_partition = 'r1'")).first()
+    assert oldest_run["close"] == pytest.approx(3.8)  # i = 28
+
+
+def test_clean_is_idempotent(spark):
+    once = clean(raw(spark, ROWS), TS)
+    twice = clean(once.drop("ingested_at"), TS)
+    cols = ["date", "symbol", "open", "high", "low", "close", "volume", "date_partition", "ingested_at"]
+    assert sorted(once.select(cols).collect()) == sorted(twice.select(cols).collect())
+
+
+def test_casts_bad_values_to_null_then_drops(spark):
+    df = spark.createDataFrame(
+        [("2024-01-02", "AAA", "1.0", "2.0", "0.5", "1.5", "3.0"), ("2024-01-03", "AAA", "x", "2", "1", "oops", "7")],
+        "date string, symbol string, open string, high string, low string, close string, volume string",
+    )
+    out = clean(df, TS).collect()
+    # "3.0" is not a BIGINT -> NULL volume -> dropped; "oops" close -> dropped
+    assert out == []
+
+
+def test_ingested_at_text(spark):
+    out = ingested_at_as_text(clean(raw(spark, ROWS[:1]), TS)).first()
+    assert out["ingested_at"] == "2024-02-02 00:00:00"
