@@ -21,9 +21,18 @@ TOTAL_LABEL = "Total"
 
 # ---- slicers (C15) --------------------------------------------------------
 
-def slice_date(df: DataFrame, day=None, col: str = "trade_date") -> DataFrame:
-    """One trading day; ``None`` = the latest day present (the page default)."""
-    value = df.agg(F.max(col)).scalar() if day is None else F.lit(str(day))
+def slice_date(df: DataFrame, day=None, col: str = "trade_date", latest_from: DataFrame | None = None) -> DataFrame:
+    """One trading day; ``None`` = the latest day of the page (the slicer default).
+
+    The slicer is page-level: ``latest_from`` is the frame whose latest day the
+    page defaults to (e.g. the daily summary for a page that also shows RSI
+    signals); by default ``df`` itself. Reading it from plain bars lets Catalyst
+    prune window columns out of the scalar subquery.
+    """
+    if day is not None:
+        value = F.lit(str(day))
+    else:
+        value = (latest_from if latest_from is not None else df).agg(F.max(col)).scalar()
     return df.filter(F.col(col) == value)
 
 

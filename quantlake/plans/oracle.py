@@ -174,7 +174,8 @@ V03 = f"""SELECT symbol, CAST(date AS VARCHAR) AS trade_date, open, close,
 FROM i_ind WHERE date = (SELECT max(date) FROM i_ind)"""
 
 DAILY = TI + (("v01", V01), ("sl", "SELECT * FROM v01 WHERE trade_date = (SELECT max(trade_date) FROM v01)"))
-SIGNALS = TI + (("v04", V04), ("rsl", "SELECT * FROM v04 WHERE trade_date = (SELECT max(trade_date) FROM v04)"))
+# page slicer default: the latest day of the page's data (the daily summary)
+SIGNALS = TI + (("v04", V04), ("rsl", "SELECT * FROM v04 WHERE trade_date = (SELECT CAST(max(date) AS VARCHAR) FROM i_ind)"))
 
 
 def _latest(col: str, by: str = "trade_date") -> str:
@@ -347,7 +348,7 @@ FROM v01 GROUP BY symbol"""),
     ),
     "band_width_rank": _with(
         *TI, ("v05", V05),
-        body="SELECT symbol, close, band_width FROM v05 WHERE trade_date = (SELECT max(trade_date) FROM v05)",
+        body="SELECT symbol, close, band_width FROM v05 WHERE trade_date = (SELECT CAST(max(date) AS VARCHAR) FROM i_ind)",
     ),
     "risk_scatter": _with(
         *DAILY, body=f"SELECT symbol, {ST('rsi_14')} AS rsi_14, daily_change_pct, volume FROM sl"

@@ -235,7 +235,7 @@ def _daily_latest(spark, sf):
 
 
 def _signals_latest(spark, sf):
-    return M.slice_date(_signals_t(spark, sf))
+    return M.slice_date(_signals_t(spark, sf), latest_from=_daily_t(spark, sf))
 
 
 def q_market_kpis(spark, sf):
@@ -287,7 +287,8 @@ def q_rsi_screen(spark, sf):
 
 
 def q_band_width_rank(spark, sf):
-    return M.band_width_rank(M.slice_date(V.v_bollinger_squeeze(_curated_t(spark, sf))))
+    squeeze = V.v_bollinger_squeeze(_curated_t(spark, sf))
+    return M.band_width_rank(M.slice_date(squeeze, latest_from=_daily_t(spark, sf)))
 
 
 def q_risk_scatter(spark, sf):

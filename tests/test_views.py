@@ -181,3 +181,15 @@ def test_market_kpis_and_counts_on_latest_day(spark):
     assert score == 30.0
     hl = {r["symbol"]: (r["high_52w"], r["low_52w"]) for r in M.high_low_52w(V.v_daily_summary(cur)).collect()}
     assert hl["A"] == (11.0, 10.0)
+
+
+def test_register_views_and_query_by_name(spark):
+    from quantlake.sources.catalog import query_view
+
+    rows = [cur_row(D(2024, 1, 2), "A", 10.0, 11.0, up=12.0, lo=9.0)]
+    t = ticks(spark, [tick("A", "2024-01-08 10:00:00")])
+    names = V.register_views(spark, curated(spark, rows), t, as_of="latest")
+    assert names == list(V.VIEW_NAMES)
+    assert query_view(spark, "v_daily_summary").count() == 1
+    assert query_view(spark, "v_latest_ticks").first()["market_status"] == "LIVE"
+    assert spark.sql("SELECT count(*) AS n FROM v_weekly_rollup").first()["n"] == 1
