@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from quantlake.schemas import INDICATOR_COLS
 
@@ -184,8 +185,9 @@ def add_all_indicators(
     """The fixed bundle (SMA 20/50, EMA 20, RSI 14, MACD 12-26-9, Bollinger 20x2).
 
     ``split_rows`` (optional) splits every series into chunks of that many rows
-    with a LOOKBACK-row halo, so a hot symbol spreads over many tasks.
-    ``order_col`` must be a DATE when splitting (buckets are ``bucket_days`` wide).
+    with a LOOKBACK-row halo, so a hot symbol spreads over many tasks. Rows are
+    counted in time buckets ``bucket_days`` wide (DATE or TIMESTAMP order
+    column; a numeric order column is bucketed by value).
     """
     if split_rows is None:
         return _bundle(df, tuple(partition_cols), order_col)
@@ -215,7 +217,7 @@ def split_series(
         raise ValueError("chunk_rows must exceed the lookback")
     keys = list(partition_cols)
     cols = df.columns
-    bucketed = df.withColumn("_bkt", F.floor(F.unix_date(F.col(order_col)) / F.lit(bucket_days)))
+    bucketed = df.withColumn("_bkt", F.floor(_days(df, order_col) / F.lit(bucket_days)))
     counts = bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -231,5 +233,15 @@ def split_series(
     return out.filter(F.col("_chunk") == F.col("_home")).select(*cols, *extra)
 
 
+def _days(df: DataFrame, col: str) -> Column:
+    """Order column as a day number (DATE, TIMESTAMP) or as its own value (numeric)."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, DateType):
+        return F.unix_date(F.col(col))
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")) / F.lit(86_400_000_000)
+    return F.col(col)
+
+
 def indicator_columns() -> tuple[str, ...]:
     return INDICATOR_COLS

@@ -172,3 +172,13 @@ def test_bundle_plans_one_exchange_and_three_windows(spark):
     assert plan.count("Exchange hashpartitioning(symbol") == 1
     assert plan.count("Window [") == 3
     assert plan.count("Sort [symbol") == 1
+
+
+def test_split_plan_on_timestamps(spark):
+    b = random_walk(spark, 2, 300).withColumn("date", F.col("date").cast("timestamp"))
+    cols = ("sma_50", "rsi_14", "macd_signal", "bb_upper")
+    plain = by_key(add_all_indicators(b), *cols)
+    split = by_key(add_all_indicators(b, split_rows=60, bucket_days=7), *cols)
+    assert plain.keys() == split.keys()
+    for k in plain:
+        assert close(split[k], plain[k]), k
