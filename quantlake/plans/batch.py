@@ -21,6 +21,7 @@ from quantlake.paths import LakePaths
 from quantlake.sources.lake import (
     read_curated,
     read_raw,
+    read_staging,
     read_staging_history,
     write_curated,
     write_staging,
@@ -39,13 +40,16 @@ class BatchResult:
     split_rows: int | None
 
 
-def choose_split(history: DataFrame, threshold: int = SPLIT_THRESHOLD_ROWS,
+def choose_split(bars: DataFrame, threshold: int = SPLIT_THRESHOLD_ROWS,
                  chunk_rows: int = SPLIT_CHUNK_ROWS) -> int | None:
     """Chunk size for the split window plan when the largest series exceeds ``threshold`` rows.
 
-    One aggregate over (symbol) counts, returning a single number to the driver.
+    Series length = distinct dates per symbol, so the raw staging scan can be
+    used (two columns, hash aggregates) instead of the de-duplicated history;
+    a single number comes back to the driver.
     """
-    biggest = history.groupBy("symbol").count().agg(F.max("count")).head()[0]
+    per_symbol = bars.select("symbol", "date").distinct().groupBy("symbol").count()
+    biggest = per_symbol.agg(F.max("count")).head()[0]
     if biggest is None or biggest <= threshold:
         return None
     return max(chunk_rows, 2 * LOOKBACK + 1)
@@ -64,7 +68,7 @@ def run_batch(
     n_staging = write_staging(staging, paths, run)
 
     history = read_staging_history(spark, paths)
-    split = choose_split(history) if split_rows == "auto" else split_rows
+    split = choose_split(read_staging(spark, paths)) if split_rows == "auto" else split_rows
     enriched = add_all_indicators(history, split_rows=split)
     n_curated = write_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
     return BatchResult(run, n_staging, n_curated, split)

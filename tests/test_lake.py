@@ -92,14 +92,14 @@ def test_universe_semi_join(spark):
 def test_normalize_wide_skips_absent_and_fails_on_empty(spark):
     wide = spark.createDataFrame(
         [("2024-01-02", 1.0, 2.0, 0.5, 1.5, 10, 3.0, 4.0, 2.5, 3.5, 20)],
-        "Date string, `COMI.CA_Open` double, `COMI.CA_High` double, `COMI.CA_Low` double, "
-        "`COMI.CA_Close` double, `COMI.CA_Volume` bigint, ETEL_Open double, ETEL_High double, "
-        "ETEL_Low double, ETEL_Close double, ETEL_Volume bigint",
+        "Date string, `AAA.XC_Open` double, `AAA.XC_High` double, `AAA.XC_Low` double, "
+        "`AAA.XC_Close` double, `AAA.XC_Volume` bigint, BBB_Open double, BBB_High double, "
+        "BBB_Low double, BBB_Close double, BBB_Volume bigint",
     )
-    out = {r["symbol"]: r for r in normalize_wide(wide, ["COMI.CA", "ETEL", "MISSING"]).collect()}
-    assert set(out) == {"COMI.CA", "ETEL"}
-    assert out["ETEL"]["close"] == 3.5 and out["ETEL"]["volume"] == 20 and out["ETEL"]["date"] == D(2024, 1, 2)
+    out = {r["symbol"]: r for r in normalize_wide(wide, ["AAA.XC", "BBB", "MISSING"]).collect()}
+    assert set(out) == {"AAA.XC", "BBB"}
+    assert out["BBB"]["close"] == 3.5 and out["BBB"]["volume"] == 20 and out["BBB"]["date"] == D(2024, 1, 2)
     with pytest.raises(EmptyHistoryError):
         normalize_wide(wide, ["NOPE"])
     with pytest.raises(EmptyHistoryError):
-        normalize_wide(wide.filter(F.lit(False)), ["ETEL"])
+        normalize_wide(wide.filter(F.lit(False)), ["BBB"])

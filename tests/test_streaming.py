@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quantlake.sources.kafka import encode_ticks
 from quantlake.streaming.ticks import bad_tick_records, decode_ticks, read_landed_ticks, start_tick_sink
 
-GOOD = {"symbol": "COMI.CA", "timestamp": "2024-01-08T10:00:00.123456+00:00", "price": 80.5, "volume": 1200,
+GOOD = {"symbol": "AAA.XC", "timestamp": "2024-01-08T10:00:00.123456+00:00", "price": 80.5, "volume": 1200,
         "open": 79.0, "high": 81.0, "low": 78.5, "prev_close": 79.5}
 
 
@@ -19,7 +19,7 @@ def records(spark, values):
 
 def test_decode_fields_time_and_partition(spark):
     t = decode_ticks(records(spark, [json.dumps(GOOD)])).first()
-    assert t["symbol"] == "COMI.CA" and t["volume"] == 1200 and t["prev_close"] == 79.5
+    assert t["symbol"] == "AAA.XC" and t["volume"] == 1200 and t["prev_close"] == 79.5
     assert t["event_time"] == dt.datetime(2024, 1, 8, 10, 0, 0, 123456)
     assert t["date_partition"] == dt.date(2024, 1, 8)
 
@@ -51,18 +51,18 @@ def test_corrupt_missing_and_lenient_volume(spark):
 
 def test_encode_topics_keys_and_nulls(spark):
     df = spark.createDataFrame(
-        [("COMI.CA", "2024-01-08T10:00:00.000000+00:00", 1.5, 10, None, 2.0, 1.0, 1.25)],
+        [("AAA.XC", "2024-01-08T10:00:00.000000+00:00", 1.5, 10, None, 2.0, 1.0, 1.25)],
         "symbol string, timestamp string, price double, volume bigint, open double, high double, low double, "
         "prev_close double",
     )
     r = encode_ticks(df, prefix="mkt").first()
-    assert r["topic"] == "mkt.comi_ca" and r["key"] == "COMI.CA"
-    assert json.loads(r["value"]) == {"symbol": "COMI.CA", "timestamp": "2024-01-08T10:00:00.000000+00:00",
+    assert r["topic"] == "mkt.aaa_xc" and r["key"] == "AAA.XC"
+    assert json.loads(r["value"]) == {"symbol": "AAA.XC", "timestamp": "2024-01-08T10:00:00.000000+00:00",
                                       "price": 1.5, "volume": 10, "open": None, "high": 2.0, "low": 1.0,
                                       "prev_close": 1.25}
     # round trip
     back = decode_ticks(encode_ticks(df)).select("symbol", "price", "open", "prev_close").first()
-    assert tuple(back) == ("COMI.CA", 1.5, None, 1.25)
+    assert tuple(back) == ("AAA.XC", 1.5, None, 1.25)
 
 
 def test_stream_sink_equals_batch_decode_and_restart_adds_nothing(spark, tmp_root):
