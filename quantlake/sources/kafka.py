@@ -40,8 +40,13 @@ def read_tick_stream(
     starting_offsets: str = "latest",
     group_id: str | None = None,
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Every ``<prefix>.*`` topic as a stream of Kafka records."""
+    """Every ``<prefix>.*`` topic as a stream of Kafka records.
+
+    ``max_offsets_per_trigger`` bounds one micro-batch, so catching up after an
+    outage proceeds in steady batches instead of one batch holding the backlog.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
@@ -51,4 +56,6 @@ def read_tick_stream(
     )
     if group_id:
         reader = reader.option("kafka.group.id", group_id)
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return reader.load()
