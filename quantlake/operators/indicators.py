@@ -105,10 +105,12 @@ def add_rsi(df: DataFrame, period: int = 14, price_col: str = "close", *,
     """``rsi_<period>`` from simple trailing means of gains and losses."""
     prev = F.lag(price_col).over(_ordered(partition_cols, order_col))
     gain, loss = _gain_loss(F.col(price_col), prev)
-    tmp = df.withColumns({"_gain": gain, "_loss": loss})
-    avg_gain = _mean("_gain", period, partition_cols, order_col)
-    avg_loss = _mean("_loss", period, partition_cols, order_col)
-    return tmp.withColumn(f"rsi_{period}", _rsi(avg_gain, avg_loss)).drop("_gain", "_loss")
+    tmp = df.withColumns({"_gain": gain, "_loss": loss}).withColumns({
+        "_avg_gain": _mean("_gain", period, partition_cols, order_col),
+        "_avg_loss": _mean("_loss", period, partition_cols, order_col),
+    })
+    rsi = _rsi(F.col("_avg_gain"), F.col("_avg_loss"))
+    return tmp.withColumn(f"rsi_{period}", rsi).drop("_gain", "_loss", "_avg_gain", "_avg_loss")
 
 
 def add_macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
@@ -147,30 +149,36 @@ def _bundle(df: DataFrame, keys: Keys, order: str, price_col: str = "close") ->
     def m(col, n):
         return _mean(col, n, keys, order)
 
-    w_bb = trailing_window(BB_PERIOD, keys, order)
+    # each distinct frame is evaluated once (Catalyst does not merge equal window
+    # aggregates): ema_20 and bb_mid are the 20-row mean, RSI reads its means twice
+    means = {n: f"_m{n}" for n in sorted({*SMA_PERIODS, EMA_PERIOD, BB_PERIOD, MACD_FAST, MACD_SLOW})}
     lvl2 = lvl1.select(
         *base,
-        m(price_col, SMA_PERIODS[0]).alias("sma_20"),
-        m(price_col, SMA_PERIODS[1]).alias("sma_50"),
-        m(price_col, EMA_PERIOD).alias("ema_20"),
-        _rsi(m("_gain", RSI_PERIOD), m("_loss", RSI_PERIOD)).alias("rsi_14"),
-        (m(price_col, MACD_FAST) - m(price_col, MACD_SLOW)).alias("macd_line"),
-        F.avg(price_col).over(w_bb).alias("bb_mid"),
-        F.stddev_samp(price_col).over(w_bb).alias("_sd"),
+        *[m(price_col, n).alias(name) for n, name in means.items()],
+        m("_gain", RSI_PERIOD).alias("_avg_gain"),
+        m("_loss", RSI_PERIOD).alias("_avg_loss"),
+        F.stddev_samp(price_col).over(trailing_window(BB_PERIOD, keys, order)).alias("_sd"),
     )
-    lvl3 = lvl2.withColumn("macd_signal", m("macd_line", MACD_SIGNAL))
+    lvl3 = lvl2.select(
+        *base,
+        *means.values(),
+        "_sd",
+        _rsi(F.col("_avg_gain"), F.col("_avg_loss")).alias("rsi_14"),
+        (F.col(means[MACD_FAST]) - F.col(means[MACD_SLOW])).alias("macd_line"),
+    ).withColumn("macd_signal", m("macd_line", MACD_SIGNAL))
+    bb_mid = F.col(means[BB_PERIOD])
     return lvl3.select(
         *base,
-        "sma_20",
-        "sma_50",
-        "ema_20",
+        F.col(means[SMA_PERIODS[0]]).alias("sma_20"),
+        F.col(means[SMA_PERIODS[1]]).alias("sma_50"),
+        F.col(means[EMA_PERIOD]).alias("ema_20"),
         "rsi_14",
         "macd_line",
         "macd_signal",
         (F.col("macd_line") - F.col("macd_signal")).alias("macd_hist"),
-        (F.col("bb_mid") + F.lit(BB_STD) * F.col("_sd")).alias("bb_upper"),
-        "bb_mid",
-        (F.col("bb_mid") - F.lit(BB_STD) * F.col("_sd")).alias("bb_lower"),
+        (bb_mid + F.lit(BB_STD) * F.col("_sd")).alias("bb_upper"),
+        bb_mid.alias("bb_mid"),
+        (bb_mid - F.lit(BB_STD) * F.col("_sd")).alias("bb_lower"),
     )
 
 
