@@ -2,7 +2,7 @@
 
     python -m quantlake batch  --root ROOT [--run-date YYYY-MM-DD] [--dynamic-curated]
     python -m quantlake stream --root ROOT (--kafka BROKERS [--prefix P] | --files DIR)
-                               [--trigger "30 seconds"] [--available-now]
+                               [--trigger "30 seconds"] [--available-now] [--files-per-folder K]
 
 ``batch`` runs one daily batch (raw run partition -> staging -> curated) for a
 run date (default: today, as the source job). ``stream`` decodes tick records
@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--prefix", default=DEFAULT_PREFIX)
     s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--files-per-folder", type=int, default=None)
     args = ap.parse_args(argv)
 
     paths = LakePaths(args.root)
@@ -66,7 +67,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         records = spark.readStream.schema("value STRING").text(args.files)
     q = start_tick_sink(decode_ticks(records), paths.raw_ticks, paths.tick_checkpoint,
-                        trigger=args.trigger, available_now=args.available_now)
+                        trigger=args.trigger, available_now=args.available_now,
+                        files_per_folder=args.files_per_folder)
     q.awaitTermination()
     return 0
 

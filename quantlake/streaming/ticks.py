@@ -3,7 +3,8 @@
 ``decode_ticks`` is a pure DataFrame function used by the stream and by batch
 code alike: bytes -> text -> ``from_json`` with the fixed tick schema ->
 flattened columns, then ``event_time`` and the ``date_partition`` day. It is
-stateless and narrow, so a micro-batch never shuffles.
+stateless and narrow, so a micro-batch does not shuffle (unless the sink is
+asked to bound its file count, see ``start_tick_sink``).
 
 The sink is Spark's file sink: each micro-batch is committed in the
 checkpoint and in ``_spark_metadata``, so a restarted query neither loses nor
@@ -68,14 +69,25 @@ def start_tick_sink(
     trigger: str | None = "30 seconds",
     available_now: bool = False,
     query_name: str | None = None,
+    files_per_folder: int | None = None,
 ) -> StreamingQuery:
     """Append ticks to Parquet partitioned by day and symbol.
 
     ``available_now=True`` processes everything available and stops (tests,
     catch-up runs); otherwise a processing-time trigger every ``trigger``.
+
+    By default every micro-batch task writes its own file into each (day,
+    symbol) folder it holds. ``files_per_folder=k`` shuffles each micro-batch
+    by the folder keys plus a deterministic salt (hash of the tick time mod k):
+    at most k files per folder per batch, and a hot symbol still spreads over
+    k tasks.
     """
+    out = landed_columns(ticks)
+    if files_per_folder:
+        salt = F.pmod(F.hash("event_time", "timestamp"), F.lit(files_per_folder))
+        out = out.repartition("date_partition", "symbol", salt)
     w = (
-        landed_columns(ticks).writeStream.format("parquet")
+        out.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .partitionBy("date_partition", "symbol")
@@ -93,7 +105,8 @@ def read_landed_ticks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_stream(spark: SparkSession, records: DataFrame, path: str, checkpoint: str,
-               trigger: str = "30 seconds") -> None:
+               trigger: str = "30 seconds", files_per_folder: int | None = None) -> None:
     """The long-running job: decode the record stream and land it until stopped."""
-    q = start_tick_sink(decode_ticks(records), path, checkpoint, trigger=trigger)
+    q = start_tick_sink(decode_ticks(records), path, checkpoint, trigger=trigger,
+                        files_per_folder=files_per_folder)
     q.awaitTermination()

@@ -88,3 +88,19 @@ def test_stream_sink_equals_batch_decode_and_restart_adds_nothing(spark, tmp_roo
     # only today's folder is read for a day filter
     one_day = read_landed_ticks(spark, sink).filter(F.col("date_partition") == "2024-01-09")
     assert one_day.count() == 6
+
+
+def test_sink_files_per_folder_bound(spark, tmp_root):
+    import os
+
+    src, sink, ckpt = f"{tmp_root}/src", f"{tmp_root}/sink", f"{tmp_root}/ckpt"
+    vals = [json.dumps({**GOOD, "symbol": "HOT", "timestamp": f"2024-01-08T10:{i // 60:02d}:{i % 60:02d}.000000+00:00"})
+            for i in range(600)]
+    records(spark, vals).repartition(8).write.text(src)
+    stream = spark.readStream.schema("value STRING").text(src)
+    q = start_tick_sink(decode_ticks(stream), sink, ckpt, available_now=True, files_per_folder=2)
+    q.awaitTermination()
+    folder = f"{sink}/date_partition=2024-01-08/symbol=HOT"
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert 1 <= len(files) <= 2
+    assert read_landed_ticks(spark, sink).count() == 600
