@@ -22,6 +22,9 @@ from quantlake.session import build_session  # noqa: E402
 from quantlake.sources.testdata import trade_bars  # noqa: E402
 
 HEADLINE = (
+    "universe_filter",
+    "normalize_wide",
+    "clean_dedup",
     "all_indicators",
     "indicators_split",
     "v_daily_summary",
@@ -29,6 +32,7 @@ HEADLINE = (
     "v_top_movers",
     "symbol_kpis",
     "market_kpis",
+    "rsi_counts",
     "clean_all",
     "tick_decode",
     "v_latest_ticks",
@@ -36,6 +40,7 @@ HEADLINE = (
     "live_table_totals",
     "stream_tick_sink",
     "lake_roundtrip",
+    "catalog_repair",
 )
 
 
