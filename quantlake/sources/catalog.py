@@ -64,9 +64,23 @@ def create_ticks_table(spark: SparkSession, paths: LakePaths, db: str | None = N
     return name
 
 
-def repair(spark: SparkSession, table: str) -> None:
-    """Register partition folders written outside the catalog."""
+def is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def repair(spark: SparkSession, table: str) -> bool:
+    """Register partition folders written outside the catalog.
+
+    A table created over a streaming sink's folder after the sink has written
+    is read through the sink's commit log (``_spark_metadata``), which already
+    knows every committed file and its partition values; Spark registers such
+    a table without catalog partitions, and there is nothing to recover.
+    Returns whether partitions were recovered.
+    """
+    if not is_partitioned(spark, table):
+        return False
     spark.catalog.recoverPartitions(table)
+    return True
 
 
 def analyze(spark: SparkSession, table: str, partition_cols: tuple[str, ...] = ()) -> None:

@@ -28,18 +28,24 @@ def test_batch_and_stream_jobs(spark, tmp_root, capsys):
     assert read_landed_ticks(spark, paths.raw_ticks).count() == 1
 
 
-def test_ticks_table_repair_after_stream(spark, tmp_root):
+def test_ticks_table_before_and_after_landing(spark, tmp_root):
     from quantlake.sources import catalog as CAT
 
+    paths = LakePaths(tmp_root)
+    CAT.create_database(spark, "qltest_ticks", location=f"{tmp_root}/wh", use=False)
+    before = CAT.create_ticks_table(spark, paths, "qltest_ticks")     # created before the stream writes
     src = f"{tmp_root}/feed"
     ticks = [{"symbol": s, "timestamp": f"2024-01-0{d}T10:00:00.000000+00:00", "price": 1.0, "volume": 1,
               "open": None, "high": None, "low": None, "prev_close": 1.0} for s in ("A", "B") for d in (8, 9)]
     spark.createDataFrame([(json.dumps(t),) for t in ticks], "value string").write.text(src)
     assert main(["stream", "--root", tmp_root, "--files", src, "--available-now"]) == 0
-    paths = LakePaths(tmp_root)
-    CAT.create_database(spark, "qltest_ticks", location=f"{tmp_root}/wh", use=False)
-    name = CAT.create_ticks_table(spark, paths, "qltest_ticks")
-    CAT.repair(spark, name)
-    assert CAT.partitions(spark, name).count() == 4           # (day, symbol) folders
-    day = spark.table(name).filter("date_partition = DATE'2024-01-09'")
+    assert CAT.partitions(spark, before).count() == 0
+    assert CAT.repair(spark, before) is True
+    assert CAT.partitions(spark, before).count() == 4          # (day, symbol) folders
+    day = spark.table(before).filter("date_partition = DATE'2024-01-09'")
     assert day.count() == 2 and {r["symbol"] for r in day.collect()} == {"A", "B"}
+
+    spark.sql(f"DROP TABLE {before}")
+    after = CAT.create_ticks_table(spark, paths, "qltest_ticks")      # over the sink's commit log
+    assert CAT.repair(spark, after) is False
+    assert spark.table(after).filter("date_partition = DATE'2024-01-08'").count() == 2
