@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from quantlake.schemas import INDICATOR_COLS
 
 # ---- fixed values: the indicator bundle of the source pipeline -----------
 SMA_PERIODS = (20, 50)
@@ -139,7 +138,7 @@ def add_bollinger(df: DataFrame, period: int = 20, std_dev: float = 2.0, price_c
 # ---- the fused bundle -----------------------------------------------------
 
 def _bundle(df: DataFrame, keys: Keys, order: str, price_col: str = "close") -> DataFrame:
-    """W09 in three projections; adds INDICATOR_COLS."""
+    """W09 in three projections; adds the ten curated indicator columns."""
     base = df.columns
     w_lag = _ordered(keys, order)
     lvl1 = df.withColumn("_prev", F.lag(price_col).over(w_lag))
@@ -250,6 +249,3 @@ def _days(df: DataFrame, col: str) -> Column:
         return F.unix_micros(F.col(col).cast("timestamp")) / F.lit(86_400_000_000)
     return F.col(col)
 
-
-def indicator_columns() -> tuple[str, ...]:
-    return INDICATOR_COLS
