@@ -74,6 +74,9 @@ def test_catalog_tables_and_repair(spark, tmp_root):
     assert CAT.partitions(spark, name).count() == 2
     assert CAT.query_view(spark, name).count() == 4
     CAT.analyze(spark, name)
+    CAT.analyze(spark, name, ("date_partition",))          # per-partition statistics
+    stats = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (date_partition='2024-01-02')").collect()
+    assert any("rows" in (r["data_type"] or "") for r in stats if r["col_name"] == "Partition Statistics")
     cur = CAT.create_curated_table(spark, paths, db)
     comments = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE TABLE {cur}").collect()}
     assert comments["sma_20"] == "sma_20"
