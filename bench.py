@@ -19,7 +19,9 @@ from quantlake.operators.indicators import add_all_indicators  # noqa: E402
 from quantlake.plans.registry import QUERIES, publish  # noqa: E402
 from quantlake.schemas import INDICATOR_COLS, OHLCV_COLS  # noqa: E402
 from quantlake.session import build_session  # noqa: E402
-from quantlake.sources.testdata import trade_bars  # noqa: E402
+from quantlake.sources.testdata import event_ticks, trade_bars  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 HEADLINE = (
     "universe_filter",
@@ -50,8 +52,37 @@ def sorted_first(spark, sf_dir):
     return publish(add_all_indicators(bars).select(*OHLCV_COLS, *INDICATOR_COLS))
 
 
+def weekly_by_row_numbers(spark, sf_dir):
+    """The source view's shape for the weekly rollup: two ROW_NUMBER windows, then MAX of CASE."""
+    cur = add_all_indicators(trade_bars(spark, sf_dir))
+    wk = F.trunc("date", "week")
+    w = Window.partitionBy("symbol", wk)
+    ranked = cur.select(
+        "symbol", wk.cast("string").alias("week_start"), "open", "close", "low", "high", "volume",
+        F.row_number().over(w.orderBy("date")).alias("rn_first"),
+        F.row_number().over(w.orderBy(F.desc("date"))).alias("rn_last"),
+    )
+    return ranked.groupBy("symbol", "week_start").agg(
+        F.min("low").alias("week_low"), F.max("high").alias("week_high"), F.sum("volume").alias("week_volume"),
+        F.max(F.when(F.col("rn_first") == 1, F.col("open"))).alias("week_open"),
+        F.max(F.when(F.col("rn_last") == 1, F.col("close"))).alias("week_close"),
+    )
+
+
+def latest_by_row_number(spark, sf_dir):
+    """The source view's shape for the latest tick: ROW_NUMBER() OVER (... DESC) = 1."""
+    ticks = event_ticks(spark, sf_dir)
+    day = ticks.filter(F.col("date_partition") == ticks.agg(F.max("date_partition")).scalar())
+    rn = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("timestamp")))
+    return day.withColumn("rn", rn).filter("rn = 1").drop("rn")
+
+
 # same results as a headline query, planned the way the source pipeline does it
-REFERENCE_SHAPE = {"all_indicators": sorted_first}
+REFERENCE_SHAPE = {
+    "all_indicators": sorted_first,
+    "v_weekly_rollup": weekly_by_row_numbers,
+    "v_latest_ticks": latest_by_row_number,
+}
 
 
 def run_once(spark, name: str, sf_dir: str, table=QUERIES) -> float:
