@@ -39,3 +39,26 @@ def test_matches_oracle(spark, con, name):
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert rows_key(s_cols, s_rows) == rows_key(d_cols, d_rows)
+
+
+def test_rounding_emulation_matches_spark(spark, con):
+    """The oracle's SR/ST reproduce Spark's round and stable_round bit for bit, ties included."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quantlake.functions.exprs import stable_round
+    from quantlake.plans.oracle import SR, ST
+
+    rnd = random.Random(11)
+    xs = [rnd.uniform(-1e4, 1e4) for _ in range(2000)]
+    xs += [round(rnd.uniform(-500, 500), 3) + 0.0005 * s for s in (-1, 1) for _ in range(500)]   # x.xxx5 ties
+    xs += [k / 1000 + 0.005 for k in range(-500, 500)] + [1.005, 2.675, 0.125, -0.125, 1e-7, 0.0]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    got = {r["i"]: (r["r2"], r["s4"]) for r in df.select(
+        "i", F.round("x", 2).alias("r2"), stable_round("x", 4).alias("s4")).collect()}
+    con.execute("CREATE OR REPLACE TEMP TABLE rx(i INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO rx VALUES (?, ?)", list(enumerate(xs)))
+    want = {i: (a, b) for i, a, b in con.sql(f"SELECT i, {SR('x', 2)}, {ST('x', 4)} FROM rx").fetchall()}
+    bad = [(xs[i], got[i], want[i]) for i in got if got[i] != want[i]]
+    assert not bad, bad[:5]
