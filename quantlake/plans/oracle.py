@@ -275,6 +275,13 @@ ORACLE_SQL: dict[str, str] = {
         body="""SELECT symbol, CAST(CAST(date_trunc('week', date) AS DATE) AS VARCHAR) AS week_start,
        min(low) AS week_low, max(high) AS week_high, CAST(sum(volume) AS BIGINT) AS week_volume,
        arg_min(open, date) AS week_open, arg_max(close, date) AS week_close
+FROM i_ind GROUP BY 1, 2""",
+    ),
+    "registered_views": _with(
+        *TI,
+        body="""SELECT symbol, CAST(CAST(date_trunc('week', date) AS DATE) AS VARCHAR) AS week_start,
+       min(low) AS week_low, max(high) AS week_high, CAST(sum(volume) AS BIGINT) AS week_volume,
+       arg_min(open, date) AS week_open, arg_max(close, date) AS week_close
 FROM i_ind GROUP BY 1, 2""",
     ),
     "v_top_movers": _with(*TI, body=V03),

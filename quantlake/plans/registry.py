@@ -224,6 +224,12 @@ def q_v_bollinger_squeeze(spark, sf):
     return publish(V.v_bollinger_squeeze(_curated_t(spark, sf)))
 
 
+def q_registered_views(spark, sf):
+    """S13 + S14: the views registered by name over curated bars and ticks, then queried with SQL."""
+    V.register_views(spark, _curated_t(spark, sf), _ticks_k(spark, sf), as_of="latest")
+    return spark.sql("SELECT * FROM v_weekly_rollup")
+
+
 def q_top_n_movers(spark, sf):
     return M.top_n_movers(V.v_top_movers(_curated_t(spark, sf)), TOP_N)
 
@@ -406,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "v_top_movers": q_v_top_movers,
     "v_rsi_signals": q_v_rsi_signals,
     "v_bollinger_squeeze": q_v_bollinger_squeeze,
+    "registered_views": q_registered_views,
     "top_n_movers": q_top_n_movers,
     "market_kpis": q_market_kpis,
     "rsi_counts": q_rsi_counts,
