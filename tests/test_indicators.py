@@ -182,3 +182,35 @@ def test_split_plan_on_timestamps(spark):
     assert plain.keys() == split.keys()
     for k in plain:
         assert close(split[k], plain[k]), k
+
+
+def test_split_plan_fuzz(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        lengths=st.lists(st.integers(1, 160), min_size=1, max_size=3),
+        chunk=st.integers(LOOKBACK + 1, 120),
+        bucket_days=st.integers(1, 90),
+        gap=st.integers(1, 9),
+        seed=st.integers(0, 10_000),
+    )
+    def check(lengths, chunk, bucket_days, gap, seed):
+        rnd = random.Random(seed)
+        series = {}
+        for s, n in enumerate(lengths):
+            day, pts = 0, []
+            for _ in range(n):
+                day += rnd.randint(1, gap)
+                pts.append((day, round(rnd.uniform(1, 100), 4)))
+            series[f"F{s}"] = pts
+        b = bars(spark, series)
+        cols = ("sma_50", "rsi_14", "macd_signal", "bb_lower")
+        plain = by_key(add_all_indicators(b), *cols)
+        split = by_key(add_all_indicators(b, split_rows=chunk, bucket_days=bucket_days), *cols)
+        assert plain.keys() == split.keys()
+        for k in plain:
+            assert close(split[k], plain[k]), (k, split[k], plain[k])
+
+    check()
