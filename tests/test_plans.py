@@ -66,3 +66,17 @@ def test_tick_day_filter_is_a_partition_filter(spark, tmp_root):
     t = spark.read.schema(RAW_TICKS).parquet(path)
     p = plan(V.v_tick_history(t, as_of="2024-01-08"))
     assert "PartitionFilters" in p and "date_partition" in p.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_small_universe_is_broadcast_semi_join(spark):
+    from quantlake.sources.universe import in_universe, universe_frame
+
+    bars = spark.range(1000).selectExpr("concat('S', cast(id % 50 as string)) AS symbol", "id AS v")
+    p = plan(in_universe(bars, universe_frame(spark, ["S1", "S2"])))
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    big = spark.range(100).selectExpr("concat('S', cast(id as string)) AS symbol")
+    joined = in_universe(bars, big, max_broadcast_rows=10)
+    # beyond the bound no hint is given; Spark's own size check decides the join strategy
+    assert "strategy=broadcast" not in plan(joined, "extended")
+    assert "strategy=broadcast" in plan(in_universe(bars, big, max_broadcast_rows=1000), "extended")
+    assert "LeftSemi" in plan(joined)
