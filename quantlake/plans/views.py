@@ -119,10 +119,10 @@ TICK_ORDER = ("event_time", "timestamp", "price", "volume", "prev_close", "open"
 
 def latest_ticks(ticks: DataFrame, keys: Sequence[str | Column] = ("symbol",)) -> DataFrame:
     """The most recent tick per key, ties broken by the full tick content."""
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    named = ticks.select(*key_cols, *[c for c in ticks.columns if c not in [str(k) for k in keys]])
-    key_names = named.columns[: len(key_cols)]
-    return keep_max_per_key(named, key_names, list(TICK_ORDER))
+    plain = {k for k in keys if isinstance(k, str)}
+    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]   # derived keys must be aliased
+    keyed = ticks.select(*key_cols, *[c for c in ticks.columns if c not in plain])
+    return keep_max_per_key(keyed, keyed.columns[: len(key_cols)], list(TICK_ORDER))
 
 
 def _live_columns(t: DataFrame, keys: Sequence[str], tz: str, trading_dow: tuple[int, int]) -> DataFrame:
