@@ -193,3 +193,22 @@ def test_register_views_and_query_by_name(spark):
     assert query_view(spark, "v_daily_summary").count() == 1
     assert query_view(spark, "v_latest_ticks").first()["market_status"] == "LIVE"
     assert spark.sql("SELECT count(*) AS n FROM v_weekly_rollup").first()["n"] == 1
+
+
+def test_dashboard_listing_orders(spark):
+    """The sort orders of the dashboard listings, ties broken by symbol."""
+    day = D(2024, 1, 3)
+    rows = [cur_row(day, "C", 10.0, 11.0, vol=5, up=14.0, lo=10.0),
+            cur_row(day, "A", 10.0, 9.0, vol=7, up=12.0, lo=10.0),
+            cur_row(day, "B", 10.0, 11.0, vol=7, up=11.0, lo=10.0)]
+    cur = curated(spark, rows)
+    daily = V.v_daily_summary(cur)
+    assert [r["symbol"] for r in M.volume_by_symbol(daily).collect()] == ["A", "B", "C"]       # volume desc
+    assert [r["symbol"] for r in M.change_ranking(daily).collect()] == ["A", "B", "C"]         # change asc
+    assert [r["direction"] for r in M.change_ranking(daily).collect()] == ["loss", "gain", "gain"]
+    assert [r["symbol"] for r in M.market_summary(daily).collect()] == ["B", "C", "A"]         # change desc
+    assert [r["symbol"] for r in M.band_width_rank(V.v_bollinger_squeeze(cur)).collect()] == ["C", "A", "B"]
+    t = ticks(spark, [tick("B", "2024-01-08 10:00:00"), tick("A", "2024-01-08 11:00:00"),
+                      tick("A", "2024-01-08 09:00:00")])
+    hist = V.presentation(V.v_tick_history(t, "2024-01-08"), "symbol", "tick_time").collect()
+    assert [(r["symbol"], r["tick_time"][11:13]) for r in hist] == [("A", "09"), ("A", "11"), ("B", "10")]
