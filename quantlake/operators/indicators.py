@@ -188,17 +188,29 @@ def add_all_indicators(
     order_col: str = "date",
     split_rows: int | None = None,
     bucket_days: int = 366,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The fixed bundle (SMA 20/50, EMA 20, RSI 14, MACD 12-26-9, Bollinger 20x2).
 
     ``split_rows`` (optional) splits every series into chunks of that many rows
     with a LOOKBACK-row halo, so a hot symbol spreads over many tasks. Rows are
     counted in time buckets ``bucket_days`` wide (DATE or TIMESTAMP order
-    column; a numeric order column is bucketed by value).
+    column; a numeric order column is bucketed by value). With ``hot_rows`` only
+    the series longer than that take the split plan and the rest the plain one.
     """
     if split_rows is None:
         return _bundle(df, tuple(partition_cols), order_col)
-    return split_series(df, _bundle, LOOKBACK, split_rows, partition_cols, order_col, bucket_days)
+    if hot_rows is None:
+        return split_series(df, _bundle, LOOKBACK, split_rows, partition_cols, order_col, bucket_days)
+    # hybrid: only series longer than hot_rows take the split plan. The hot key
+    # list has at most (total rows / hot_rows) entries, a proven bound, so it is
+    # broadcast to route rows without shuffling them.
+    keys = list(partition_cols)
+    hot = F.broadcast(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys))
+    cold_part = _bundle(df.join(hot, keys, "left_anti"), tuple(keys), order_col)
+    hot_part = split_series(df.join(hot, keys, "left_semi"), _bundle, LOOKBACK, split_rows, keys,
+                            order_col, bucket_days)
+    return cold_part.unionByName(hot_part)
 
 
 def split_series(

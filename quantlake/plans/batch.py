@@ -62,14 +62,20 @@ def run_batch(
     ingested_at: dt.datetime | str | Column | None = None,
     split_rows: int | str | None = "auto",
     dynamic_curated: bool = False,
+    split_threshold: int = SPLIT_THRESHOLD_ROWS,
+    split_chunk: int = SPLIT_CHUNK_ROWS,
 ) -> BatchResult:
     run = str(run_date)
     staging = clean(read_raw(spark, paths, run), ingested_at)
     n_staging = write_staging(staging, paths, run)
 
     history = read_staging_history(spark, paths)
-    split = choose_split(read_staging(spark, paths)) if split_rows == "auto" else split_rows
-    enriched = add_all_indicators(history, split_rows=split)
+    if split_rows == "auto":
+        split = choose_split(read_staging(spark, paths), split_threshold, split_chunk)
+        hot = split_threshold if split else None          # only the long series take the split plan
+    else:
+        split, hot = split_rows, None
+    enriched = add_all_indicators(history, split_rows=split, hot_rows=hot)
     n_curated = write_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
     return BatchResult(run, n_staging, n_curated, split)
 

@@ -214,3 +214,16 @@ def test_split_plan_fuzz(spark):
             assert close(split[k], plain[k]), (k, split[k], plain[k])
 
     check()
+
+
+def test_hybrid_split_only_hot_series(spark):
+    b = random_walk(spark, 3, 150)              # series of 150, 187 and 224 rows
+    cols = ("sma_50", "rsi_14", "macd_signal", "bb_upper")
+    plain = by_key(add_all_indicators(b), *cols)
+    hybrid = add_all_indicators(b, split_rows=60, bucket_days=20, hot_rows=180)
+    got = by_key(hybrid, *cols)
+    assert plain.keys() == got.keys()
+    for k in plain:
+        assert close(got[k], plain[k]), k
+    p = plan_text(hybrid)
+    assert "LeftAnti" in p and "LeftSemi" in p and "Union" in p

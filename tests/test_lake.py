@@ -106,3 +106,18 @@ def test_normalize_wide_skips_absent_and_fails_on_empty(spark):
         normalize_wide(wide, ["NOPE"])
     with pytest.raises(EmptyHistoryError):
         normalize_wide(wide.filter(F.lit(False)), ["BBB"])
+
+
+def test_batch_auto_split_matches_plain(spark, tmp_path):
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(120)]
+    rows = [(d, s, 10.0 + (i * 7 % 13), 30.0, 1.0, 10.0 + (i * 5 % 11), 100)
+            for s, n in (("HOT", 120), ("A", 40), ("B", 25)) for i, d in enumerate(days[:n])]
+    raw = spark.createDataFrame(rows, RAW)
+    out = {}
+    for mode, kw in (("plain", {"split_rows": None}), ("auto", {"split_threshold": 60, "split_chunk": 55})):
+        paths = LakePaths(str(tmp_path / mode))
+        lake.write_raw(raw, paths, "2024-05-01")
+        res = run_batch(spark, paths, "2024-05-01", ingested_at="2024-05-01 00:00:00", **kw)
+        out[mode] = (res, sorted(lake.read_curated(spark, paths).drop("ingested_at").collect()))
+    assert out["plain"][0].split_rows is None and out["auto"][0].split_rows == 99   # >= 2 x lookback + 1
+    assert out["auto"][1] == out["plain"][1]
