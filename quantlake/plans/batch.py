@@ -75,6 +75,10 @@ def run_batch(
         hot = split_threshold if split else None          # only the long series take the split plan
     else:
         split, hot = split_rows, None
+    if hot is not None:
+        # the hybrid plan reads the history three times (counts, hot rows, other rows):
+        # materialise the de-duplicated history once in the shared checkpoint folder
+        history = history.checkpoint(eager=True)
     enriched = add_all_indicators(history, split_rows=split, hot_rows=hot)
     n_curated = write_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
     return BatchResult(run, n_staging, n_curated, split)
