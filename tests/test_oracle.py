@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as ep  # noqa: E402
 from check_oracle import duck, rows_key  # noqa: E402
+from quantlake.plans.registry import QUERIES as REGISTRY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = ep.queries()
-SQL = ep.oracle_sql()
+SQL = {name: sql for name, sql in ep.oracle_sql().items() if name in REGISTRY}
+QUERIES = {name: fn for name, fn in ep.queries().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
