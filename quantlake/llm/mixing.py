@@ -4,9 +4,9 @@
    posterior over domains. Evidence is tempered (mean log-likelihood per word times at most EVIDENCE words), so
    memberships stay soft for long texts.
 2. Rates r >= floor are fitted so that the expected tokens of each domain, T_k(r) = sum_d r_d n_d p_dk, match
-   its share of the token budget: projected-gradient least squares on |T(r) - b|^2 in the norm of the inverse of
-   M = sum_d n_d p_d p_d' / sum_d n_d. In the metric n_d the step is r_d <- max(floor, r_d - p_d . M^-1 (T(r) - b) / W),
-   of step length 1; it starts from r = 1 and stops at TOLERANCE.
+   its share b_k of the token budget: projected-gradient least squares on |T(r) - b|^2, scaled by the inverse of
+   M = sum_d n_d p_d p_d'. A step is r_d <- max(floor, r_d - p_d . M^-1 (T(r) - b)); it starts from r = 1 and ends
+   at TOLERANCE. M sums the documents that are above the floor; after a step that didn't help, all of them.
 3. ``copies`` rounds a rate up or down by the document's own hash, so that expected totals are kept.
 
 Scale: texts are read once and kept as hashed words (one int each). Training counts are a map-side combined
@@ -94,15 +94,21 @@ def _dot(weights: np.ndarray) -> Column:
 def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = None, floor: float = 0.0) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """``members`` (rk, rows, n, p) with ``rate``; the targets and the totals reached.
 
-    ``budget``: tokens in all; None: as many as there are; 'enough' (any negative): the fewest at which no
-    domain has to shrink.
+    ``budget``: tokens in all; None: as many as there are; negative: the fewest at which no domain has to shrink.
     """
     dims = len(shares)
     weight, p = F.col("rows") * F.col("n"), [F.get("p", F.lit(k)) for k in range(dims)]
-    sums = members.agg(
-        *[F.coalesce(F.sum(weight * p[k]), F.lit(0.0)).alias(f"t{k}") for k in range(dims)],
-        *[F.coalesce(F.sum(weight * p[i] * p[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i in range(dims) for j in range(i, dims)]).first()
-    totals = np.array([sums[f"t{k}"] for k in range(dims)])
+
+    def measured(rows: DataFrame, rate: Column, on: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected totals at ``rate``, and the Gram matrix of the rows that ``on`` marks."""
+        w = F.when(on, weight).otherwise(0.0)
+        sums = rows.agg(
+            *[F.coalesce(F.sum(weight * rate * p[k]), F.lit(0.0)).alias(f"t{k}") for k in range(dims)],
+            *[F.coalesce(F.sum(w * p[i] * p[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i in range(dims) for j in range(i, dims)]).first()
+        gram = [[sums[f"m{min(i, j)}_{max(i, j)}"] for j in range(dims)] for i in range(dims)]
+        return np.array([sums[f"t{k}"] for k in range(dims)]), np.array(gram)
+
+    totals, whole = measured(members, F.lit(1.0), F.lit(True))
     tokens = float(totals.sum())
     shares = np.where(totals > 1e-9 * max(tokens, 1.0), shares, 0.0)
     if tokens <= 0 or shares.sum() <= 0:
@@ -111,17 +117,18 @@ def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = Non
     if budget is not None and budget < 0:
         budget = max(t / s for t, s in zip(totals, shares) if s > 0)
     goal = shares * (tokens if budget is None else budget)
-    gram = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] for j in range(dims)] for i in range(dims)]) / tokens
-    inverse = np.linalg.inv(gram + RIDGE * np.eye(dims) * max(np.trace(gram), 1e-12))
-    state, rate = members.withColumn("r", F.lit(1.0)), F.col("r")
+    state, rate, gram, best = members.withColumn("r", F.lit(1.0)), F.col("r"), whole, np.inf
     for step in range(1, MAX_ROUNDS + 1):
-        if np.abs(totals - goal).max() <= TOLERANCE * goal.sum():
+        off = np.abs(totals - goal).max()
+        if off <= TOLERANCE * goal.sum():
             break
-        rate = F.greatest(F.lit(float(floor)), rate - _dot(inverse @ (totals - goal) / tokens))
+        metric = gram if off < best else whole
+        best = min(best, off)
+        move = np.linalg.solve(metric + RIDGE * np.eye(dims) * max(np.trace(whole), 1e-12), totals - goal)
+        rate = F.greatest(F.lit(float(floor)), rate - _dot(move))
         if step % STORE_EVERY == 0:
             state, rate = stored(state.withColumn("r", rate), "rates"), F.col("r")
-        now = state.agg(*[F.sum(weight * p[k] * rate).alias(f"t{k}") for k in range(dims)]).first()
-        totals = np.array(now)
+        totals, gram = measured(state, rate, rate > floor)
     return state.withColumn("rate", rate).drop("r"), goal, totals
 
 

@@ -37,6 +37,7 @@ MIN_POSITIVES = 3       # a feature must occur in that many toxic examples,
 MIN_SURPLUS = 5.0       # and exceed its expectation by as many standard deviations: of a million features none by chance
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
+MAX_PRIOR = 0.25        # below the threshold: a text without any evidence is not rejected
 HELD_OUT = 2            # rows whose crc32(doc_id) mod 4 is this are never learnt from
 EPOCHS, BATCHES, RATE, DECAY = 40, 16, 0.05, 1e-4
 
@@ -97,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum(F.col("toxic")), F.lit(0))).first()
     if not toxic:
         return {}, 0.0, 0.0
-    prior = min(0.9, toxic / n)
+    prior = min(MAX_PRIOR, toxic / n)
     open_docs = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = docs.count()
