@@ -9,9 +9,9 @@ paragraph, leaves of up to four words are hashed (64 bits) to grade small edits.
 Likeness of two fingerprints: equal roots give 1; else the Dice share of their distinct leaves, at most just
 below 1. ``differing`` descends only into sections that the other tree lacks and lists the paragraphs that differ.
 
-Scale: every text is hashed once where it is read. The next document is met by a window inside buckets
+Scale: every text is hashed once, behind the one shuffle of the texts. The next document is met by a window inside buckets
 of neighbouring ids; the first row of a bucket is also put behind the end of the bucket before, so buckets are
-independent. Bucket bounds come from one aggregate (quantiles of the ids). The text is shuffled once.
+independent. Bucket bounds come from one aggregate (quantiles of the ids).
 
 Defined cases: null text is empty and has one empty paragraph; ids are taken in descending order, null ids
 last, rows equal in id by the hash of their text; after the last comes the first, so a table of
@@ -96,7 +96,7 @@ def neighbour_bucket(rows: DataFrame, key: str) -> Column:
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, tree, next (struct text, tree): every row with the next one in descending id."""
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    rows = add_tree(ids.select("*", F.xxhash64("text").alias("h")), "text", "tree")
+    rows = ids.select("*", F.xxhash64("text").alias("h"))
     bucket = neighbour_bucket(ids, "doc_id")
     order = F.struct("doc_id", "h")  # null ids are least
     keyed = ids.select("doc_id", F.xxhash64("text").alias("h")).withColumn("bucket", bucket)
@@ -106,8 +106,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     lowest = F.min("bucket").over(Window.orderBy(F.col("bucket")))
     lent = heads.select(F.col("head.doc_id").alias("hid"), F.col("head.h").alias("hh"), F.coalesce(above, lowest).alias("to"))
     ghosts = rows.join(F.broadcast(lent), F.col("doc_id").eqNullSafe(F.col("hid")) & (F.col("h") == F.col("hh")))
-    ghosts = ghosts.select("doc_id", "text", "h", "tree", F.col("to").alias("bucket"), F.lit(True).alias("ghost"))
-    every = rows.withColumn("bucket", bucket).select("doc_id", "text", "h", "tree", "bucket", F.lit(False).alias("ghost")).unionByName(ghosts)
+    ghosts = ghosts.select("doc_id", "text", "h", F.col("to").alias("bucket"), F.lit(True).alias("ghost"))
+    every = rows.withColumn("bucket", bucket).withColumn("ghost", F.lit(False)).unionByName(ghosts)
+    # hashed behind the shuffle, which then moves the texts only
+    every = add_tree(every.repartition("bucket"), "text", "tree")
     w = Window.partitionBy("bucket").orderBy(F.col("ghost"), F.col("doc_id").desc_nulls_last(), F.col("h").desc())
     return every.withColumn("next", F.lead(F.struct("text", "tree")).over(w)).where(~F.col("ghost")).select("doc_id", "text", "tree", "next")
 
