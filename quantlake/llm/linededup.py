@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantlake.llm.common import row_key, table, whole_text
+from quantlake.llm.common import row_key, stored, table, whole_text
 
 WINDOW_LINES = 3
 
@@ -48,7 +48,7 @@ def later_windows(windows: DataFrame) -> DataFrame:
 
 def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW_LINES) -> DataFrame:
     """rk, covered: the sorted 0-based lines that later windows cover, one row per document that has any."""
-    later = later_windows(line_windows(docs, id_col, text_col, size))
+    later = later_windows(stored(line_windows(docs, id_col, text_col, size), "line-windows"))
     marks = later.groupBy("rk").agg(F.collect_set("line").alias("starts"))
     spread = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (size - 1))))
     return marks.select("rk", F.array_sort(F.array_distinct(spread)).alias("covered"))
