@@ -35,6 +35,8 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 
+SALT = 32
+
 
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,7 +85,10 @@ def rule_hits(parsed: DataFrame, rules: DataFrame) -> DataFrame:
             (-F.length("rule")).alias("n"), (-F.length("rule_host")).alias("h"), "rule_path", "rule", "rule_verdict"))).alias("fits"))
     # the rules that fit one host are bounded by the rules, not by the pages
     best = F.get(F.filter("fits", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
-    return parsed.join(known, "host", "left").withColumn("best", best).withColumn("rule", F.col("best.rule")).withColumn(
+    # a host may hold a third of all pages, so it is met in SALT places
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    met = parsed.withColumn("salt", F.pmod(F.hash("path", "node"), F.lit(SALT))).join(known, ["host", "salt"], "left").drop("salt")
+    return met.withColumn("best", best).withColumn("rule", F.col("best.rule")).withColumn(
         "rule_verdict", F.col("best.rule_verdict")).drop("fits", "best")
 
 
