@@ -79,24 +79,19 @@ TICK_JSON = StructType(
 # landed ticks: partitioned by date_partition then symbol
 RAW_TICKS = StructType(
     [
-        _f("timestamp", StringType(), "ISO-8601 UTC tick timestamp"),
-        _f("price", DoubleType(), "last traded price"),
-        _f("volume", LongType(), "last traded volume"),
-        _f("open", DoubleType(), "day open price"),
-        _f("high", DoubleType(), "day high price"),
-        _f("low", DoubleType(), "day low price"),
-        _f("prev_close", DoubleType(), "previous close price"),
-        _f("event_time", TimestampType(), "parsed event time"),
+        _f("timestamp", StringType(), "time text as the feed sent it"),
+        _f("price", DoubleType(), "price of the trade"),
+        _f("volume", LongType(), "shares in the trade, may be absent"),
+        _f("open", DoubleType(), "first price of that day"),
+        _f("high", DoubleType(), "dearest price of that day so far"),
+        _f("low", DoubleType(), "cheapest price of that day so far"),
+        _f("prev_close", DoubleType(), "close of the trading day before"),
+        _f("event_time", TimestampType(), "the time text as an instant"),
         _f("date_partition", DateType()),
         _f("symbol", StringType()),
     ]
 )
 
-# Kafka record shape used by the encoder and the decoder
-KAFKA_RECORD = StructType(
-    [_f("topic", StringType()), _f("key", StringType()), _f("value", StringType())]
-)
-
 UNIVERSE = StructType([_f("symbol", StringType())])
 
 
