@@ -17,11 +17,12 @@ third of all rows would be one task. ``split_rows`` turns on the split plan:
 each series is cut into chunks of ``split_rows`` consecutive rows and every
 chunk is given a halo of the ``LOOKBACK`` rows before it, so chunks are
 independent tasks and the halo rows are dropped afterwards. Row positions come
-from per-(symbol, time bucket) counts, never from a window over a whole symbol.
+from counts per (symbol, quantile bucket), never from a window over a whole symbol.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,6 +138,15 @@ def add_bollinger(df: DataFrame, period: int = 20, std_dev: float = 2.0, price_c
 
 # ---- the fused bundle -----------------------------------------------------
 
+def last_bars(df: DataFrame, rows: int, partition_cols: Keys = ("symbol",), order_col: str = "date") -> DataFrame:
+    """The last ``rows`` rows of each series: all that a bundle value of its last row looks at is LOOKBACK + 1 rows.
+
+    Spark keeps only so many rows per series in every input task (window group limit) before the shuffle.
+    """
+    newest = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).desc())
+    return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rows).drop("_rank")
+
+
 def _bundle(df: DataFrame, keys: Keys, order: str, price_col: str = "close") -> DataFrame:
     """W09 in three projections; adds the ten curated indicator columns."""
     base = df.columns
@@ -187,32 +197,39 @@ def add_all_indicators(
     partition_cols: Keys = ("symbol",),
     order_col: str = "date",
     split_rows: int | None = None,
-    bucket_days: int = 366,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """The fixed bundle (SMA 20/50, EMA 20, RSI 14, MACD 12-26-9, Bollinger 20x2).
 
     ``split_rows`` (optional) splits every series into chunks of that many rows
-    with a LOOKBACK-row halo, so a hot symbol spreads over many tasks. Rows are
-    counted in time buckets ``bucket_days`` wide (DATE or TIMESTAMP order
-    column; a numeric order column is bucketed by value). With ``hot_rows`` only
-    the series longer than that take the split plan and the rest the plain one.
+    with a LOOKBACK-row halo, so a hot symbol spreads over many tasks. With
+    ``hot_rows`` only the series longer than that take the split plan and the
+    rest the plain one. All plans return the same rows, NULL keys and NULL
+    order values included.
     """
     if split_rows is None:
         return _bundle(df, tuple(partition_cols), order_col)
     if hot_rows is None:
-        return split_series(df, _bundle, LOOKBACK, split_rows, partition_cols, order_col, bucket_days)
-    # hybrid: only series longer than hot_rows take the split plan. The hot key
-    # list has at most (total rows / hot_rows) entries, a proven bound, so it is
-    # broadcast to route rows without shuffling them.
+        return split_series(df, _bundle, LOOKBACK, split_rows, partition_cols, order_col)
+    # hybrid: the long series are found by a map-side combined count; how to join with them is left to Spark
     keys = list(partition_cols)
-    hot = F.broadcast(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys))
-    cold_part = _bundle(df.join(hot, keys, "left_anti"), tuple(keys), order_col)
-    hot_part = split_series(df.join(hot, keys, "left_semi"), _bundle, LOOKBACK, split_rows, keys,
-                            order_col, bucket_days)
+    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    same = _null_safe(df, keys, hot, [f"_h_{k}" for k in keys])
+    cold_part = _bundle(df.join(hot, same, "left_anti"), tuple(keys), order_col)
+    hot_part = split_series(df.join(hot, same, "left_semi"), _bundle, LOOKBACK, split_rows, keys, order_col)
     return cold_part.unionByName(hot_part)
 
 
+def _null_safe(left: DataFrame, left_cols: Keys, right: DataFrame, right_cols: Keys) -> Column:
+    """Equality of all column pairs in which NULL equals NULL."""
+    pairs = [left[a].eqNullSafe(right[b]) for a, b in zip(left_cols, right_cols)]
+    return functools.reduce(lambda x, y: x & y, pairs)
+
+
+# a series is counted in this many buckets of about equal size
+SPLIT_BUCKETS = 64
+
+
 def split_series(
     df: DataFrame,
     fn,
@@ -220,28 +237,38 @@ def split_series(
     chunk_rows: int,
     partition_cols: Keys = ("symbol",),
     order_col: str = "date",
-    bucket_days: int = 366,
 ) -> DataFrame:
     """Evaluate a trailing-window function ``fn(df, keys, order)`` chunk by chunk.
 
-    1. bucket rows by time and count rows per (key, bucket): a small table;
-    2. a running sum over those counts gives each bucket's first row position;
+    1. one aggregate gives each series' approximate quantiles of the order column; they cut it
+       into ``SPLIT_BUCKETS`` buckets of about equal row counts, whatever its time scale
+       (NULL order values are first, in a bucket of their own);
+    2. exact counts per (key, bucket), a small table, and their running sum give each bucket's first position;
     3. row_number inside (key, bucket) completes the exact position in the series;
     4. rows go to chunk ``pos // chunk_rows``; the last ``lookback`` rows of a chunk
        are copied into the next chunk as halo;
     5. ``fn`` runs over (key, chunk) ordered by position; halo copies are dropped.
-    Every step is partitioned finer than the key, so no task holds a whole series.
+    Rows are sorted by (key, bucket) and (key, chunk) only. Joins are null-safe, so every row is kept.
     """
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed the lookback")
     keys = list(partition_cols)
     cols = df.columns
-    bucketed = df.withColumn("_bkt", F.floor(_days(df, order_col) / F.lit(bucket_days)))
+    rank = _as_number(df, order_col)
+    points = [i / SPLIT_BUCKETS for i in range(1, SPLIT_BUCKETS)]
+    cuts = df.groupBy(*keys).agg(F.percentile_approx(rank, points, 4096).alias("_cuts"))
+    cuts = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts")
+    bucket = F.when(rank.isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c <= rank)))
+    bucketed = df.join(cuts, _null_safe(df, keys, cuts, [f"_c_{k}" for k in keys])).select(*cols, bucket.alias("_bkt"))
     counts = bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_bkt").alias("_o_bkt"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+    )
     rn = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order_col))
-    placed = bucketed.withColumn("_rn", rn).join(offsets, [*keys, "_bkt"])
+    numbered = bucketed.withColumn("_rn", rn)
+    placed = numbered.join(offsets, _null_safe(numbered, [*keys, "_bkt"], offsets, [*[f"_o_{k}" for k in keys], "_o_bkt"]))
     pos = F.col("_off") + F.col("_rn") - F.lit(1)
     placed = placed.withColumns({"_pos": pos, "_home": F.floor(pos / F.lit(chunk_rows))})
     in_halo = F.pmod(F.col("_pos"), F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
@@ -252,12 +279,13 @@ def split_series(
     return out.filter(F.col("_chunk") == F.col("_home")).select(*cols, *extra)
 
 
-def _days(df: DataFrame, col: str) -> Column:
-    """Order column as a day number (DATE, TIMESTAMP) or as its own value (numeric)."""
+def _as_number(df: DataFrame, col: str) -> Column:
+    """Order column as a number with the same order: days, microseconds, or its own value."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, DateType):
         return F.unix_date(F.col(col))
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")) / F.lit(86_400_000_000)
+    if isinstance(dtype, TimestampNTZType):
+        return F.unix_micros(F.col(col).cast("timestamp"))
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(F.col(col))
     return F.col(col)
-

@@ -141,7 +141,7 @@ def test_split_plan_equals_plain(spark, chunk):
     b = random_walk(spark)
     cols = ("sma_20", "sma_50", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist", "bb_upper", "bb_mid", "bb_lower")
     plain = by_key(add_all_indicators(b), *cols)
-    split = by_key(add_all_indicators(b, split_rows=chunk, bucket_days=30), *cols)
+    split = by_key(add_all_indicators(b, split_rows=chunk), *cols)
     assert plain.keys() == split.keys()
     for k in plain:
         assert close(split[k], plain[k]), (k, split[k], plain[k])
@@ -178,7 +178,7 @@ def test_split_plan_on_timestamps(spark):
     b = random_walk(spark, 2, 300).withColumn("date", F.col("date").cast("timestamp"))
     cols = ("sma_50", "rsi_14", "macd_signal", "bb_upper")
     plain = by_key(add_all_indicators(b), *cols)
-    split = by_key(add_all_indicators(b, split_rows=60, bucket_days=7), *cols)
+    split = by_key(add_all_indicators(b, split_rows=60), *cols)
     assert plain.keys() == split.keys()
     for k in plain:
         assert close(split[k], plain[k]), k
@@ -192,11 +192,10 @@ def test_split_plan_fuzz(spark):
     @given(
         lengths=st.lists(st.integers(1, 160), min_size=1, max_size=3),
         chunk=st.integers(LOOKBACK + 1, 120),
-        bucket_days=st.integers(1, 90),
         gap=st.integers(1, 9),
         seed=st.integers(0, 10_000),
     )
-    def check(lengths, chunk, bucket_days, gap, seed):
+    def check(lengths, chunk, gap, seed):
         rnd = random.Random(seed)
         series = {}
         for s, n in enumerate(lengths):
@@ -208,7 +207,7 @@ def test_split_plan_fuzz(spark):
         b = bars(spark, series)
         cols = ("sma_50", "rsi_14", "macd_signal", "bb_lower")
         plain = by_key(add_all_indicators(b), *cols)
-        split = by_key(add_all_indicators(b, split_rows=chunk, bucket_days=bucket_days), *cols)
+        split = by_key(add_all_indicators(b, split_rows=chunk), *cols)
         assert plain.keys() == split.keys()
         for k in plain:
             assert close(split[k], plain[k]), (k, split[k], plain[k])
@@ -220,10 +219,45 @@ def test_hybrid_split_only_hot_series(spark):
     b = random_walk(spark, 3, 150)              # series of 150, 187 and 224 rows
     cols = ("sma_50", "rsi_14", "macd_signal", "bb_upper")
     plain = by_key(add_all_indicators(b), *cols)
-    hybrid = add_all_indicators(b, split_rows=60, bucket_days=20, hot_rows=180)
+    hybrid = add_all_indicators(b, split_rows=60, hot_rows=180)
     got = by_key(hybrid, *cols)
     assert plain.keys() == got.keys()
     for k in plain:
         assert close(got[k], plain[k]), k
     p = plan_text(hybrid)
     assert "LeftAnti" in p and "LeftSemi" in p and "Union" in p
+
+
+def test_split_keeps_null_keys_and_null_dates(spark):
+    b = random_walk(spark, 2, 200)
+    odd = spark.createDataFrame(
+        [(None, "S0", 5.0), (dt.date(2030, 1, 1), None, 6.0), (dt.date(2030, 1, 2), None, 7.0), (None, None, 8.0)],
+        "date date, symbol string, close double")
+    b = b.unionByName(odd, allowMissingColumns=True)
+    cols = ("close", "sma_50", "rsi_14", "macd_signal", "bb_upper")
+    plain, split, hybrid = (
+        by_key(add_all_indicators(b, **kw), *cols) for kw in ({}, {"split_rows": 64}, {"split_rows": 64, "hot_rows": 100}))
+    assert b.count() == len(plain) and plain.keys() == split.keys() == hybrid.keys()
+    for k in plain:
+        assert close(split[k], plain[k]) and close(hybrid[k], plain[k]), k
+
+
+def test_split_spreads_one_intraday_series(spark):
+    """300,000 one-second rows of one symbol: many buckets, none of them large."""
+    from quantlake.operators import indicators as I
+
+    b = spark.range(300_000).select(
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("date"), F.lit("HOT").alias("symbol"), (F.col("id") % 97 + 1.0).alias("close"))
+    placed = {}
+
+    def probe(df, keys, order):
+        placed["chunks"] = df.groupBy(*keys).count()
+        return df
+
+    out = I.split_series(b, probe, LOOKBACK, 10_000)
+    assert out.count() == 300_000
+    sizes = [r["count"] for r in placed["chunks"].collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 10_000 + LOOKBACK
+    rank = I._as_number(b, "date")
+    cuts = b.groupBy("symbol").agg(F.percentile_approx(rank, [i / I.SPLIT_BUCKETS for i in range(1, I.SPLIT_BUCKETS)], 4096).alias("c")).first()["c"]
+    assert len(set(cuts)) == I.SPLIT_BUCKETS - 1
