@@ -64,24 +64,40 @@ def market_status(
 ) -> Column:
     """LIVE when minute-of-day is within [open, close], weekday in range and volume > 0.
 
-    ``event_time`` is an instant; the session time zone must be UTC (set by
-    ``quantlake.session``) so that ``tz`` is the only shift applied.
+    ``event_time`` is an instant, read on the clock of ``tz`` whatever the session time zone is.
     """
     t = _c(event_time)
     if tz != "UTC":
-        t = F.from_utc_timestamp(t, tz)
-    minute_of_day = F.hour(t) * 60 + F.minute(t)
+        t = F.from_utc_timestamp(t, tz)  # shifts the instant, so that its UTC reading is the clock of ``tz``
+    minute_of_day = F.pmod(F.floor(F.unix_seconds(t) / 60), F.lit(1440))
     live = (
         minute_of_day.between(open_min, close_min)
-        & F.dayofweek(t).between(trading_dow[0], trading_dow[1])
+        & F.dayofweek(utc_day(t)).between(trading_dow[0], trading_dow[1])
         & (F.coalesce(_c(volume), F.lit(0)) > 0)
     )
     return F.when(live, F.lit(LIVE)).otherwise(F.lit(CLOSED))
 
 
+def utc_day(ts: Column | str) -> Column:
+    """The UTC date of an instant, whatever the session time zone is."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / 86400).cast("int"))
+
+
+def utc_instant(text: Column | str) -> Column:
+    """ISO-8601 text as an instant; text without an offset is UTC. NULL if it can't be read."""
+    text = _c(text)
+    bare = text.rlike(r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{1,2}:[0-9:.]*\s*$")
+    return F.try_to_timestamp(F.when(bare, F.concat(F.trim(text), F.lit("Z"))).otherwise(text))
+
+
 def iso_timestamp(ts: Column | str) -> Column:
-    """ISO-8601 text with microseconds and an explicit UTC offset, as the tick feed sends."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """ISO-8601 text of an instant in UTC, with microseconds and the offset, as the tick feed sends."""
+    ts = _c(ts).cast("timestamp")
+    seconds = F.pmod(F.unix_seconds(ts), F.lit(86400))
+    return F.format_string(
+        "%sT%02d:%02d:%02d.%06d+00:00", utc_day(ts).cast("string"), F.floor(seconds / 3600), F.floor(F.pmod(seconds, F.lit(3600)) / 60),
+        F.pmod(seconds, F.lit(60)), F.pmod(F.unix_micros(ts), F.lit(1000000)),
+    )
 
 
 def topic_for(symbol: Column | str, prefix: str) -> Column:

@@ -28,14 +28,18 @@ class LakePaths:
     def curated_ohlcv(self) -> str:
         return self._p("curated", "ohlcv")
 
-    @property
-    def curated_indicators(self) -> str:
-        return self._p("curated", "indicators")
-
     @property
     def tick_checkpoint(self) -> str:
         return self._p("checkpoints", "ticks")
 
+    @property
+    def rejected_ticks(self) -> str:
+        return self._p("raw", "ticks_rejected")
+
+    @property
+    def reject_checkpoint(self) -> str:
+        return self._p("checkpoints", "ticks_rejected")
+
     def partition(self, zone: str, **keys: str) -> str:
         base = getattr(self, zone)
         return "/".join([base] + [f"{k}={v}" for k, v in keys.items()])

@@ -3,7 +3,7 @@ from quantlake.streaming.ticks import (
     decode_ticks,
     landed_columns,
     read_landed_ticks,
-    run_stream,
+    start_reject_sink,
     start_tick_sink,
 )
 
@@ -12,6 +12,6 @@ __all__ = [
     "decode_ticks",
     "landed_columns",
     "read_landed_ticks",
-    "run_stream",
+    "start_reject_sink",
     "start_tick_sink",
 ]

@@ -13,11 +13,12 @@ repeats files, and readers of the folder see committed files only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
+from quantlake.functions.exprs import utc_day, utc_instant
 from quantlake.schemas import RAW_TICKS, TICK_JSON
 
 BAD_RECORDS = ("keep", "quarantine")
@@ -28,8 +29,8 @@ def decode_ticks(records: DataFrame, value_col: str = "value", bad_records: str
     """Kafka-style records (``value`` as binary or text) -> tick rows.
 
     ``bad_records="keep"`` keeps an unparseable payload as an all-NULL row (the
-    source pipeline's behaviour); ``"quarantine"`` drops it from this output
-    (see ``bad_tick_records`` for the other side). ``lenient_volume`` accepts
+    source pipeline's behaviour); ``"quarantine"`` leaves it to ``start_reject_sink``,
+    which lands the other side. ``lenient_volume`` accepts
     ``3.0`` for the integer volume field instead of yielding NULL.
     """
     if bad_records not in BAD_RECORDS:
@@ -41,20 +42,30 @@ def decode_ticks(records: DataFrame, value_col: str = "value", bad_records: str
         ])
     parsed = records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("t"))
     if bad_records == "quarantine":
-        parsed = parsed.filter(F.col("t.symbol").isNotNull() & F.col("t.timestamp").isNotNull())
+        parsed = parsed.filter(_good(F.col("t")))
     ticks = parsed.select("t.*")
     if lenient_volume:
         ticks = ticks.withColumn("volume", F.col("volume").try_cast("double").try_cast("bigint"))
-    return ticks.withColumn("event_time", F.try_to_timestamp("timestamp")).withColumn(
-        "date_partition", F.to_date("event_time")
-    )
+    return ticks.withColumn("event_time", utc_instant("timestamp")).withColumn("date_partition", utc_day("event_time"))
 
 
 def bad_tick_records(records: DataFrame, value_col: str = "value") -> DataFrame:
-    """Payloads that do not decode to a tick with a symbol and a timestamp."""
-    text = F.col(value_col).cast("string")
-    t = F.from_json(text, TICK_JSON)
-    return records.filter(t.isNull() | t.symbol.isNull() | t.timestamp.isNull())
+    """The other side of ``quarantine``: payloads without a symbol or a readable timestamp."""
+    t = F.from_json(F.col(value_col).cast("string"), TICK_JSON)
+    return records.filter(~_good(t))
+
+
+def _good(t: Column) -> Column:
+    return F.coalesce(t.isNotNull() & t.symbol.isNotNull() & utc_instant(t.timestamp).isNotNull(), F.lit(False))
+
+
+def start_reject_sink(records: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
+                      available_now: bool = False, value_col: str = "value") -> StreamingQuery:
+    """Land what ``bad_records="quarantine"`` keeps out, as text with the time it was seen."""
+    bad = bad_tick_records(records, value_col).select(
+        F.col(value_col).cast("string").alias("value"), F.current_timestamp().alias("rejected_at"))
+    w = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
 
 
 def landed_columns(ticks: DataFrame) -> DataFrame:
@@ -102,11 +113,3 @@ def start_tick_sink(
 def read_landed_ticks(spark: SparkSession, path: str) -> DataFrame:
     """Landed ticks by path; the sink's metadata log limits this to committed files."""
     return spark.read.schema(RAW_TICKS).parquet(path)
-
-
-def run_stream(spark: SparkSession, records: DataFrame, path: str, checkpoint: str,
-               trigger: str = "30 seconds", files_per_folder: int | None = None) -> None:
-    """The long-running job: decode the record stream and land it until stopped."""
-    q = start_tick_sink(decode_ticks(records), path, checkpoint, trigger=trigger,
-                        files_per_folder=files_per_folder)
-    q.awaitTermination()
