@@ -34,17 +34,3 @@ def keep_max_per_key(
     row = F.struct(*[F.col(c) for c in rest])
     best = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order_cols)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
-
-
-def keep_min_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-) -> DataFrame:
-    """One row per ``keys``: the row whose ``order`` tuple is smallest."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order_cols)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

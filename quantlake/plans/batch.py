@@ -1,35 +1,37 @@
-"""The daily batch: raw run partition -> staging -> curated with indicators.
+"""The daily jobs: landing a vendor history, and raw run partition -> staging -> curated with indicators.
 
-One action per zone write; the staging row count comes from the same pass
+One action per zone write; row counts come from the same pass
 (``Observation``). Staging is read back from its files before the indicator
-step, which cuts the lineage between the two halves. There is no global sort
-before the windows (the source pipeline had one; it does not change results
-and costs a range shuffle): the window's own hash partitioning orders rows.
+step, which cuts the lineage between the two halves. The history is shuffled
+once by symbol and sorted once by (symbol, date): the newest run of each bar is
+picked, and all indicator windows evaluated, on that one order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quantlake.operators.cleaning import clean, ingested_at_as_text
-from quantlake.operators.indicators import LOOKBACK, add_all_indicators
+from quantlake.operators.indicators import add_all_indicators
 from quantlake.paths import LakePaths
+from quantlake.sources import catalog
 from quantlake.sources.lake import (
-    read_curated,
+    history_by_symbol,
     read_raw,
     read_staging,
-    read_staging_history,
     write_curated,
+    write_raw,
     write_staging,
 )
+from quantlake.sources.wide import EmptyHistoryError, normalize_wide
 
-# a symbol with more bars than this is computed with the split (chunked) plan
-SPLIT_THRESHOLD_ROWS = 2_000_000
-SPLIT_CHUNK_ROWS = 500_000
+
+class EmptyRunError(RuntimeError):
+    """The raw zone holds no row for the run date; nothing was written."""
 
 
 @dataclass
@@ -40,19 +42,16 @@ class BatchResult:
     split_rows: int | None
 
 
-def choose_split(bars: DataFrame, threshold: int = SPLIT_THRESHOLD_ROWS,
-                 chunk_rows: int = SPLIT_CHUNK_ROWS) -> int | None:
-    """Chunk size for the split window plan when the largest series exceeds ``threshold`` rows.
+def run_ingest(spark: SparkSession, paths: LakePaths, wide: DataFrame, run_date: str | dt.date,
+               symbols: Sequence[str] | None = None, date_col: str = "Date") -> int:
+    """Reshape a wide vendor history of the requested symbols and land it as one run; returns its rows.
 
-    Series length = distinct dates per symbol, so the raw staging scan can be
-    used (two columns, hash aggregates) instead of the de-duplicated history;
-    a single number comes back to the driver.
+    Nothing is replaced by an empty history: the rows are looked for before the run partition is written.
     """
-    per_symbol = bars.select("symbol", "date").distinct().groupBy("symbol").count()
-    biggest = per_symbol.agg(F.max("count")).head()[0]
-    if biggest is None or biggest <= threshold:
-        return None
-    return max(chunk_rows, 2 * LOOKBACK + 1)
+    bars = normalize_wide(wide, symbols, date_col)
+    if wide.isEmpty():
+        raise EmptyHistoryError("the vendor history has no rows")
+    return write_raw(bars, paths, str(run_date))
 
 
 def run_batch(
@@ -60,29 +59,37 @@ def run_batch(
     paths: LakePaths,
     run_date: str | dt.date,
     ingested_at: dt.datetime | str | Column | None = None,
-    split_rows: int | str | None = "auto",
+    split_rows: int | None = None,
     dynamic_curated: bool = False,
-    split_threshold: int = SPLIT_THRESHOLD_ROWS,
-    split_chunk: int = SPLIT_CHUNK_ROWS,
+    allow_empty: bool = False,
+    database: str | None = None,
 ) -> BatchResult:
+    """One run date through staging into curated.
+
+    A run date without raw rows raises ``EmptyRunError`` before any write, unless ``allow_empty``.
+    ``split_rows`` evaluates series in chunks (for intraday bars; see ``split_series``). With
+    ``database`` the curated table is registered there, its new partitions included, and its views refreshed.
+    """
     run = str(run_date)
-    staging = clean(read_raw(spark, paths, run), ingested_at)
-    n_staging = write_staging(staging, paths, run)
-
-    history = read_staging_history(spark, paths)
-    if split_rows == "auto":
-        split = choose_split(read_staging(spark, paths), split_threshold, split_chunk)
-        hot = split_threshold if split else None          # only the long series take the split plan
-    else:
-        split, hot = split_rows, None
-    if hot is not None:
-        # the hybrid plan reads the history three times (counts, hot rows, other rows):
-        # materialise the de-duplicated history once in the shared checkpoint folder
-        history = history.checkpoint(eager=True)
-    enriched = add_all_indicators(history, split_rows=split, hot_rows=hot)
+    raw = read_raw(spark, paths, run)
+    if not allow_empty and raw.isEmpty():
+        raise EmptyRunError(f"no raw rows for run date {run}")
+    n_staging = write_staging(clean(raw, ingested_at), paths, run)
+    history = history_by_symbol(read_staging(spark, paths))
+    enriched = add_all_indicators(history, split_rows=split_rows)
     n_curated = write_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
-    return BatchResult(run, n_staging, n_curated, split)
-
-
-def curated_table(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return read_curated(spark, paths)
+    if database:
+        refresh_catalog(spark, paths, database)
+    return BatchResult(run, n_staging, n_curated, split_rows)
+
+
+def refresh_catalog(spark: SparkSession, paths: LakePaths, database: str, ticks: bool = False) -> list[str]:
+    """Create what is missing in ``database``, register new partitions, replace the views; returns the view names."""
+    catalog.create_database(spark, database, use=False)
+    curated = catalog.create_curated_table(spark, paths, database)
+    catalog.repair(spark, curated)
+    spark.catalog.refreshTable(curated)
+    if ticks:
+        table = catalog.create_ticks_table(spark, paths, database)
+        catalog.repair(spark, table)
+    return catalog.create_views(spark, database, ticks=ticks)

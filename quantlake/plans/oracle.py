@@ -29,8 +29,8 @@ def _with(*ctes: tuple[str, str], body: str) -> str:
 
 def E(price: str = "value") -> str:
     return f"""SELECT CAST(ts AS DATE) AS date, event_type AS symbol,
-       arg_min({price}, ts) AS open, max({price}) AS high, min({price}) AS low,
-       arg_max({price}, ts) AS close, count(*) AS volume
+       arg_min({price}, row(ts, event_id)) AS open, max({price}) AS high, min({price}) AS low,
+       arg_max({price}, row(ts, event_id)) AS close, count(*) AS volume
 FROM events GROUP BY 1, 2"""
 
 
@@ -278,11 +278,16 @@ ORACLE_SQL: dict[str, str] = {
 FROM i_ind GROUP BY 1, 2""",
     ),
     "registered_views": _with(
-        *TI,
-        body="""SELECT symbol, CAST(CAST(date_trunc('week', date) AS DATE) AS VARCHAR) AS week_start,
-       min(low) AS week_low, max(high) AS week_high, CAST(sum(volume) AS BIGINT) AS week_volume,
-       arg_min(open, date) AS week_open, arg_max(close, date) AS week_close
-FROM i_ind GROUP BY 1, 2""",
+        *TI, ("v01", V01), ("v03", V03), ("v04", V04), ("v05", V05),
+        ("wk", """SELECT symbol, date_trunc('week', date) AS w, sum(volume) AS week_volume FROM i_ind GROUP BY 1, 2"""),
+        *LATEST, ("v07", V07),
+        body=" UNION ALL ".join(
+            f"SELECT '{name}' AS view_name, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, "
+            f"coalesce({ST(f'sum({col})', 2)}, 0.0) AS check_sum FROM {src}"
+            for name, src, col in (
+                ("v_daily_summary", "v01", "volume"), ("v_weekly_rollup", "wk", "week_volume"), ("v_top_movers", "v03", "change_pct"),
+                ("v_rsi_signals", "v04", "close"), ("v_bollinger_squeeze", "v05", "close"), ("v_latest_ticks", "v06", "price"),
+                ("v_tick_history", "v07", "price"))),
     ),
     "v_top_movers": _with(*TI, body=V03),
     "v_rsi_signals": _with(

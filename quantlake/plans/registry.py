@@ -13,6 +13,7 @@ session's shared checkpoint folder and return the table read back.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ from quantlake.operators.indicators import (
     add_macd,
     add_rsi,
     add_sma,
+    LOOKBACK,
+    last_bars,
 )
 from quantlake.paths import LakePaths
 from quantlake.plans import measures as M
@@ -43,23 +46,24 @@ from quantlake.sources.testdata import (
     dirty_bars,
     event_ticks,
     events_bars,
-    table,
+    latest_event_day,
+    latest_trade_day,
     trade_bars,
     wide_history,
 )
 from quantlake.sources.universe import in_universe, universe_frame
 from quantlake.sources.wide import normalize_wide
-from quantlake.streaming.ticks import decode_ticks, read_landed_ticks, start_tick_sink
+from quantlake.streaming.ticks import decode_ticks, landed_columns, read_landed_ticks, start_tick_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- fixed parameters of the registered queries ---------------------------
-EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]   # event types = symbols of E
 UNIVERSE = ["click", "purchase", "view", "refund"]                 # tracked list; "refund" has no data
-WIDE_REQUEST = EVENT_SYMBOLS + ["refund"]                          # requested tickers, one absent
 FIXED_INGESTED_AT = "2024-02-02 00:00:00"                          # stands in for the wall clock
 TOP_N = 5
 SPLIT_TEST_ROWS = 64                                               # forces many chunks at test scale
+VIEW_CHECK = {"v_daily_summary": "volume", "v_weekly_rollup": "week_volume", "v_top_movers": "change_pct", "v_rsi_signals": "close",
+              "v_bollinger_squeeze": "close", "v_latest_ticks": "price", "v_tick_history": "price"}  # column summed per view
 # ---------------------------------------------------------------------------
 
 AVERAGED = set(INDICATOR_COLS) | {
@@ -88,6 +92,12 @@ def _curated_t(spark, sf):
     return add_all_indicators(trade_bars(spark, sf))
 
 
+def _recent_curated_t(spark, sf):
+    """Curated bars of the latest day: windows over the last bars of each symbol, not over all history."""
+    recent = last_bars(trade_bars(spark, sf), LOOKBACK + 1)
+    return add_all_indicators(recent).filter(F.col("date") == F.lit(latest_trade_day(spark, sf)))
+
+
 def _daily_t(spark, sf):
     return V.v_daily_summary(_curated_t(spark, sf))
 
@@ -105,21 +115,18 @@ def _ticks_k(spark, sf):
 
 
 def _today_k(spark, sf):
-    """'Today' for the tick views: the latest event day (every event becomes a tick).
-
-    Read from the source table, so the scalar subquery is one column-pruned
-    aggregate instead of a second run of the tick adapter (on a landed tick
-    table ``as_of="latest"`` is the cheap form).
-    """
-    return table(spark, sf, "events").agg(F.max(F.to_date("ts"))).scalar()
+    """'Today' for the tick views: the latest event day (every event becomes a tick)."""
+    return latest_event_day(spark, sf)
 
 
 def _latest_k(spark, sf):
-    return V.v_latest_ticks(_ticks_k(spark, sf), as_of=_today_k(spark, sf))
+    day = _today_k(spark, sf)
+    return V.v_latest_ticks(event_ticks(spark, sf, day), as_of=day)
 
 
 def _history_k(spark, sf):
-    return V.v_tick_history(_ticks_k(spark, sf), as_of=_today_k(spark, sf))
+    day = _today_k(spark, sf)
+    return V.v_tick_history(event_ticks(spark, sf, day), as_of=day)
 
 
 def _bar_cols(df: DataFrame, *extra: str) -> DataFrame:
@@ -129,7 +136,10 @@ def _bar_cols(df: DataFrame, *extra: str) -> DataFrame:
 # ---- S: sources / sinks ---------------------------------------------------
 
 def q_raw_partition_scan(spark, sf):
-    return lake.select_run(_raw_e(spark, sf), "latest")
+    """E landed as one run per day; the latest run read back, pruned to its partition."""
+    paths = LakePaths(scratch_path(spark, "raw"))
+    lake.write_raw_runs(_raw_e(spark, sf), paths)
+    return lake.read_raw(spark, paths, "latest")
 
 
 def q_universe_filter(spark, sf):
@@ -137,7 +147,7 @@ def q_universe_filter(spark, sf):
 
 
 def q_normalize_wide(spark, sf):
-    return normalize_wide(wide_history(spark, sf, EVENT_SYMBOLS), WIDE_REQUEST)
+    return normalize_wide(wide_history(spark, sf))
 
 
 # ---- C: cleaning ----------------------------------------------------------
@@ -224,7 +234,7 @@ def q_v_weekly_rollup(spark, sf):
 
 
 def q_v_top_movers(spark, sf):
-    return V.v_top_movers(_curated_t(spark, sf))
+    return V.v_top_movers(trade_bars(spark, sf, latest_trade_day(spark, sf)))
 
 
 def q_v_rsi_signals(spark, sf):
@@ -236,27 +246,49 @@ def q_v_bollinger_squeeze(spark, sf):
 
 
 def q_registered_views(spark, sf):
-    """S13 + S14: the views registered by name over curated bars and ticks, then queried with SQL."""
-    V.register_views(spark, _curated_t(spark, sf), _ticks_k(spark, sf), as_of="latest")
-    return spark.sql("SELECT * FROM v_weekly_rollup")
+    """S13 + S14: curated bars and ticks landed as catalog tables, all seven views made over them, then each
+    one read by its qualified name: view, rows, symbols and the sum of one published column."""
+    root = scratch_path(spark, "views")
+    paths, db = LakePaths(root), "ql_" + root.rsplit("/", 1)[-1][:12]
+    curated = _curated_t(spark, sf).withColumn("ingested_at", F.lit(FIXED_INGESTED_AT))
+    lake.write_curated(curated, paths)
+    landed_columns(_ticks_k(spark, sf)).write.partitionBy("date_partition", "symbol").parquet(paths.raw_ticks)
+    CAT.create_database(spark, db, location=f"{root}/warehouse", use=False)
+    for table_name in (CAT.create_curated_table(spark, paths, db), CAT.create_ticks_table(spark, paths, db)):
+        CAT.repair(spark, table_name)
+    parts = []
+    for name in CAT.create_views(spark, db, ticks=True, latest_day=True):
+        short = name.split(".")[1]
+        parts.append(CAT.query_view(spark, name).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct("symbol").alias("n_symbols"),
+            F.coalesce(stable_round(F.sum(VIEW_CHECK[short]), 2), F.lit(0.0)).alias("check_sum"),
+        ).select(F.lit(short).alias("view_name"), "n_rows", "n_symbols", "check_sum"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def q_top_n_movers(spark, sf):
-    return M.top_n_movers(V.v_top_movers(_curated_t(spark, sf)), TOP_N)
+    return M.top_n_movers(q_v_top_movers(spark, sf), TOP_N)
 
 
 # ---- M: measures (page slicer = latest trading day) -----------------------
 
 def _daily_latest(spark, sf):
-    return M.slice_date(_daily_t(spark, sf))
+    """The latest day's rows; its indicators from each symbol's last LOOKBACK + 1 bars."""
+    return V.v_daily_summary(_recent_curated_t(spark, sf))
+
+
+def _moves_latest(spark, sf):
+    """The latest day without indicators: only that day's trades are read."""
+    day = latest_trade_day(spark, sf)
+    return M.slice_date(V.daily_moves(trade_bars(spark, sf, day)), day)
 
 
 def _signals_latest(spark, sf):
-    return M.slice_date(_signals_t(spark, sf), latest_from=_daily_t(spark, sf))
+    return V.v_rsi_signals(_recent_curated_t(spark, sf))
 
 
 def q_market_kpis(spark, sf):
-    return publish(M.market_kpis(_daily_latest(spark, sf)))
+    return publish(M.market_kpis(_moves_latest(spark, sf)))
 
 
 def q_rsi_counts(spark, sf):
@@ -268,15 +300,15 @@ def q_rsi_distribution(spark, sf):
 
 
 def q_volume_by_symbol(spark, sf):
-    return M.volume_by_symbol(_daily_latest(spark, sf))
+    return M.volume_by_symbol(_moves_latest(spark, sf))
 
 
 def q_change_ranking(spark, sf):
-    return M.change_ranking(_daily_latest(spark, sf))
+    return M.change_ranking(_moves_latest(spark, sf))
 
 
 def q_market_summary(spark, sf):
-    return M.market_summary(_daily_latest(spark, sf))
+    return M.market_summary(_moves_latest(spark, sf))
 
 
 def q_symbol_kpis(spark, sf):
@@ -304,8 +336,7 @@ def q_rsi_screen(spark, sf):
 
 
 def q_band_width_rank(spark, sf):
-    squeeze = V.v_bollinger_squeeze(_curated_t(spark, sf))
-    return M.band_width_rank(M.slice_date(squeeze, latest_from=_daily_t(spark, sf)))
+    return M.band_width_rank(V.v_bollinger_squeeze(_recent_curated_t(spark, sf)))
 
 
 def q_risk_scatter(spark, sf):
@@ -369,19 +400,11 @@ def q_stream_tick_sink(spark, sf):
     return publish(landed.select(*_TICK_OUT))
 
 
-def _land_runs(spark, sf, paths: LakePaths) -> list[str]:
-    d = dirty_bars(spark, sf).cache()
-    runs = sorted(r[0] for r in d.select("date_partition").distinct().collect())
-    for run in runs:
-        lake.write_raw(d.filter(F.col("date_partition") == run), paths, run)
-    d.unpersist()
-    return runs
-
-
 def q_lake_roundtrip(spark, sf):
     """Raw landing, two daily batch runs (overlapping days), curated read back."""
     paths = LakePaths(scratch_path(spark, "lake"))
-    for run in _land_runs(spark, sf, paths):
+    lake.write_raw_runs(dirty_bars(spark, sf), paths)
+    for run in lake.landed_runs(spark, paths):
         run_batch(spark, paths, run, ingested_at=FIXED_INGESTED_AT)
     cur = lake.read_curated(spark, paths)
     return publish(cur.select(*OHLCV_COLS, *INDICATOR_COLS, "ingested_at"))
@@ -394,7 +417,7 @@ def q_catalog_repair(spark, sf):
     db = "ql_" + root.rsplit("/", 1)[-1][:12]
     CAT.create_database(spark, db, location=f"{root}/warehouse", use=False)
     name = CAT.create_raw_table(spark, paths, db)
-    _land_runs(spark, sf, paths)
+    lake.write_raw_runs(dirty_bars(spark, sf), paths)
     CAT.repair(spark, name)
     return CAT.query_view(spark, name).select(*OHLCV_COLS, "date_partition")
 

@@ -12,11 +12,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantlake.functions.exprs import market_status, pct_change, rsi_label, week_start
-from quantlake.operators.dedup import keep_max_per_key
 
 AsOf = str | dt.date | Column | None
 
@@ -45,6 +44,11 @@ def v_daily_summary(curated: DataFrame) -> DataFrame:
     )
 
 
+def daily_moves(bars: DataFrame) -> DataFrame:
+    """The part of V01 that needs no indicators."""
+    return bars.select("symbol", _trade_date(), "open", "high", "low", "close", "volume", pct_change("close", "open").alias("daily_change_pct"))
+
+
 def v_weekly_rollup(curated: DataFrame, week: str = "monday") -> DataFrame:
     """Per (symbol, week): low, high, volume, first open and last close of the week.
 
@@ -118,11 +122,16 @@ TICK_ORDER = ("event_time", "timestamp", "price", "volume", "prev_close", "open"
 
 
 def latest_ticks(ticks: DataFrame, keys: Sequence[str | Column] = ("symbol",)) -> DataFrame:
-    """The most recent tick per key, ties broken by the full tick content."""
+    """The most recent tick per key, ties broken by the full tick content.
+
+    Spark limits each key to one row in every input task before the shuffle (window group limit), so a
+    hot key moves one row per task.
+    """
     plain = {k for k in keys if isinstance(k, str)}
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]   # derived keys must be aliased
     keyed = ticks.select(*key_cols, *[c for c in ticks.columns if c not in plain])
-    return keep_max_per_key(keyed, keyed.columns[: len(key_cols)], list(TICK_ORDER))
+    newest = Window.partitionBy(*keyed.columns[: len(key_cols)]).orderBy(*[F.desc(c) for c in TICK_ORDER])
+    return keyed.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def _live_columns(t: DataFrame, keys: Sequence[str], tz: str, trading_dow: tuple[int, int]) -> DataFrame:

@@ -3,7 +3,7 @@
 Jobs never pick a machine-local temporary folder: everything written as a
 side product (lake roots built by test queries, streaming checkpoints, cut
 lineage) goes under ``spark.checkpoint.dir``, which a cluster points at shared
-storage. Only when that setting is absent (unit tests, local runs) do we set
+storage. Only in a local run without that setting (unit tests) do we set
 one ourselves.
 """
 
@@ -40,9 +40,12 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if none is configured."""
+    """Return the shared checkpoint folder. A local run (tests) gets a temporary one if none is configured;
+    on a cluster its absence is an error, as executors could not see a folder of the driver."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quantlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

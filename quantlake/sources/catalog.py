@@ -93,6 +93,53 @@ def partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {_q(table)}")
 
 
+_CHANGE = "round(try_divide({new} - {base}, {base}) * 100, 2)"
+
+#: View name -> query over {t}, the curated or ticks table. "Today" is the current date.
+VIEW_SQL = {
+    "v_daily_summary": "SELECT symbol, CAST(date AS STRING) AS trade_date, open, high, low, close, volume, "
+    + _CHANGE.format(new="close", base="open")
+    + " AS daily_change_pct, sma_20, sma_50, rsi_14, macd_line, bb_upper, bb_lower FROM {t}",
+    "v_weekly_rollup": "SELECT symbol, CAST(trunc(date, 'week') AS STRING) AS week_start, min(low) AS week_low, max(high) AS week_high, "
+    "sum(volume) AS week_volume, min_by(open, date) AS week_open, max_by(close, date) AS week_close FROM {t} GROUP BY symbol, trunc(date, 'week')",
+    "v_top_movers": "SELECT symbol, CAST(date AS STRING) AS trade_date, open, close, "
+    + _CHANGE.format(new="close", base="open") + " AS change_pct, abs(" + _CHANGE.format(new="close", base="open")
+    + ") AS abs_change_pct FROM {t} WHERE date = (SELECT max(date) FROM {t})",
+    "v_rsi_signals": "SELECT symbol, CAST(date AS STRING) AS trade_date, close, rsi_14, CASE WHEN rsi_14 >= 70 THEN 'overbought' "
+    "WHEN rsi_14 <= 30 THEN 'oversold' ELSE 'neutral' END AS rsi_signal FROM {t} WHERE rsi_14 IS NOT NULL",
+    "v_bollinger_squeeze": "SELECT symbol, CAST(date AS STRING) AS trade_date, close, bb_upper, bb_lower, "
+    "round(bb_upper - bb_lower, 4) AS band_width FROM {t} WHERE bb_upper IS NOT NULL",
+}
+_TICK_DAY = "SELECT * FROM {t} WHERE date_partition = {day}"
+TICK_VIEW_SQL = {
+    "v_latest_ticks": "WITH day AS (" + _TICK_DAY + "), newest AS (SELECT symbol, max_by(struct(*), struct(event_time, timestamp, price, volume, "
+    "prev_close, open, high, low)) AS r FROM day GROUP BY symbol) SELECT symbol, r.timestamp AS tick_time, r.price, "
+    "coalesce(r.volume, 0) AS volume, coalesce(r.open, r.price) AS open, coalesce(r.high, r.price) AS high, coalesce(r.low, r.price) AS low, "
+    "r.prev_close, " + _CHANGE.format(new="r.price", base="r.prev_close") + " AS change_pct, "
+    "round(try_divide(coalesce(r.high, r.price) - coalesce(r.low, r.price), r.prev_close) * 100, 2) AS intraday_range_pct, "
+    "CASE WHEN pmod(floor(unix_seconds(r.event_time) / 60), 1440) BETWEEN 420 AND 750 "
+    "AND dayofweek(date_from_unix_date(CAST(floor(unix_seconds(r.event_time) / 86400) AS INT))) BETWEEN 2 AND 6 "
+    "AND coalesce(r.volume, 0) > 0 THEN 'LIVE' ELSE 'CLOSED' END AS market_status FROM newest",
+    "v_tick_history": "SELECT symbol, timestamp AS tick_time, price, volume, " + _CHANGE.format(new="price", base="prev_close")
+    + " AS change_pct FROM (" + _TICK_DAY + ")",
+}
+
+
+def create_views(spark: SparkSession, db: str, ticks: bool = False, latest_day: bool = False) -> list[str]:
+    """The views as catalog objects of ``db``, over its tables; they outlive the session that made them.
+
+    ``latest_day``: the tick views show the greatest day present instead of the current date.
+    """
+    made = {n: q.format(t=f"{_q(db)}.{CURATED_TABLE}") for n, q in VIEW_SQL.items()}
+    if ticks:
+        t = f"{_q(db)}.{TICKS_TABLE}"
+        day = f"(SELECT max(date_partition) FROM {t})" if latest_day else "current_date()"
+        made |= {n: q.format(t=t, day=day) for n, q in TICK_VIEW_SQL.items()}
+    for name, query in made.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {_q(db)}.{name} AS {query}")
+    return [f"{db}.{n}" for n in made]
+
+
 def query_view(spark: SparkSession, name: str) -> DataFrame:
     """Read a registered view or table by name."""
     return spark.table(name)

@@ -8,7 +8,7 @@ same pass instead of a second execution of the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,6 +36,19 @@ def write_raw(df: DataFrame, paths: LakePaths, run_date: str) -> int:
     return write_counted(out, lambda d: d.write.mode("overwrite").parquet(target))
 
 
+def write_raw_runs(df: DataFrame, paths: LakePaths) -> None:
+    """Land several runs at once: each row in its own ``date_partition``; only those partitions are replaced."""
+    out = df.select(*[f.name for f in RAW_OHLCV.fields])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date_partition").parquet(paths.raw_ohlcv))
+
+
+def landed_runs(spark: SparkSession, paths: LakePaths) -> list[str]:
+    """The run dates that the raw zone holds, oldest first."""
+    days = spark.read.schema(RAW_OHLCV).parquet(paths.raw_ohlcv).select("date_partition").distinct()
+    return sorted(r[0] for r in days.collect())
+
+
 def read_raw(spark: SparkSession, paths: LakePaths, run_date: str | None = None) -> DataFrame:
     """The raw zone, pruned to one run date when given (PartitionFilters)."""
     df = spark.read.schema(RAW_OHLCV).parquet(paths.raw_ohlcv)
@@ -68,6 +81,18 @@ def latest_per_bar(staging: DataFrame) -> DataFrame:
     return keep_max_per_key(staging, BAR_KEY, ["date_partition", *rest])
 
 
+def history_by_symbol(staging: DataFrame) -> DataFrame:
+    """``latest_per_bar`` for windows over symbols: shuffled by symbol and sorted by (symbol, date) once.
+
+    Bars are unique within a run, so combining before the shuffle would reduce nothing; the windows that
+    follow reuse this partitioning and order.
+    """
+    rest = [c for c in staging.columns if c not in BAR_KEY and c != "date_partition"]
+    newest = Window.partitionBy(*BAR_KEY).orderBy(*[F.desc(c) for c in ["date_partition", *rest]])
+    ranked = staging.repartition("symbol").withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def read_staging_history(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """All staging partitions, one row per (symbol, date)."""
     return latest_per_bar(read_staging(spark, paths))

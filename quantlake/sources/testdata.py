@@ -13,6 +13,8 @@ grows with the data. Adapter SQL twins for DuckDB live in ``plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,16 +36,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_bars(spark: SparkSession, sf_dir: str, price_divisor: float | None = None) -> DataFrame:
-    """E: symbol = event_type, date = day of ts, first/last value by ts, volume = count."""
-    ev = table(spark, sf_dir, "events").select("event_type", "ts", "value")
+    """E: symbol = event_type, date = day of ts, first/last value by (ts, event_id), volume = count."""
+    ev = table(spark, sf_dir, "events").select("event_type", "ts", "value", "event_id")
+    order = F.struct("ts", "event_id")
     price = F.col("value") if price_divisor is None else F.col("value") / F.lit(price_divisor)
     return (
         ev.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("date"))
         .agg(
-            F.min_by(price, F.col("ts")).alias("open"),
+            F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            F.max_by(price, F.col("ts")).alias("close"),
+            F.max_by(price, order).alias("close"),
             F.count(F.lit(1)).alias("volume"),
         )
         .select("date", "symbol", "open", "high", "low", "close", "volume")
@@ -53,8 +56,27 @@ def events_bars(spark: SparkSession, sf_dir: str, price_divisor: float | None =
 _TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_partkey", "l_suppkey")
 
 
-def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T: symbol = brand, date = ship day, price = extendedprice / quantity (unrounded).
+def latest_trade_day(spark: SparkSession, sf_dir: str) -> dt.date | None:
+    """The last ship day that a trade of a known part has: a column of lineitem and one of part are read."""
+    li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    day = li.agg(F.to_date(F.max("l_shipdate"))).first()[0]
+    if day is None or not _on_day(li, "l_shipdate", day).join(part, li.l_partkey == part.p_partkey, "left_semi").isEmpty():
+        return day
+    return li.join(part, li.l_partkey == part.p_partkey, "left_semi").agg(F.to_date(F.max("l_shipdate"))).first()[0]
+
+
+def latest_event_day(spark: SparkSession, sf_dir: str) -> dt.date | None:
+    return table(spark, sf_dir, "events").agg(F.to_date(F.max("ts"))).first()[0]
+
+
+def _on_day(df: DataFrame, col: str, day: dt.date) -> DataFrame:
+    """A range on the stored column, which the Parquet reader can use to skip row groups."""
+    kind = df.schema[col].dataType
+    return df.filter((F.col(col) >= F.lit(day).cast(kind)) & (F.col(col) < F.lit(day + dt.timedelta(days=1)).cast(kind)))
+
+
+def trade_bars(spark: SparkSession, sf_dir: str, day: dt.date | None = None) -> DataFrame:
+    """T (of one ``day`` or all): symbol = brand, date = ship day, price = extendedprice / quantity (unrounded).
 
     Open/close are the first/last trade by a total order of lineitem columns,
     taken as min/max of one struct of the order columns; the price of that trade
@@ -67,6 +89,8 @@ def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot brand or day is reduced in every task first.
     """
     li = table(spark, sf_dir, "lineitem").select(*_TRADE_ORDER, "l_shipdate")
+    if day is not None:
+        li = _on_day(li, "l_shipdate", day)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     trade = F.struct(*[F.col(c) for c in _TRADE_ORDER])
@@ -88,8 +112,8 @@ def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K: one tick per event, in the landed-tick layout (plus ``symbol``).
+def event_ticks(spark: SparkSession, sf_dir: str, day: dt.date | None = None) -> DataFrame:
+    """K (of one ``day`` or all): one tick per event, in the landed-tick layout (plus ``symbol``).
 
     The day bar (and its previous close) is joined back to the events; the bar
     table has one row per (symbol, day), so AQE broadcasts it when small and
@@ -97,12 +121,15 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     bars = events_bars(spark, sf_dir)
     w = Window.partitionBy("symbol").orderBy("date")
-    day = bars.select("symbol", "date", "open", "high", "low", F.lag("close").over(w).alias("prev_close"))
-    ev = table(spark, sf_dir, "events").select(
+    bar = bars.select("symbol", "date", "open", "high", "low", F.lag("close").over(w).alias("prev_close"))
+    events = table(spark, sf_dir, "events")
+    if day is not None:
+        events, bar = _on_day(events, "ts", day), bar.filter(F.col("date") == F.lit(day))
+    ev = events.select(
         "event_id", "ts", "value", "props", F.col("event_type").alias("symbol"), F.to_date("ts").alias("date")
     )
     blank = F.col("event_id") % TICK_NULL_OHL_EVERY == 0
-    return ev.join(day, ["symbol", "date"]).select(
+    return ev.join(bar, ["symbol", "date"]).select(
         "symbol",
         iso_timestamp("ts").alias("timestamp"),
         F.col("value").alias("price"),
@@ -137,8 +164,8 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIDE_FIELDS = (("open", "Open"), ("high", "High"), ("low", "Low"), ("close", "Close"), ("volume", "Volume"))
 
 
-def wide_history(spark: SparkSession, sf_dir: str, symbols: list[str]) -> DataFrame:
-    """W: one row per ``Date`` with ``<symbol>_Open ... <symbol>_Volume`` column groups."""
+def wide_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W: one row per ``Date`` with ``<symbol>_Open ... <symbol>_Volume`` column groups, of the symbols there are."""
     e = events_bars(spark, sf_dir)
     aggs = [F.first(src).alias(dst) for src, dst in WIDE_FIELDS]
-    return e.groupBy(F.col("date").alias("Date")).pivot("symbol", symbols).agg(*aggs)
+    return e.groupBy(F.col("date").alias("Date")).pivot("symbol").agg(*aggs)

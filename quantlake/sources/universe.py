@@ -1,4 +1,4 @@
-"""The tracked symbol universe (S18) and a size-checked broadcast."""
+"""The tracked symbol universe."""
 
 from __future__ import annotations
 
@@ -9,26 +9,20 @@ from pyspark.sql import functions as F
 
 from quantlake.schemas import UNIVERSE
 
-# broadcast a dimension only when it has at most this many rows
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def universe_frame(spark: SparkSession, symbols: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(s,) for s in symbols], UNIVERSE)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df`` unchanged.
+def read_universe(spark: SparkSession, path: str) -> DataFrame:
+    """One symbol per line under any URI; blank lines and ``#`` comments are skipped, case is upper, repeats count once."""
+    line = F.trim(F.regexp_replace("value", "#.*$", ""))
+    return spark.read.text(path).select(F.upper(line).alias("symbol")).filter(F.col("symbol") != "").distinct()
 
-    The check reads at most ``max_rows + 1`` rows of the dimension; beyond the
-    bound the join is left to the planner (sort-merge, or AQE's runtime choice).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def in_universe(df: DataFrame, universe: DataFrame, key: str = "symbol") -> DataFrame:
+    """Rows whose ``key`` is in the universe (left semi join; duplicates in the universe are harmless).
 
-def in_universe(df: DataFrame, universe: DataFrame, key: str = "symbol",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows whose ``key`` is in the universe (left semi join; duplicates in the universe are harmless)."""
-    dim = sized_broadcast(universe.select(F.col(key)).distinct(), max_broadcast_rows)
-    return df.join(dim, key, "left_semi")
+    Whether the universe is broadcast is Spark's decision, from sizes it measures.
+    """
+    return df.join(universe.select(F.col(key)).distinct(), key, "left_semi")

@@ -22,22 +22,23 @@ class EmptyHistoryError(RuntimeError):
     """No ticker of the requested universe had any data."""
 
 
-def present_symbols(wide: DataFrame, symbols: Sequence[str]) -> list[str]:
-    cols = set(wide.columns)
-    return [s for s in symbols if any(f"{s}_{suffix}" in cols for _, suffix in FIELDS)]
+def column_symbols(wide: DataFrame) -> list[str]:
+    """Every symbol that has at least one column group field, in column order."""
+    ends = tuple(f"_{suffix}" for _, suffix in FIELDS)
+    return list(dict.fromkeys(c.rsplit("_", 1)[0] for c in wide.columns if c.endswith(ends)))
 
 
-def normalize_wide(wide: DataFrame, symbols: Sequence[str], date_col: str = "Date",
-                   fail_on_empty: bool = True) -> DataFrame:
-    """Long rows ``date, symbol, open, high, low, close, volume``.
+def normalize_wide(wide: DataFrame, symbols: Sequence[str] | None = None, date_col: str = "Date") -> DataFrame:
+    """Long rows ``date, symbol, open, high, low, close, volume``; a plan only, no job runs here.
 
-    Tickers without any column group are skipped (the vendor returned nothing
-    for them); a missing single field becomes NULL. With ``fail_on_empty`` an
-    empty result raises ``EmptyHistoryError`` (checked with ``isEmpty``, which
-    stops at the first row).
+    ``symbols``: the requested tickers; ``None`` = every one that the columns name. Tickers without any
+    column group are skipped (the vendor returned nothing for them); a missing single field becomes
+    NULL. None of the requested present raises ``EmptyHistoryError``; a history without rows is
+    found by the landing job, which counts what it writes.
     """
-    syms = present_symbols(wide, symbols)
-    if not syms:
+    there = column_symbols(wide)
+    wanted = there if symbols is None else [s for s in dict.fromkeys(symbols) if s in set(there)]
+    if not wanted:
         raise EmptyHistoryError("none of the requested symbols is present")
     cols = set(wide.columns)
 
@@ -49,8 +50,5 @@ def normalize_wide(wide: DataFrame, symbols: Sequence[str], date_col: str = "Dat
         values = [field(sym, suffix, "bigint" if long == "volume" else "double").alias(long) for long, suffix in FIELDS]
         return F.struct(F.lit(sym).alias("symbol"), *values)
 
-    out = wide.select(F.col(date_col).alias("date"), F.inline(F.array(*[group(s) for s in syms])))
-    out = parse_date(out, "date").select("date", "symbol", *[long for long, _ in FIELDS])
-    if fail_on_empty and out.isEmpty():
-        raise EmptyHistoryError("the vendor history has no rows")
-    return out
+    out = wide.select(F.col(date_col).alias("date"), F.inline(F.array(*[group(s) for s in wanted])))
+    return parse_date(out, "date").select("date", "symbol", *[long for long, _ in FIELDS])

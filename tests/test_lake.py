@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantlake.paths import LakePaths
-from quantlake.plans.batch import choose_split, run_batch
+from quantlake.plans.batch import EmptyRunError, refresh_catalog, run_batch, run_ingest
 from quantlake.sources import catalog as CAT
 from quantlake.sources import lake
-from quantlake.sources.universe import in_universe, sized_broadcast, universe_frame
+from quantlake.sources.universe import in_universe, read_universe, universe_frame
 from quantlake.sources.wide import EmptyHistoryError, normalize_wide
 
 RAW = "date date, symbol string, open double, high double, low double, close double, volume bigint"
@@ -56,10 +56,60 @@ def test_curated_static_vs_dynamic_overwrite(spark, tmp_root):
     assert {r["symbol"] for r in lake.read_curated(spark, paths).collect()} == {"A"}
 
 
-def test_choose_split_threshold(spark):
-    df = bars(spark, [D(2024, 1, d) for d in range(1, 11)])
-    assert choose_split(df, threshold=100) is None
-    assert choose_split(df, threshold=5, chunk_rows=1) == 99   # at least 2 x lookback + 1
+def test_empty_run_changes_nothing(spark, tmp_root):
+    paths = LakePaths(tmp_root)
+    lake.write_raw(bars(spark, [D(2024, 1, 4)]), paths, "2024-01-04")
+    run_batch(spark, paths, "2024-01-04", ingested_at="2024-01-04 18:00:00")
+    lake.write_staging(bars(spark, [D(2024, 1, 5)]).withColumn("ingested_at", F.lit("2024-01-05 00:00:00").cast("timestamp")), paths, "2024-01-05")
+    before = (sorted(lake.read_staging(spark, paths).collect()), sorted(lake.read_curated(spark, paths).collect()))
+    with pytest.raises(EmptyRunError):
+        run_batch(spark, paths, "2024-01-05")
+    assert before == (sorted(lake.read_staging(spark, paths).collect()), sorted(lake.read_curated(spark, paths).collect()))
+    assert run_batch(spark, paths, "2024-01-05", allow_empty=True).staging_rows == 0
+
+
+def test_run_is_pruned_to_its_partition(spark, tmp_root):
+    paths = LakePaths(tmp_root)
+    two = bars(spark, [D(2024, 1, 1)]).withColumn("date_partition", F.lit("2024-01-01"))
+    lake.write_raw_runs(two.unionByName(two.withColumn("date_partition", F.lit("2024-01-02"))), paths)
+    assert lake.landed_runs(spark, paths) == ["2024-01-01", "2024-01-02"]
+    plan = lake.read_raw(spark, paths, "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_partition" in plan
+
+
+def test_history_is_shuffled_and_sorted_once(spark, tmp_root):
+    from quantlake.operators.indicators import add_all_indicators
+
+    paths = LakePaths(tmp_root)
+    lake.write_raw(bars(spark, [D(2024, 1, d) for d in range(1, 9)]), paths, "2024-01-08")
+    run_batch(spark, paths, "2024-01-08", ingested_at="2024-01-08 18:00:00")
+    staging = lake.read_staging(spark, paths)
+    plan = add_all_indicators(lake.history_by_symbol(staging))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert sorted(lake.history_by_symbol(staging).collect()) == sorted(lake.latest_per_bar(staging).select(*staging.columns).collect())
+
+
+def test_ingest_then_batch_then_views(spark, tmp_root):
+    paths, db = LakePaths(tmp_root), "qltest_views"
+    wide = spark.createDataFrame(
+        [(f"2024-01-{d:02d}", 1.0 + d, 3.0 + d, 0.5, 2.0 + d, 10 * d) for d in range(1, 8)],
+        "Date string, AAA_Open double, AAA_High double, AAA_Low double, AAA_Close double, AAA_Volume bigint")
+    assert run_ingest(spark, paths, wide, "2024-01-07") == 7
+    with pytest.raises(EmptyHistoryError):
+        run_ingest(spark, paths, wide.filter(F.lit(False)), "2024-01-07")
+    assert lake.read_raw(spark, paths, "2024-01-07").count() == 7
+    run_batch(spark, paths, "2024-01-07", ingested_at="2024-01-07 18:00:00", database=db)
+    assert spark.table(f"{db}.v_daily_summary").count() == 7 and spark.table(f"{db}.v_top_movers").count() == 1
+    more = wide.withColumns({c.replace("AAA", "NEW"): F.col(c) for c in wide.columns if c != "Date"})
+    run_ingest(spark, paths, more, "2024-01-08")
+    run_batch(spark, paths, "2024-01-08", ingested_at="2024-01-08 18:00:00", database=db)
+    assert {r["symbol"] for r in spark.table(f"{db}.v_top_movers").collect()} == {"AAA", "NEW"}
+    assert len(refresh_catalog(spark, paths, db)) == 5
+
+
+def test_universe_from_a_file(spark, tmp_path):
+    (tmp_path / "symbols.txt").write_text("aaa\n\n# all of these\nBBB # note\nAAA\n")
+    assert sorted(r["symbol"] for r in read_universe(spark, str(tmp_path / "symbols.txt")).collect()) == ["AAA", "BBB"]
 
 
 def test_catalog_tables_and_repair(spark, tmp_root):
@@ -88,8 +138,6 @@ def test_universe_semi_join(spark):
     df = bars(spark, [D(2024, 1, 1)], ("A", "B", "C"))
     uni = universe_frame(spark, ["A", "C", "C", "Z"])
     assert sorted(r["symbol"] for r in in_universe(df, uni).collect()) == ["A", "C"]
-    big = spark.range(20).withColumnRenamed("id", "symbol")
-    assert sized_broadcast(big, max_rows=5) is big     # beyond the bound: no broadcast hint
 
 
 def test_normalize_wide_skips_absent_and_fails_on_empty(spark):
@@ -104,20 +152,19 @@ def test_normalize_wide_skips_absent_and_fails_on_empty(spark):
     assert out["BBB"]["close"] == 3.5 and out["BBB"]["volume"] == 20 and out["BBB"]["date"] == D(2024, 1, 2)
     with pytest.raises(EmptyHistoryError):
         normalize_wide(wide, ["NOPE"])
-    with pytest.raises(EmptyHistoryError):
-        normalize_wide(wide.filter(F.lit(False)), ["BBB"])
+    assert {r["symbol"] for r in normalize_wide(wide).collect()} == {"AAA.XC", "BBB"}
 
 
-def test_batch_auto_split_matches_plain(spark, tmp_path):
+def test_batch_split_matches_plain(spark, tmp_path):
     days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(120)]
     rows = [(d, s, 10.0 + (i * 7 % 13), 30.0, 1.0, 10.0 + (i * 5 % 11), 100)
             for s, n in (("HOT", 120), ("A", 40), ("B", 25)) for i, d in enumerate(days[:n])]
     raw = spark.createDataFrame(rows, RAW)
     out = {}
-    for mode, kw in (("plain", {"split_rows": None}), ("auto", {"split_threshold": 60, "split_chunk": 55})):
+    for mode, kw in (("plain", {"split_rows": None}), ("auto", {"split_rows": 99})):
         paths = LakePaths(str(tmp_path / mode))
         lake.write_raw(raw, paths, "2024-05-01")
         res = run_batch(spark, paths, "2024-05-01", ingested_at="2024-05-01 00:00:00", **kw)
         out[mode] = (res, sorted(lake.read_curated(spark, paths).drop("ingested_at").collect()))
-    assert out["plain"][0].split_rows is None and out["auto"][0].split_rows == 99   # >= 2 x lookback + 1
+    assert out["plain"][0].split_rows is None and out["auto"][0].split_rows == 99
     assert out["auto"][1] == out["plain"][1]

@@ -8,10 +8,11 @@ import pytest
 import __spark_entry__ as ep
 from quantlake.paths import LakePaths
 from quantlake.plans import views as V
+from quantlake.plans.registry import QUERIES as REGISTRY
 from quantlake.sources import lake
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"stream_tick_sink", "lake_roundtrip", "catalog_repair"}
+WRITERS = {"stream_tick_sink", "lake_roundtrip", "catalog_repair", "raw_partition_scan", "registered_views"}
 
 
 def plan(df, mode="simple"):
@@ -21,7 +22,7 @@ def plan(df, mode="simple"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(ep.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITERS))
 def test_no_python_no_cartesian_no_global_window(spark, name):
     p = plan(ep.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -34,16 +35,33 @@ def test_no_python_no_cartesian_no_global_window(spark, name):
 
 def test_top_movers_pushes_latest_day_into_scan(spark):
     p = plan(ep.queries()["v_top_movers"](spark, SF))
-    scan = [ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
-    assert scan and "l_shipdate" in scan[0] and "subquery" in scan[0].lower()
+    scans = [ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
+    for scan in scans:
+        pushed = scan.split("PushedFilters")[1]
+        assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
+    assert scans
 
 
-def test_latest_ticks_and_weekly_rollup_use_aggregates_not_windows(spark):
-    for name in ("v_weekly_rollup", "latest_ticks_by_hour"):
-        p = plan(ep.queries()[name](spark, SF))
-        top = p.split("Exchange")[0]
-        assert "Window [" not in top, name          # the final reduction is an aggregate
-        assert "Aggregate" in p
+@pytest.mark.parametrize("name", ["market_kpis", "volume_by_symbol", "change_ranking", "market_summary", "v_latest_ticks", "v_tick_history", "intraday_series"])
+def test_day_queries_read_one_day_of_facts(spark, name):
+    p = plan(ep.queries()[name](spark, SF))
+    scans = [ln for ln in p.splitlines() if "FileScan parquet" in ln and ("l_shipdate" in ln or "event_type" in ln)]
+    day = ["GreaterThanOrEqual(" in ln.split("PushedFilters")[1] for ln in scans]
+    # trades: every scan; ticks: the events themselves (bars look back for the previous close)
+    assert all(day) if any("l_shipdate" in ln for ln in scans) else any(day)
+    assert scans
+
+
+@pytest.mark.parametrize("name", ["rsi_counts", "rsi_distribution", "rsi_screen", "band_width_rank", "market_risk_score"])
+def test_signal_queries_limit_rows_per_symbol_before_the_shuffle(spark, name):
+    p = plan(ep.queries()[name](spark, SF))
+    assert "WindowGroupLimit" in p and p.count("FileScan parquet") == 2
+
+
+def test_weekly_rollup_is_an_aggregate_and_latest_ticks_a_group_limit(spark):
+    p = plan(ep.queries()["v_weekly_rollup"](spark, SF))
+    assert "Window [" not in p.split("Exchange")[0] and "Aggregate" in p
+    assert plan(ep.queries()["latest_ticks_by_hour"](spark, SF)).count("WindowGroupLimit") == 2   # one in each input task, one behind the shuffle
 
 
 def test_zone_reads_are_partition_pruned(spark, tmp_root):
@@ -68,15 +86,10 @@ def test_tick_day_filter_is_a_partition_filter(spark, tmp_root):
     assert "PartitionFilters" in p and "date_partition" in p.split("PartitionFilters")[1].split("]")[0]
 
 
-def test_small_universe_is_broadcast_semi_join(spark):
+def test_universe_is_a_semi_join_that_spark_plans(spark):
     from quantlake.sources.universe import in_universe, universe_frame
 
     bars = spark.range(1000).selectExpr("concat('S', cast(id % 50 as string)) AS symbol", "id AS v")
     p = plan(in_universe(bars, universe_frame(spark, ["S1", "S2"])))
-    assert "BroadcastHashJoin" in p and "LeftSemi" in p
-    big = spark.range(100).selectExpr("concat('S', cast(id as string)) AS symbol")
-    joined = in_universe(bars, big, max_broadcast_rows=10)
-    # beyond the bound no hint is given; Spark's own size check decides the join strategy
-    assert "strategy=broadcast" not in plan(joined, "extended")
-    assert "strategy=broadcast" in plan(in_universe(bars, big, max_broadcast_rows=1000), "extended")
-    assert "LeftSemi" in plan(joined)
+    assert "LeftSemi" in p
+    assert "strategy=broadcast" not in plan(in_universe(bars, universe_frame(spark, ["S1"])), "extended")   # no hint
