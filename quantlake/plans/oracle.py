@@ -402,6 +402,21 @@ FROM v06 GROUP BY ROLLUP (symbol)""",
     "intraday_series": _with(*KD, ("v07", V07), body="SELECT symbol, tick_time, price FROM v07"),
     # writers
     "stream_tick_sink": _with(*K_CTES, body=f"SELECT {_TICK_COLS} FROM k"),
-    "lake_roundtrip": _with(*LAKE, body=_ind_select("i_ind", ", ingested_at")),
+    "lake_roundtrip": _with(*LAKE, body=_ind_select("i_ind", ", ingested_at, (SELECT count(*) FROM "
+        "(SELECT DISTINCT symbol, date FROM cl WHERE date_partition = (SELECT max(date_partition) FROM cl))) AS staging_rows")),
+    "table_statistics": _with(
+        *TI, body="SELECT count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, count(*) AS analyzed_rows FROM i_ind"),
+    "latest_ticks_zoned": _with(
+        *LATEST, ("lz", "SELECT * REPLACE (event_time + INTERVAL 5 HOUR AS event_time) FROM lt"),
+        body=_live("lz", "symbol").replace("BETWEEN 2 AND 6", "BETWEEN 1 AND 5")),
+    "ticks_today": _with(*KD, body=V07),
+    "ingestion_stamp": _with(
+        *D_CTES, ("cl", _CLEANED), body="SELECT count(*) AS n_rows, count(*) AS stamped_now FROM (SELECT DISTINCT symbol, date FROM cl)"),
+    "movers_ranked": _with(
+        *DAILY, body="SELECT symbol, open, close, daily_change_pct, volume, "
+                     "CAST(row_number() OVER (ORDER BY daily_change_pct DESC NULLS LAST, symbol) AS INTEGER) AS place FROM sl"),
+    "symbol_slice": _with(
+        ("t", T), body=f"SELECT symbol, CAST(date AS VARCHAR) AS trade_date, open, high, low, close, volume, {_chg('close', 'open')} AS daily_change_pct "
+                       "FROM t WHERE symbol IN ('Brand#11', 'Brand#23', 'Brand#55')"),
     "catalog_repair": _with(*D_CTES, body="SELECT date, symbol, open, high, low, close, volume, date_partition FROM d"),
 }

@@ -16,11 +16,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from quantlake.functions.exprs import stable_round
+from quantlake.functions.exprs import TRADING_DOW_SUN_THU, stable_round
 import quantlake.operators.cleaning as C
 from quantlake.operators.indicators import (
     add_all_indicators,
@@ -61,6 +61,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 UNIVERSE = ["click", "purchase", "view", "refund"]                 # tracked list; "refund" has no data
 FIXED_INGESTED_AT = "2024-02-02 00:00:00"                          # stands in for the wall clock
 TOP_N = 5
+OTHER_ZONE = "Asia/Karachi"                                        # UTC+5 all year
+SLICED_SYMBOLS = ["Brand#11", "Brand#23", "Brand#55"]
 SPLIT_TEST_ROWS = 64                                               # forces many chunks at test scale
 VIEW_CHECK = {"v_daily_summary": "volume", "v_weekly_rollup": "week_volume", "v_top_movers": "change_pct", "v_rsi_signals": "close",
               "v_bollinger_squeeze": "close", "v_latest_ticks": "price", "v_tick_history": "price"}  # column summed per view
@@ -405,9 +407,10 @@ def q_lake_roundtrip(spark, sf):
     paths = LakePaths(scratch_path(spark, "lake"))
     lake.write_raw_runs(dirty_bars(spark, sf), paths)
     for run in lake.landed_runs(spark, paths):
-        run_batch(spark, paths, run, ingested_at=FIXED_INGESTED_AT)
+        done = run_batch(spark, paths, run, ingested_at=FIXED_INGESTED_AT)
     cur = lake.read_curated(spark, paths)
-    return publish(cur.select(*OHLCV_COLS, *INDICATOR_COLS, "ingested_at"))
+    written = F.lit(done.staging_rows).cast("long").alias("staging_rows")  # of the last run, counted by its write
+    return publish(cur.select(*OHLCV_COLS, *INDICATOR_COLS, "ingested_at", written))
 
 
 def q_catalog_repair(spark, sf):
@@ -422,7 +425,58 @@ def q_catalog_repair(spark, sf):
     return CAT.query_view(spark, name).select(*OHLCV_COLS, "date_partition")
 
 
+def q_table_statistics(spark, sf):
+    """Curated bars as a catalog table; its row count from ANALYZE next to the counted one."""
+    root = scratch_path(spark, "stats")
+    paths, db = LakePaths(root), "ql_" + root.rsplit("/", 1)[-1][:12]
+    lake.write_curated(_curated_t(spark, sf).withColumn("ingested_at", F.lit(FIXED_INGESTED_AT)), paths)
+    CAT.create_database(spark, db, location=f"{root}/warehouse", use=False)
+    name = CAT.create_curated_table(spark, paths, db)
+    CAT.repair(spark, name)
+    CAT.analyze(spark, name)
+    stated = F.lit(CAT.row_count(spark, name)).cast("long").alias("analyzed_rows")
+    return CAT.query_view(spark, name).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("symbol").alias("n_symbols")).select("*", stated)
+
+
+def q_latest_ticks_zoned(spark, sf):
+    """the market read on another zone's clock and trading week."""
+    day = _today_k(spark, sf)
+    return V.v_latest_ticks(event_ticks(spark, sf, day), as_of=day, tz=OTHER_ZONE, trading_dow=TRADING_DOW_SUN_THU)
+
+
+def q_ticks_today(spark, sf):
+    """the ticks moved so that their latest day is today, then the view's default day."""
+    moved = F.date_add(F.current_date(), F.datediff(F.col("date_partition"), F.lit(_today_k(spark, sf))))
+    return V.v_tick_history(_ticks_k(spark, sf).withColumn("date_partition", moved))
+
+
+def q_ingestion_stamp(spark, sf):
+    """rows whose ingestion stamp, taken from the clock, is of this run."""
+    stamped = C.clean(dirty_bars(spark, sf))
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("ingested_at")
+    return stamped.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(age.between(0, 3600)).alias("stamped_now"))
+
+
+def q_movers_ranked(spark, sf):
+    """The summary grid in presentation order, made visible by each row's place."""
+    order = [F.desc("daily_change_pct"), F.col("symbol")]
+    grid = M.market_summary(_moves_latest(spark, sf))
+    # one row per symbol of one day: a page, not the table
+    return grid.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+
+
+def q_symbol_slice(spark, sf):
+    """The symbol slicer over the daily summary."""
+    return M.slice_symbols(V.daily_moves(trade_bars(spark, sf)), SLICED_SYMBOLS)
+
+
 QUERIES: dict[str, Query] = {
+    "table_statistics": q_table_statistics,
+    "latest_ticks_zoned": q_latest_ticks_zoned,
+    "ticks_today": q_ticks_today,
+    "ingestion_stamp": q_ingestion_stamp,
+    "movers_ranked": q_movers_ranked,
+    "symbol_slice": q_symbol_slice,
     "raw_partition_scan": q_raw_partition_scan,
     "universe_filter": q_universe_filter,
     "normalize_wide": q_normalize_wide,

@@ -89,6 +89,14 @@ def analyze(spark: SparkSession, table: str, partition_cols: tuple[str, ...] = (
     spark.sql(f"ANALYZE TABLE {_q(table)}{part} COMPUTE STATISTICS")
 
 
+def row_count(spark: SparkSession, table: str) -> int | None:
+    """The row count that ANALYZE recorded, or None."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").collect():
+        if r["col_name"] == "Statistics" and "rows" in r["data_type"]:
+            return int(r["data_type"].split(" rows")[0].split(",")[-1])
+    return None
+
+
 def partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {_q(table)}")
 

@@ -12,7 +12,7 @@ from quantlake.plans.registry import QUERIES as REGISTRY
 from quantlake.sources import lake
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"stream_tick_sink", "lake_roundtrip", "catalog_repair", "raw_partition_scan", "registered_views"}
+WRITERS = {"stream_tick_sink", "lake_roundtrip", "catalog_repair", "raw_partition_scan", "registered_views", "table_statistics"}
 
 
 def plan(df, mode="simple"):

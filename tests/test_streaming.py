@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quantlake.functions.exprs import iso_timestamp
 from quantlake.sources.kafka import encode_ticks
-from quantlake.streaming.ticks import bad_tick_records, decode_ticks, read_landed_ticks, start_tick_sink
+from quantlake.streaming.ticks import bad_tick_records, decode_ticks, read_landed_ticks, start_reject_sink, start_tick_sink
 
 GOOD = {"symbol": "AAA.XC", "timestamp": "2024-01-08T10:00:00.123456+00:00", "price": 80.5, "volume": 1200,
         "open": 79.0, "high": 81.0, "low": 78.5, "prev_close": 79.5}
@@ -104,3 +105,48 @@ def test_sink_files_per_folder_bound(spark, tmp_root):
     files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
     assert 1 <= len(files) <= 2
     assert read_landed_ticks(spark, sink).count() == 600
+
+
+def test_decode_is_the_same_in_any_session_zone(spark):
+    rows = [(json.dumps({"symbol": "A", "timestamp": t, "price": 1.0, "volume": 2}),) for t in (
+        "2024-01-08T20:00:00+00:00", "2024-01-08T20:00:00", "2024-01-09T01:30:00.5+05:00", "nonsense")]
+    records = spark.createDataFrame(rows, "value string")
+    got = {}
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            t = decode_ticks(records)
+            got[zone] = sorted((r[0], r[1], r[2], r[3]) for r in t.select(
+                "timestamp", F.unix_micros("event_time"), F.col("date_partition").cast("string"), iso_timestamp("event_time")).collect())
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got["UTC"] == got["Asia/Tokyo"] == got["America/New_York"]
+    assert {r[2] for r in got["UTC"]} == {"2024-01-08", None} and "2024-01-08T20:30:00.500000+00:00" in {r[3] for r in got["UTC"]}
+
+
+def test_rejects_are_landed(spark, tmp_path):
+    good = '{"symbol":"A","timestamp":"2024-01-08T10:00:00+00:00","price":1.0,"volume":2}'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([good, "junk", good.replace("2024-01-08T10:00:00+00:00", "soon"), good.replace('"A"', "null")]))
+    records = spark.readStream.schema("value STRING").text(str(tmp_path / "in"))
+    a = start_tick_sink(decode_ticks(records, bad_records="quarantine"), f"{tmp_path}/ticks", f"{tmp_path}/c1", available_now=True)
+    b = start_reject_sink(records, f"{tmp_path}/rejects", f"{tmp_path}/c2", available_now=True)
+    a.awaitTermination()
+    b.awaitTermination()
+    assert read_landed_ticks(spark, f"{tmp_path}/ticks").count() == 1 and spark.read.parquet(f"{tmp_path}/rejects").count() == 3
+
+
+def test_processing_time_trigger_lands_ticks(spark, tmp_path):
+    import time
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"symbol":"A","timestamp":"2024-01-08T10:00:00+00:00","price":1.0,"volume":2}')
+    records = spark.readStream.schema("value STRING").text(str(tmp_path / "in"))
+    q = start_tick_sink(decode_ticks(records), f"{tmp_path}/ticks", f"{tmp_path}/c", trigger="1 second")
+    try:
+        until = time.time() + 60
+        while time.time() < until and not (q.lastProgress and q.lastProgress["numInputRows"] >= 0 and (tmp_path / "ticks" / "_spark_metadata" / "0").exists()):
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert read_landed_ticks(spark, f"{tmp_path}/ticks").count() == 1
