@@ -34,7 +34,8 @@ MAX_POSITIVE = 6000
 MAX_UNLABELLED = 12000
 MAX_FEATURES = 30000
 MIN_POSITIVES = 3       # a feature must occur in that many toxic examples,
-MIN_SURPLUS = 5.0       # and exceed its expectation by as many standard deviations: of a million features none by chance
+MIN_SURPLUS = 5.0       # exceed its expectation by as many standard deviations (of a million features none by chance),
+                        # and alone make a text as likely toxic as THRESHOLD: prior * P(f | toxic) / P(f | unlabelled)
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
 MAX_PRIOR = 0.25        # below the threshold: a text without any evidence is not rejected
@@ -110,15 +111,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"p": b["y"].notna(), "u": b["u"], "feats": [sorted(features(t)) for t in b["text"]]})
+            yield pd.DataFrame({"p": b["p"], "u": b["u"], "feats": [sorted(features(t)) for t in b["text"]]})
 
-    sample = stored(sample.select("y", "u", "text").mapInPandas(listed, "p boolean, u boolean, feats array<string>"), "toxic-sample")
+    # a text counts once, however many copies of it were drawn
+    once = sample.groupBy("text").agg(F.max(F.col("y").isNotNull()).alias("p"), F.max("u").alias("u"))
+    sample = stored(once.select("p", "u", "text").mapInPandas(listed, "p boolean, u boolean, feats array<string>"), "toxic-sample")
     counts = sample.select("p", "u", F.explode("feats").alias("f")).groupBy("f").agg(
         F.count_if("p").alias("np"), F.count_if(~F.col("p")).alias("nu"))
     total = sample.agg(F.count_if("p"), F.count_if(~F.col("p"))).first()
     expected = F.col("nu") * (total[0] / max(1, total[1]))
     surplus = (F.col("np") - expected) / F.sqrt(expected + 1)
-    vocab = [r["f"] for r in counts.where((F.col("np") >= MIN_POSITIVES) & (surplus >= MIN_SURPLUS))
+    telling = F.col("np") * total[1] * prior >= THRESHOLD * F.col("nu") * total[0]
+    vocab = [r["f"] for r in counts.where((F.col("np") >= MIN_POSITIVES) & (surplus >= MIN_SURPLUS) & telling)
              .orderBy(surplus.desc(), "f").limit(MAX_FEATURES).select("f").collect()]
     place = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(vocab)})
 
@@ -126,9 +130,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield pd.DataFrame({"p": b["p"], "u": b["u"], "x": [[place.value[f] for f in fs if f in place.value] for fs in b["feats"]]})
 
-    got = sample.mapInPandas(indexed, "p boolean, u boolean, x array<int>").orderBy("p", "u", "x").collect()
+    got = sample.mapInPandas(indexed, "p boolean, u boolean, x array<int>").collect()
     x, y = [], []
-    for r in got:  # a confirmed row of the unlabelled sample is in both
+    for r in sorted(got, key=lambda r: (r["p"], r["u"], r["x"])):  # a confirmed row of the unlabelled sample is in both
         for on, kind in ((r["p"], 1), (r["u"], 0)):
             if on:
                 x.append(np.array(r["x"], dtype=np.int64))
