@@ -4,7 +4,7 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as P
 one's ``docs``. All but the last return the columns of ``documents``.
 
 1. toxicity: rows that the positive-unlabelled classifier scores at its threshold or above go.
-2. line dedup: later occurrences of three-line windows are cut out of the texts; no row goes.
+2. line dedup: later occurrences of three-line windows are cut out of the texts; a row goes if nothing of its text is left.
 3. n-gram Jaccard join: of each component of texts that share 0.8 of their five-word shingles, one row stays.
 4. mixing: rows repeat until the domains' expected tokens match their target shares; every row stays at least once.
 5. packing: the token ids of all rows, cut and packed into sequences of 2048 tokens; one row per piece.
@@ -27,11 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = linededup.without_repeated_lines(docs)
-    if "n_chars" not in cut.columns:
-        return cut
-    length = F.coalesce(F.length("text"), F.lit(0)).cast(cut.schema["n_chars"].dataType)
-    return cut.select(*[length.alias(c) if c == "n_chars" else cut[c] for c in cut.columns])
+    done = linededup.dedup_lines(docs)
+    nothing_left = (F.col("n_removed") > 0) & ~F.col("kept").rlike(r"\S")
+    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("kept")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.coalesce(F.length("kept"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    return done.where(~nothing_left).select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

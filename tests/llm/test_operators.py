@@ -85,7 +85,7 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     assert 4 <= len(P.STAGES) <= 5
     for name, stage in P.STAGES[:-1]:
         out = stage(spark, df, str(tmp_path))
-        assert out.columns == df.columns and out.count() > 0, name
+        assert out.columns == df.columns and out.count() >= 6, name
         out.write.parquet(f"{tmp_path}/{name.replace(' ', '_')}")
         df = spark.read.parquet(f"{tmp_path}/{name.replace(' ', '_')}")
     packed = P.STAGES[-1][1](spark, df, str(tmp_path))
