@@ -47,7 +47,9 @@ def url_host(url: Column) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    # anchored behind the first '://', as a query may hold another
+    rest = F.get(F.split(url, "://", 2), F.lit(1))
+    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def address(url: Column) -> Column:
@@ -129,7 +131,7 @@ ORACLE_SQL = rf"""
 WITH RECURSIVE p AS (
   SELECT page_id, url,
     CASE WHEN url LIKE '%://%' THEN translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-    CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^.*?://[^/?#]*(/[^?#]*)', 1, 's') ELSE '' END AS path,
+    CASE WHEN url LIKE '%://%' THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*(/[^?#]*)', 1) ELSE '' END AS path,
     CASE WHEN url LIKE '%://%' THEN 'u' || translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
       || regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') ELSE 'n' || coalesce(url, page_id::VARCHAR, '') END AS node,
     list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>'),

@@ -182,6 +182,7 @@ def test_redirects_carry_blocks(spark):
         (1, "http://example.org/es/x", ""), (2, "http://a.net/1", link("https://example.org/es/x#frag")), (3, "http://b.net/2", '<meta http-equiv="Refresh" content="0; url=http://a.net/1">'),
         (4, "http://c.net/3", link("http://example.org/es/y")), (5, "http://example.org/es/y", ""), (6, "http://shop.com/fr/", link("http://example.org/es/y")), (7, None, None),
         (8, "no scheme", link("/x")), (9, "HTTP://WWW.Example.ORG/en/12?q", None), (10, "http://x.com/de/1", ""), (11, "http://net", ""), (2, "http://a.net/1", ""), (12, "http://notexample.org/es/", ""),
+        (13, "http://x.com?to=http://y.com/de/1", ""), (14, "ftp://example.org#://x/es/", ""),
     ]
     df = clashing(spark.createDataFrame(pages, "page_id long, url string, html string"))
     got = collections.defaultdict(set)
@@ -192,6 +193,7 @@ def test_redirects_carry_blocks(spark):
     assert got[5] == {("example.org", "/es/y", "example.org/es/", "block")} and got[6] == {("shop.com", "/fr/", "com/fr/", "allow")}
     assert got[7] == {("", "", None, "allow")} and got[9] == {("www.example.org", "/en/12", "example.org/en/1", "block")}
     assert got[10] == {("x.com", "/de/1", "com/de/", "block")} and got[11] == {("net", "", None, "allow")}
+    assert got[13] == {("x.com", "", None, "allow")} and got[14] == {("example.org", "", None, "allow")}
     assert got[12] == {("notexample.org", "/es/", "org/", "allow")}
     assert urlfilter.judge(df.limit(0), urlfilter.RULES).count() == 0
 
