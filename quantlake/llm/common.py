@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quantlake.session import scratch_path
 
-#: Rows of one Arrow batch handed to Python: texts can be long, so batches stay small.
-ARROW_ROWS = 1000
+#: Rows and bytes of one Arrow batch handed to Python: texts can be long, so batches stay small.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
