@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quantlake.session import scratch_path
 
 #: Rows and bytes of one Arrow batch handed to Python: texts can be long, so batches stay small.
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 400, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -50,3 +50,29 @@ def count_levels(texts: DataFrame, hashes: Callable[[list], np.ndarray], table_b
     for r in got:
         levels[r["part"] << slice_bits : (r["part"] + 1) << slice_bits] = np.frombuffer(r["levels"], np.uint8)
     return levels
+
+
+#: Bits of a member filter; fixed, so its size on the driver and in tasks is too.
+FILTER_BITS = 27
+
+
+def member_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """Bit table of the values of column ``key``, which are hashes: it may let others through, but never loses a member."""
+    bits = keys.select(F.shiftrightunsigned(key, 64 - FILTER_BITS).alias("bit")).distinct().withColumn("part", F.shiftright("bit", FILTER_BITS - 8).cast("int"))
+    span = 1 << (FILTER_BITS - 8)
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros(span, bool)
+        table[pdf["bit"].to_numpy() % span] = True
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [np.packbits(table).tobytes()]})
+
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in bits.groupBy("part").applyInPandas(pack, "part int, bits binary").collect():
+        out[r["part"] * span // 8 : (r["part"] + 1) * span // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def may_be_members(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the hashes ``keys`` the bit table lets through."""
+    at = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1

@@ -10,8 +10,10 @@ The result is each document's set size and component, exact for every link.
 3. Index lists: a set of n shingles is listed under the first n - ceil(t n) + 1 of that order; two linked sets share one
    of these. Shingles that occur once are left out. Lists are sorted by size and skipped by blocks: once sizes or
    positions rule a whole block out, none of its sets is looked at.
-4. Answers from similar sets: classes first meet, by four min-hashes, a leader each; a class that is verified to
-   link to its leader is connected, so lists skip all pairs inside a component. For the pairs that remain the leaders
+   A pair of a list is passed on if its sizes, its positions and the two sets' parity bitmaps (512 bits; bits that differ
+   are at most the elements that differ) allow a link.
+4. Answers from similar sets: classes first meet, by four min-hashes, a leader each, the one with the fewest shingles of
+   its own; a class that is verified to link to its leader is connected, so lists skip all pairs inside a component. For the pairs that remain the leaders
    are compared first, and |x ^ y| (symmetric difference) lies within |rx ^ ry| +- (|x ^ rx| + |y ^ ry|): most
    pairs follow from the leaders' answer, and only the undecided are verified themselves.
 
@@ -35,15 +37,16 @@ from pyspark.sql import functions as F
 
 from quantlake.llm.common import prepare, row_key, stored, table, whole_text
 from quantlake.llm.components import connected_components
-from quantlake.llm.counts import count_levels, level_of
+from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter
 from quantlake.llm.wordhash import Words, scramble, shingle_sets
 
 SHINGLE, PERCENT = 5, 80
 LEADERS = 4
 LEVEL_BITS = 24          # the level table has 2**LEVEL_BITS bytes
-FILTER_BITS = 27         # bits of the filter of candidate classes
 LIST_ROWS = 8192
+RUN_ROWS = 200_000
 BLOCK = 256
+PARITY = 512
 
 ENTRY = "token long, cls long, n int, pos int"
 
@@ -60,25 +63,40 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """Each element flips one of PARITY bits."""
+    at = (scramble(s ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(PARITY)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=PARITY) & 1).tobytes()
+
+
 def min_overlap(a, b, percent: int):
     """The least intersection with which sets of a and b elements link: 100 i >= percent (a + b - i)."""
     return -(-percent * (a + b) // (100 + percent))
 
 
-def entries_of(s: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles, positions and levels of a set's index entries."""
+def entries_of(s: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Shingles, positions and levels of a set's index entries, and how many of its shingles are its own."""
     level = level_of(levels, s)
     k = prefix_length(len(s), percent)
     order = np.lexsort((s, level))[:k]  # s is sorted, so ties go by hash
     lv = level[order]
     keep = lv > 0
-    return s[order][keep], np.flatnonzero(keep), lv[keep]
+    return s[order][keep], np.flatnonzero(keep), lv[keep], int((level == 0).sum())
+
 
+def may_link(n, m, p, q, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m elements that first agree at positions p and q, with bitmaps x and y, could link."""
+    need = min_overlap(n, m, percent)
+    # no more than the shorter rest is shared; what is not shared flips the bits that differ
+    ok = np.minimum(n - p, m - q) >= need
+    ok[ok] = np.bitwise_count(x[ok] ^ y[ok]).sum(axis=1) <= (n + m - 2 * need)[ok]
+    return ok
 
-def listed_pairs(cls: np.ndarray, n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def listed_pairs(cls: np.ndarray, n: np.ndarray, pos: np.ndarray, comp: np.ndarray, bits: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of one list that could link and aren't connected yet. Sorted by size, then position."""
     order = np.lexsort((pos, n))
-    cls, n, pos, comp = cls[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order]
+    cls, n, pos, comp, bits = cls[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order], bits[order]
     if (comp == comp[0]).all():
         return
     for a in range(0, len(cls), BLOCK):
@@ -87,31 +105,55 @@ def listed_pairs(cls: np.ndarray, n: np.ndarray, pos: np.ndarray, comp: np.ndarr
         last = np.searchsorted(n, n[i][-1] * 100 // percent, "right")
         for b in range(a, last, BLOCK):
             j = slice(b, min(b + BLOCK, last))
-            need = min_overlap(n[i][:, None], n[j][None, :], percent)
-            room = 1 + np.minimum(n[i][:, None] - pos[i][:, None], n[j][None, :] - pos[j][None, :]) - 1
-            ok = (room >= need) & (comp[i][:, None] != comp[j][None, :])
+            other = comp[i][:, None] != comp[j][None, :]
             if a == b:
-                ok &= np.triu(np.ones(ok.shape, bool), 1)
-            x, y = np.nonzero(ok)
-            if len(x):
-                yield cls[i][x], cls[j][y]
-
+                other &= np.triu(np.ones(other.shape, bool), 1)
+            x, y = np.nonzero(other)
+            x, y = x + a, y + b
+            ok = may_link(n[x], n[y], pos[x], pos[y], bits[x], bits[y], percent)
+            if ok.any():
+                yield cls[x[ok]], cls[y[ok]]
 
-def members_filter(classes: DataFrame) -> np.ndarray:
-    """Bit table of the classes in ``classes`` (column cls): no false negatives, fixed size."""
-    byte = F.shiftrightunsigned(F.xxhash64("cls"), 64 - FILTER_BITS)
-    parts = classes.select(byte.alias("bit")).distinct().withColumn("part", F.shiftright("bit", FILTER_BITS - 8).cast("int"))
-    span = 1 << (FILTER_BITS - 8)
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(span, bool)
-        bits[pdf["bit"].to_numpy() % span] = True
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+def pairs_of_lists(e: np.ndarray, bits: np.ndarray, percent: int) -> Iterator[pd.DataFrame]:
+    """Pairs (a, b) of whole lists; rows are token, block, block, class, size, position, component, with bitmaps.
 
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in parts.groupBy("part").applyInPandas(pack, "part int, bits binary").collect():
-        out[r["part"] * span // 8 : (r["part"] + 1) * span // 8] = np.frombuffer(r["bits"], np.uint8)
-    return out
+    Lists that lie in one component are skipped. Short ones are all handled together: in order of size, each entry meets
+    the next one, then the one after that, until no size is close enough; long ones go by blocks.
+    """
+    if not len(e):
+        return
+    order = np.lexsort((e[:, 5], e[:, 4], e[:, 3], e[:, 2], e[:, 1], e[:, 0]))
+    e, bits = e[order], bits[order]
+    fresh = np.ones(len(e), bool)
+    fresh[1:] = (e[1:, :4] != e[:-1, :4]).any(axis=1)
+    e, bits = e[fresh], bits[fresh]  # a class once per list
+    order = np.lexsort((e[:, 5], e[:, 4], e[:, 2], e[:, 1], e[:, 0]))
+    e, bits = e[order], bits[order]
+    head = np.ones(len(e), bool)
+    head[1:] = (e[1:, :3] != e[:-1, :3]).any(axis=1)
+    starts = np.flatnonzero(head)
+    sizes = np.diff(np.append(starts, len(e)))
+    mixed = np.minimum.reduceat(e[:, 6], starts) != np.maximum.reduceat(e[:, 6], starts)
+    for a, m in zip(starts[mixed & (sizes > BLOCK)], sizes[mixed & (sizes > BLOCK)]):
+        for x, y in listed_pairs(*(e[a : a + m, c] for c in (3, 4, 5, 6)), bits[a : a + m], percent):
+            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    short = np.repeat(mixed & (sizes <= BLOCK), sizes)
+    lists, bits = np.repeat(np.arange(len(starts)), sizes)[short], bits[short]
+    cls, n, pos, comp = (e[short, c] for c in (3, 4, 5, 6))
+    at, step = np.arange(len(cls)), 1
+    while len(at):
+        at = at[at + step < len(cls)]
+        other = at + step
+        near = (lists[at] == lists[other]) & (n[other] * percent <= n[at] * 100)
+        at, other = at[near], other[near]
+        apart = comp[at] != comp[other]
+        i, j = at[apart], other[apart]
+        ok = may_link(n[i], n[j], pos[i], pos[j], bits[i], bits[j], percent)
+        if ok.any():
+            x, y = cls[i[ok]], cls[j[ok]]
+            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+        step += 1
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -146,42 +188,46 @@ def jaccard_components(
         words, seen = Words(lower), set()
         salts = scramble(np.arange(1, LEADERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         for b in batches:
-            ids, found, low, entries = [], [], [], []
-            for doc_id, s in zip(b["doc_id"], shingle_sets(words, b["text"], size)):
+            found, low, rare, entries = [], [], [], []
+            for s in shingle_sets(words, b["text"], size):
                 c = class_of(s)
+                tokens, at, lv, own = entries_of(s, levels.value, percent)
                 found.append((c, len(s)))
+                rare.append(own)
                 low.append([int(scramble(s ^ x).min().view(np.int64)) for x in salts] if len(s) else None)
-                if len(s) and c not in seen:  # a class that this task has listed needs no second entry
+                if len(tokens) and c not in seen:  # a class that this task has listed needs no second entry
                     if len(seen) < 1_000_000:
                         seen.add(c)
-                    tokens, at, lv = entries_of(s, levels.value, percent)
+                    bits = parity_bits(s)
                     for t, p, v in zip(tokens.view(np.int64).tolist(), at.tolist(), lv.tolist()):
-                        entries.append((t, c, len(s), p, v))
+                        entries.append((t, c, len(s), p, v, bits))
             yield pd.DataFrame({
-                "doc_id": b["doc_id"].astype("Int64"), "rk": b["rk"].astype("Int64"), "cls": [c for c, _ in found], "n": [n for _, n in found], "low": low,
-                "token": pd.array([None] * len(b), "Int64"), "pos": 0, "level": 0})
+                "doc_id": b["doc_id"].astype("Int64"), "rk": b["rk"].astype("Int64"), "cls": [c for c, _ in found], "n": [n for _, n in found],
+                "rare": rare, "low": low, "token": pd.array([None] * len(b), "Int64"), "pos": 0, "level": 0, "bits": None})
             if entries:
+                none = pd.array([None] * len(entries), "Int64")
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None] * len(entries), "Int64"), "rk": pd.array([None] * len(entries), "Int64"), "cls": [e[1] for e in entries], "n": [e[2] for e in entries],
-                    "low": None, "token": pd.array([e[0] for e in entries], "Int64"), "pos": [e[3] for e in entries], "level": [e[4] for e in entries]})
+                    "doc_id": none, "rk": none, "cls": [e[1] for e in entries], "n": [e[2] for e in entries], "rare": 0, "low": None,
+                    "token": pd.array([e[0] for e in entries], "Int64"), "pos": [e[3] for e in entries], "level": [e[4] for e in entries],
+                    "bits": [e[5] for e in entries]})
 
-    schema = "doc_id long, rk long, cls long, n int, low array<long>, token long, pos int, level int"
+    schema = "doc_id long, rk long, cls long, n int, rare int, low array<long>, token long, pos int, level int, bits binary"
     both = stored(texts.mapInPandas(index, schema), "shingle-index")
-    rows = both.where("token is null").select("doc_id", "rk", "cls", "n", "low")
-    entries = both.where("token is not null").select("token", "cls", "n", "pos", "level")
+    rows = both.where("token is null").select("doc_id", "rk", "cls", "n", "rare", "low")
+    entries = both.where("token is not null").select("token", "cls", "n", "pos", "level", "bits")
 
-    # leaders: the least class of each min-hash bucket
-    classes = rows.where("n > 0").select("cls", "n", "low").dropDuplicates(["cls"])
-    lows = classes.select("cls", "n", F.posexplode("low").alias("k", "low"))
-    heads = lows.groupBy("k", "low").agg(F.min(F.struct("cls", "n")).alias("head"), F.count("*").alias("c")).where("c > 1")
+    # leaders: of each min-hash bucket the class with the fewest shingles that no other has
+    classes = rows.where("n > 0").select("cls", "n", "rare", "low").dropDuplicates(["cls"])
+    lows = classes.select("cls", "n", "rare", F.posexplode("low").alias("k", "low"))
+    heads = lows.groupBy("k", "low").agg(F.min(F.struct("rare", "cls", "n")).alias("head"), F.count("*").alias("c")).where("c > 1")
     stars = lows.join(heads, ["k", "low"]).where(F.col("cls") != F.col("head.cls")).select(
         F.col("cls").alias("a"), F.col("head.cls").alias("b"), "n", F.col("head.n").alias("m"))
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     stars = stored(stars.where(fits).select("a", "b").distinct(), "stars")
 
     # whole sets, of the classes that any pair could need
-    wanted = spark.sparkContext.broadcast(members_filter(
-        stars.select(F.col("a").alias("cls")).unionAll(stars.select("b")).unionAll(entries.select("cls")).distinct()))
+    wanted = spark.sparkContext.broadcast(member_filter(
+        stars.select(F.col("a").alias("cls")).unionAll(stars.select("b")).unionAll(entries.select("cls")).distinct(), "cls"))
 
     def whole_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = Words(lower), set()
@@ -189,22 +235,14 @@ def jaccard_components(
             out = []
             for s in shingle_sets(words, b["text"], size):
                 c = class_of(s)
-                if len(s) and c not in seen:
+                if len(s) and c not in seen and may_be_members(wanted.value, np.array([c], np.int64))[0]:
                     if len(seen) < 1_000_000:
                         seen.add(c)
                     out.append((c, len(s), s.astype("<u8").tobytes()))
-            df = pd.DataFrame(out, columns=["cls", "n", "items"])
-            yield df
-
-    byte = F.shiftrightunsigned(F.xxhash64("cls"), 64 - FILTER_BITS)
-
-    @F.pandas_udf("boolean")
-    def may_be_in(bit: pd.Series) -> pd.Series:
-        at = bit.to_numpy()
-        return pd.Series((wanted.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+            yield pd.DataFrame(out, columns=["cls", "n", "items"])
 
     sets = texts.select("text").mapInPandas(whole_sets, "cls long, n int, items binary")
-    sets = stored(sets.where(may_be_in(byte)).dropDuplicates(["cls"]), "sets")
+    sets = stored(sets.dropDuplicates(["cls"]), "sets")
 
     def linked(df: DataFrame) -> DataFrame:
         return df.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)
@@ -220,40 +258,26 @@ def jaccard_components(
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     listed = entries.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     listed = listed.withColumn("mine", mine).withColumn("other", other).select(
-        "token", "cls", "n", "pos", "component", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"))
+        "token", "cls", "n", "pos", "component", "bits", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"))
     listed = listed.repartition("token", "g1", "g2").sortWithinPartitions("token", "g1", "g2", "cls")
 
     def pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Streams sorted entries; holds one list at a time."""
-
-        def emit(run: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            run = run.drop_duplicates("cls")
-            if len(run) > 1:
-                for x, y in listed_pairs(*(run[c].to_numpy() for c in ("cls", "n", "pos", "component")), percent):
-                    yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-        held: list[pd.DataFrame] = []
+        """Streams sorted entries; holds about RUN_ROWS of them, or one list."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
         for b in batches:
             if not len(b):
                 continue
-            key = b[["token", "g1", "g2"]].to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            if held and (held[-1][["token", "g1", "g2"]].to_numpy()[-1] != key[0]).any():
-                yield from emit(pd.concat(held))
-                held = []
-            edges = [0, *cuts.tolist(), len(b)]
-            sizes = np.diff(edges)
-            for x, y in zip(edges[:-1], edges[1:]):
-                if y == len(b):
-                    held.append(b.iloc[x:y])
-                elif held:
-                    yield from emit(pd.concat([*held, b.iloc[x:y]]))
-                    held = []
-                elif y - x > 1:
-                    yield from emit(b.iloc[x:y])
-            del sizes
-        if held:
-            yield from emit(pd.concat(held))
+            held.append((b[["token", "g1", "g2", "cls", "n", "pos", "component"]].to_numpy(np.int64),
+                         np.frombuffer(b"".join(b["bits"]), "<u8").reshape(len(b), -1)))
+            rows += len(b)
+            if rows >= RUN_ROWS:
+                e, bits = (np.concatenate(x) for x in zip(*held))
+                cut = int(np.flatnonzero((e[:, :3] != e[-1, :3]).any(axis=1))[-1]) + 1 if (e[0, :3] != e[-1, :3]).any() else 0
+                yield from pairs_of_lists(e[:cut], bits[:cut], percent)
+                held, rows = [(e[cut:], bits[cut:])], len(e) - cut
+        if rows:
+            yield from pairs_of_lists(*(np.concatenate(x) for x in zip(*held)), percent)
 
     pairs = listed.mapInPandas(pairs_of, "a long, b long").distinct()
 

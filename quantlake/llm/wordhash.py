@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes handled at once; a longer text is cut between words.
-CHUNK = 2_000_000
+CHUNK = 400_000
 
 _RANDOM = np.random.default_rng(20240607)
 _VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

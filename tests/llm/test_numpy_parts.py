@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quantlake.llm.fmindex import FMIndex, WaveletMatrix
-from quantlake.llm.jaccard import listed_pairs, min_overlap, prefix_length
+from quantlake.llm.jaccard import listed_pairs, min_overlap, parity_bits, prefix_length
 from quantlake.llm.packing import best_fit_decreasing, cut_points
 from quantlake.llm.sharding import LOWEST, quantiles
 from quantlake.llm.substring import WORD, Segments, repeated_in_shard, segment_ids
@@ -140,7 +140,8 @@ def test_lists_lose_no_link():
         at = [i for i, s in enumerate(sets) if token in sorted(s)[: prefix_length(len(s), percent)]]
         if len(at) > 1:
             n, pos = np.array([len(sets[i]) for i in at]), np.array([sorted(sets[i]).index(token) for i in at])
-            for x, y in listed_pairs(np.array(at), n, pos, np.array(at), percent):
+            bits = np.array([np.frombuffer(parity_bits(np.array(sorted(sets[i]), np.uint64)), "<u8") for i in at])
+            for x, y in listed_pairs(np.array(at), n, pos, np.array(at), bits, percent):
                 found |= {(min(p), max(p)) for p in zip(x.tolist(), y.tolist())}
     for i in range(150):
         for j in range(i):
@@ -148,6 +149,28 @@ def test_lists_lose_no_link():
                 assert (j, i) in found
 
 
+@pytest.mark.parametrize("block", [256, 2])
+def test_lists_together_equal_lists_alone(monkeypatch, block):
+    import quantlake.llm.jaccard as J
+
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = np.random.default_rng(12)
+    n = rng.integers(5, 30, 60)
+    rows = np.array([(t, 0, 0, c, n[c], rng.integers(0, 4), c % 40) for t in range(50) for c in rng.integers(0, 60, rng.integers(1, 9))])
+    got = {tuple(r) for d in J.pairs_of_lists(rows, np.zeros((len(rows), 8), np.uint64), 80) for r in d.to_numpy().tolist()}
+    want = set()
+    for t in range(50):
+        best = {}
+        for _, _, _, c, _, p, _ in rows[rows[:, 0] == t]:
+            best[c] = min(p, best.get(c, 99))
+        for x in best:
+            for y in best:
+                fits = min(n[x], n[y]) * 100 >= max(n[x], n[y]) * 80
+                if x < y and x % 40 != y % 40 and fits and min(n[x] - best[x], n[y] - best[y]) >= min_overlap(n[x], n[y], 80):
+                    want.add((x, y))
+    assert got == want
+
+
 def test_quantiles_split_a_hot_key():
     rows = [{"key": 5, "tie": t, "w": 1.0} for t in range(100)] + [{"key": k, "tie": k, "w": 1.0} for k in (1, 9)]
     cuts = quantiles(rows, 10)
