@@ -2,13 +2,13 @@
 
 A window is 20 consecutive words. Each window belongs to the shard of its least 8-word gram (by hash), so equal
 windows always meet. Neighbouring windows with the same least gram are one segment, the unit that is sent. Segments
-whose gram occurs once cannot repeat and are dropped after exact counting. Equal segments are collapsed: their
-first occurrence is indexed, every later one is covered whole. A shard concatenates its segments in corpus order,
-builds a wavelet-matrix FM-index, streams the segments through backward search and reports the windows whose
-sequence also starts earlier; the intervals of a document are merged and cut out.
+whose gram occurs once cannot repeat and are dropped after exact counting. Equal segments are collapsed: every later
+occurrence is covered whole, and the first ones are indexed where a gram has several different segments. A shard
+concatenates its segments in corpus order, builds a wavelet-matrix FM-index, streams the segments through backward search
+and reports the windows whose sequence also starts earlier; the intervals of a document are merged and cut out.
 
-Scale: texts are read three times in place; 4 bytes per segment are shuffled to count, then only the segments that could
-repeat, then the texts once with their intervals. Shards hold about SHARD_WORDS words whatever the input. A gram that
+Scale: texts are read three times in place; 4 bytes per segment are shuffled to count, then the places of segments that
+could repeat, the words of those that are indexed, and the texts once with their intervals. Shards hold about SHARD_WORDS words whatever the input. A gram that
 is least in many places (level HOT_LEVEL or more) is sent window by window, dealt by the whole window's hash, so a
 passage that a third of all documents share is spread and its equal windows collapse.
 
@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.llm.common import prepare, row_key, stored, table, whole_text
-from quantlake.llm.counts import count_levels, level_of
+from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter
 from quantlake.llm.fmindex import FMIndex
 from quantlake.llm.wordhash import Words, joined, scramble
 
 WINDOW = 20
 GRAM = 8
-LEVEL_BITS = 26
+LEVEL_BITS = 25
 SHARD_WORDS = 1_500_000
 HOT_LEVEL = 12
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -116,68 +116,87 @@ def covered_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     levels = spark.sparkContext.broadcast(count_levels(texts.select("text"), grams, LEVEL_BITS, 40))
 
-    def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = Words(), set()
+    def cut(words: Words, b: pd.DataFrame):
+        """Segments of a batch that could repeat: text, first word, length, segment id and the hash that deals them."""
+        s = Segments(words, b["text"], window, gram)
+        level = level_of(levels.value, s.gram.astype(np.uint64))
+        cold, hot = (level > 0) & (level < HOT_LEVEL), np.flatnonzero(level >= HOT_LEVEL)
+        many = s.length[hot] - window + 1
+        single = np.repeat(s.first[hot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        first = np.concatenate([s.first[cold], single])
+        length = np.concatenate([s.length[cold], np.full(len(single), window)])
+        seg = segment_ids(s.h, first, length) if len(first) else np.zeros(0, np.uint64)
+        deal = np.concatenate([s.gram[cold].astype(np.uint64), seg[int(cold.sum()) :]])
+        # 32 bits deal the grams; grams that agree in them only share a shard
+        return s, np.concatenate([s.text[cold], np.repeat(s.text[hot], many)]), first, length, seg.view(np.int64), (deal >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+    def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words()
         for b in batches:
-            s = Segments(words, b["text"], window, gram)
-            if not len(s.gram):
-                continue
-            level = level_of(levels.value, s.gram)
-            cold, hot = (level > 0) & (level < HOT_LEVEL), np.flatnonzero(level >= HOT_LEVEL)
-            many = s.length[hot] - window + 1
-            single = np.repeat(s.first[hot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            first = np.concatenate([s.first[cold], single])
-            length = np.concatenate([s.length[cold], np.full(len(single), window)])
-            text = np.concatenate([s.text[cold], np.repeat(s.text[hot], many)])
-            if not len(first):
-                continue
-            seg = segment_ids(s.h, first, length)
-            deal = np.concatenate([s.gram[cold].astype(np.uint64), seg[int(cold.sum()) :]])
-            coded = s.h.astype("<u8")
-            payload = []
-            for i, a, n in zip(seg.tolist(), first.tolist(), length.tolist()):
-                if i in seen:
-                    payload.append(None)
-                else:
-                    if len(seen) < 1_000_000:
-                        seen.add(i)
-                    payload.append(coded[a : a + n].tobytes())
+            s, text, first, length, seg, deal = cut(words, b)
             yield pd.DataFrame({
-                "seg": seg.view(np.int64), "deal": deal.view(np.int64), "id": b["id"].astype("Int64").array[text], "rk": b["rk"].to_numpy()[text],
-                "start": (first - s.text_start[text]).astype(np.int32), "length": length.astype(np.int32), "words": payload})
+                "seg": seg, "deal": deal, "id": b["id"].astype("Int64").array[text], "rk": b["rk"].to_numpy()[text],
+                "start": (first - s.text_start[text]).astype(np.int32), "length": length.astype(np.int32)})
 
-    found = stored(texts.mapInPandas(segments, "seg long, deal long, id long, rk long, start int, length int, words binary"), "segments")
+    found = stored(texts.mapInPandas(occurrences, "seg long, deal int, id long, rk long, start int, length int"), "segments")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "rk", "start")
-    first = found.groupBy("seg").agg(F.min(place).alias("first"), F.max(place).alias("final"), F.max("deal").alias("deal"))
+    first = stored(found.groupBy("seg").agg(
+        F.min(place).alias("first"), F.max(place).alias("final"), F.max("deal").alias("deal"), F.max("length").alias("length")), "first")
     again = first.where("first != final").select("seg", "first")
     later = found.select("seg", "id", "rk", "start", "length").join(again, "seg").where(place != F.col("first")).select("rk", "start", "length")
 
-    total = found.where("words is not null").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    # a gram with a single segment, however often that occurs, has nothing more to find
+    busy = first.groupBy("deal").agg(F.count("*").alias("n")).where("n > 1").select("deal")
+    index = stored(first.join(busy, "deal").select("deal", "seg", "first.last", "first.id", "first.rk", "first.start", "length"), "indexed")
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
-    bodies = found.where("words is not null").select("seg", "words").dropDuplicates(["seg"])
-    index = first.join(bodies, "seg").select(
-        F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int").alias("shard"), "first.last", "first.id", "first.rk", "first.start", "words")
+    shard = F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int").alias("shard")
+    wanted = spark.sparkContext.broadcast(member_filter(index, "seg"))
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+    def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, seen = Words(), set()
+        for b in batches:
+            s, _, first, length, seg, deal = cut(words, b)
+            coded, keep = s.h.astype("<u8"), []
+            for k in np.flatnonzero(may_be_members(wanted.value, seg)).tolist():
+                i = int(seg[k])
+                if i not in seen:
+                    keep.append(k)
+                    if len(seen) < 1_000_000:
+                        seen.add(i)
+            yield pd.DataFrame({
+                "seg": seg[keep], "deal": deal[keep], "words": [coded[a : a + n].tobytes() for a, n in zip(first[keep].tolist(), length[keep].tolist())]})
+
+    text_of = texts.select("text").mapInPandas(bodies, "seg long, deal int, words binary")
+
+    def search(places: pd.DataFrame, bodies_: pd.DataFrame) -> pd.DataFrame:
+        pdf = places.drop(columns="shard").merge(bodies_[["seg", "words"]].drop_duplicates("seg"), on="seg")
         pdf = pdf.sort_values(["last", "id", "rk", "start"], ignore_index=True)
-        got = list(repeated_in_shard([np.frombuffer(w, "<u8") for w in pdf["words"]], window))
+        got = list(repeated_in_shard([np.frombuffer(w, "<u8") for w in pdf["words"]], window)) if len(pdf) else []
         at = np.array([g[0] for g in got], np.int64)
         return pd.DataFrame({
             "rk": pdf["rk"].to_numpy()[at], "start": (pdf["start"].to_numpy()[at] + np.array([g[1] for g in got], np.int64)).astype(np.int32),
             "length": np.array([g[2] for g in got], np.int32)})
 
-    return index.groupBy("shard").applyInPandas(search, "rk long, start int, length int").unionByName(later)
+    left = index.select(shard, "seg", "last", "id", "rk", "start").groupBy("shard")
+    right = text_of.select(shard, "seg", "words").groupBy("shard")
+    return left.cogroup(right).applyInPandas(search, "rk long, start int, length int").unionByName(later)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left, joined by a space) of every row of ``docs``."""
     cuts = covered_stretches(docs, id_col, text_col, window).groupBy("rk").agg(F.collect_list(F.struct("start", "length")).alias("cuts"))
+    cuts = stored(cuts, "cuts")
+    # texts without cuts are finished where they are read; only the others (and a few that the filter lets through) move
+    touched = docs.sparkSession.sparkContext.broadcast(member_filter(cuts, "rk"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"), row_key(id_col, text_col).alias("rk"))
     cuts = cuts.select("rk", F.col("cuts.start").alias("starts"), F.col("cuts.length").alias("lengths"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             total, removed, kept = [], [], []
+            if "starts" not in b:
+                b = b[~may_be_members(touched.value, b["rk"].to_numpy(np.int64))].assign(starts=None, lengths=None)
             for text, starts, lengths in zip(b["text"], b["starts"], b["lengths"]):
                 words = WORD.findall(text)
                 total.append(len(words))
@@ -191,7 +210,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 kept.append(" ".join(words))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n_words": total, "n_removed": removed, "kept": kept})
 
-    return rows.join(cuts, "rk", "left").mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept string")
+    @F.pandas_udf("boolean")
+    def may_be_cut(rk: pd.Series) -> pd.Series:
+        return pd.Series(may_be_members(touched.value, rk.to_numpy(np.int64)))
+
+    out = "doc_id long, n_words long, n_removed long, kept string"
+    moved = rows.where(may_be_cut("rk")).join(cuts, "rk", "left")
+    return rows.mapInPandas(cut, out).unionAll(moved.mapInPandas(cut, out))
 
 
 def op9_substring_dedup(spark, sf_dir):
