@@ -9,6 +9,11 @@ whose second term would be negative only by overfitting; when it falls below zer
 Training is numpy on the driver over a bounded sample; ``prior`` is the toxic share of the labelled
 rows that may be learnt from. Scores are the logistic of f, over the whole of every text.
 
+No feature is switched off by a count: a weight is the feature's relevance times a coefficient, and the penalty
+is on the coefficients, so that weak evidence must pay more for the same weight. Relevance grows from 0 to 1 with the
+surplus of toxic examples in standard deviations, and is 1/2 where the largest surplus of as many features would
+be by chance, sqrt(2 log features); so small label sets learn too. Coefficients start at log((np + 1) / (expected + 1)).
+
 Bounds (parameters): at most MAX_POSITIVE toxic and about MAX_UNLABELLED unlabelled rows are fitted on, each as the
 features of a vocabulary of at most MAX_FEATURES, chosen by an aggregate over that sample. The driver
 holds only those index lists. Scoring reads each text once, in place; nothing is shuffled but the small tables.
@@ -33,14 +38,13 @@ from quantlake.llm.common import prepare, stored, table, whole_text
 MAX_POSITIVE = 6000
 MAX_UNLABELLED = 12000
 MAX_FEATURES = 30000
-MIN_POSITIVES = 3       # a feature must occur in that many toxic examples,
-MIN_SURPLUS = 5.0       # exceed its expectation by as many standard deviations (of a million features none by chance),
-                        # and alone make a text as likely toxic as THRESHOLD: prior * P(f | toxic) / P(f | unlabelled)
+MIN_POSITIVES = 2       # a feature of a single toxic example says nothing that its text doesn't
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
 MAX_PRIOR = 0.25        # below the threshold: a text without any evidence is not rejected
 HELD_OUT = 2            # rows whose crc32(doc_id) mod 4 is this are never learnt from
 EPOCHS, BATCHES, RATE, DECAY = 40, 16, 0.05, 1e-4
+SHRINK, PER_BATCH = 1e-3, 4  # penalty of the coefficients; toxic examples of a batch at least, where there are few
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -58,25 +62,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == HELD_OUT, F.lit(False))
 
 
-def nnpu(x: list[np.ndarray], y: np.ndarray, prior: float, dims: int, epochs: int = EPOCHS, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Weights and bias from feature index lists ``x``; ``y`` is 1 for confirmed, 0 for unlabelled rows."""
+def nnpu(x: list[np.ndarray], y: np.ndarray, prior: float, dims: int, epochs: int = EPOCHS, seed: int = 0,
+         relevance: np.ndarray | None = None, start: np.ndarray | None = None, decay: float = DECAY) -> tuple[np.ndarray, float]:
+    """Weights and bias from feature index lists ``x``; ``y`` is 1 for confirmed, 0 for unlabelled rows.
+
+    Weights are ``relevance`` (1) times coefficients, which begin at ``start`` (0) and bear the penalty ``decay``."""
     rng, sizes = np.random.default_rng(seed), np.array([len(i) for i in x])
     flat = np.concatenate(x) if len(x) else np.zeros(0, np.int64)
     ends = np.cumsum(sizes)
-    theta = np.zeros(dims + 1)
-    theta[dims] = np.log(prior / (1 - prior))
+    theta = np.append(np.zeros(dims) if start is None else start, np.log(prior / (1 - prior)))
+    scale = np.append(np.ones(dims) if relevance is None else relevance, 1.0)
     m, v, step = np.zeros(dims + 1), np.zeros(dims + 1), 0
     pos, unl = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    batches = min(BATCHES, max(1, len(pos) // PER_BATCH))
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for _ in range(epochs):
-        for p, u in zip(np.array_split(rng.permutation(pos), BATCHES), np.array_split(rng.permutation(unl), BATCHES)):
+        for p, u in zip(np.array_split(rng.permutation(pos), batches), np.array_split(rng.permutation(unl), batches)):
             if not len(p) or not len(u):
                 continue
             rows = np.concatenate([p, u])
             n = sizes[rows]
             owner = np.repeat(np.arange(len(rows)), n)
             at = flat[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[rows] - n, n)]
-            f = np.bincount(owner, weights=theta[at], minlength=len(rows)) + theta[dims]
+            f = np.bincount(owner, weights=(scale * theta)[at], minlength=len(rows)) + theta[dims]
             s, k = sigmoid(f), len(p)
             loss_neg = np.logaddexp(0, f)
             corrected = loss_neg[k:].mean() - prior * loss_neg[:k].mean()
@@ -85,11 +93,11 @@ def nnpu(x: list[np.ndarray], y: np.ndarray, prior: float, dims: int, epochs: in
                 g[:k], g[k:] = prior * (s[:k] - 1) / k - prior * s[:k] / k, s[k:] / len(u)
             else:  # go back up: the gradient of minus the corrected term
                 g[:k], g[k:] = prior * s[:k] / k, -s[k:] / len(u)
-            grad = np.append(np.bincount(at, weights=g[owner], minlength=dims), g.sum()) + DECAY * np.append(theta[:dims], 0)
+            grad = scale * np.append(np.bincount(at, weights=g[owner], minlength=dims), g.sum()) + decay * np.append(theta[:dims], 0)
             step += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return theta[:dims], float(theta[dims])
+    return (scale * theta)[:dims], float(theta[dims])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict[str, float], float, float]:
@@ -121,23 +129,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = sample.agg(F.count_if("p"), F.count_if(~F.col("p"))).first()
     expected = F.col("nu") * (total[0] / max(1, total[1]))
     surplus = (F.col("np") - expected) / F.sqrt(expected + 1)
-    telling = F.col("np") * total[1] * prior >= THRESHOLD * F.col("nu") * total[0]
-    vocab = [r["f"] for r in counts.where((F.col("np") >= MIN_POSITIVES) & (surplus >= MIN_SURPLUS) & telling)
-             .orderBy(surplus.desc(), "f").limit(MAX_FEATURES).select("f").collect()]
+    found = stored(counts.where(F.col("np") >= MIN_POSITIVES).select("f", surplus.alias("z"), F.log((F.col("np") + 1) / (expected + 1)).alias("start")), "toxic-features")
+    chance = (2 * np.log(max(2, found.count()))) ** 2  # the fourth power of the largest surplus by chance
+    best = found.orderBy(F.col("z").desc(), "f").limit(MAX_FEATURES).collect()
+    vocab = [r["f"] for r in best]
+    z, start = (np.maximum(0, np.array([r[c] for r in best], dtype=float)) for c in ("z", "start"))
+    relevance = z**4 / (z**4 + chance)
     place = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(vocab)})
 
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"p": b["p"], "u": b["u"], "x": [[place.value[f] for f in fs if f in place.value] for fs in b["feats"]]})
+            yield pd.DataFrame({"p": b["p"], "u": b["u"], "x": [
+                np.array([place.value[f] for f in fs if f in place.value], dtype=np.int32).tobytes() for fs in b["feats"]]})
 
-    got = sample.mapInPandas(indexed, "p boolean, u boolean, x array<int>").collect()
+    got = sample.mapInPandas(indexed, "p boolean, u boolean, x binary").collect()
     x, y = [], []
     for r in sorted(got, key=lambda r: (r["p"], r["u"], r["x"])):  # a confirmed row of the unlabelled sample is in both
         for on, kind in ((r["p"], 1), (r["u"], 0)):
             if on:
-                x.append(np.array(r["x"], dtype=np.int64))
+                x.append(np.frombuffer(r["x"], dtype=np.int32).astype(np.int64))
                 y.append(kind)
-    weights, bias = nnpu(x, np.array(y), prior, len(vocab))
+    weights, bias = nnpu(x, np.array(y), prior, len(vocab), relevance=relevance, start=start, decay=SHRINK)
     return {f: float(w) for f, w in zip(vocab, weights) if w}, bias, prior
 
 

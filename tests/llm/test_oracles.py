@@ -94,3 +94,13 @@ def test_toxicity_whole_table(spark, con):
     pos, neg = [s for s, y in out if y], [s for s, y in out if not y]
     auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert auc > 0.7 and sum(n >= 0.3 for n in neg) <= 0.05 * len(neg)
+
+
+@pytest.mark.parametrize("sf, least", [("sf0.001", 1), ("sf0.01", 6)])
+def test_toxicity_learns_from_few_labels(spark, sf, least):
+    """Of 2 held-out toxic rows (9 to learn from) and of 14 (37 to learn from)."""
+    got = QUERIES["op4_toxicity"](spark, f"/root/testdata/{sf}").where("held_out").collect()
+    labels = dict(duck(f"/root/testdata/{sf}").sql("SELECT doc_id, toxic FROM labels").fetchall())
+    pos, neg = ([r["score"] for r in got if labels.get(r["doc_id"]) == y] for y in (1, 0))
+    assert sum(s >= 0.3 for s in pos) >= least and sum(s >= 0.3 for s in neg) <= 0.05 * len(neg)
+    assert sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) > 0.6 * len(pos) * len(neg)
