@@ -5,17 +5,19 @@ its path; the longest fitting rule decides. Pages without a fitting rule take th
 aliases: redirects (meta refresh) and canonical links of the page's HTML are edges between addresses,
 addresses that one chain of edges joins are one component, and a component that holds a blocked page
 blocks its other pages, unless it also holds a page that a rule allows. Without either: allow.
+Targets of edges count whether they are rows or not: rules judge their addresses too.
 
 Longest: by the length of host plus path, then of the host. Both are checked by exact lookups
 (host suffixes), so any number of rules is one broadcast-size-checked join by Spark, not a scan of the rules.
 
 Scale: pages are parsed once and written without HTML; components run on the edges only; addresses are
 compared by 128-bit digests, and verdicts of a component are a map-side combined aggregate, so a hub
-that a third of all pages point to is one row per task.
+that a third of all pages point to is one row per task. Each distinct target is judged once.
 
 Defined cases: null url or no '://': host and path are '', no rule fits, only its own HTML can link it;
-null or empty html has no edges; a link without scheme is resolved against the page's host when it starts
-with '/', else ignored; repeated rows get the same verdict; an empty table gives no rows; extra columns are ignored.
+null or empty html has no edges; a target is decoded ('&amp;', numeric and the other XML entities) and resolved against
+the page's url as RFC 3986 does (dot segments only in relative targets; a page without host resolves none); targets
+of other schemes without '//' (mailto:, javascript:) have no address; repeated rows get the same verdict; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,15 +59,53 @@ def address(url: Column) -> Column:
     return F.concat(url_host(url), F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1))
 
 
+def decoded(text: Column) -> Column:
+    """Numeric and XML character references replaced, each once."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&(?:amp|lt|gt|quot|apos);|&|[^&]+)"), F.lit(0))
+
+    def one(p: Column) -> Column:
+        named = F.when(p == "&amp;", "&").when(p == "&lt;", "<").when(p == "&gt;", ">").when(p == "&quot;", '"').when(p == "&apos;", "'")
+        digits = F.when(p.rlike("^&#[0-9]+;$"), F.regexp_extract(p, "([0-9]+)", 1).cast("int")).when(
+            p.rlike("^&#[xX][0-9a-fA-F]+;$"), F.conv(F.regexp_extract(p, "^&#[xX]([0-9a-fA-F]+);", 1), 16, 10).cast("int"))
+        # a code point as four bytes of UTF-32
+        char = F.when(digits.between(1, 0xD7FF) | digits.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32"))
+        return F.coalesce(named, char, p)
+
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """``path`` (from '/') without '.' and '..' segments; one that ends in such a segment ends in '/'."""
+    parts = F.slice(F.split(path, "/", -1), 2, 1 << 30)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(p == ".", done)
+                       .when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(p))))
+    end = F.when(path.rlike(r"/\.{1,2}$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, end), "/"))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute form of a link target on the page ``url``; null if it has none."""
+    host, page = url_host(url), F.concat(F.lit("http://"), url_host(url))
+    path = F.when(url_path(url) == "", "/").otherwise(url_path(url))
+    ref, query = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    asked = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    full = (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (target == "") | (host == ""), F.lit(None).cast("string"))
+            .when(target.startswith("/"), F.concat(page, F.when(ref.rlike(r"/\.{1,2}(/|$)"), without_dots(ref)).otherwise(ref), query))
+            .when(target.startswith("?"), F.concat(page, url_path(url), target))
+            .when(target.startswith("#"), F.concat(page, url_path(url), asked, target))
+            .otherwise(F.concat(page, without_dots(F.concat(F.regexp_extract(path, r"(?s)^(.*/)", 1), ref)), query)))
+    return F.when(F.coalesce(url.contains("://"), F.lit(False)) | target.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:)?//"), full)
+
+
 def linked_addresses(url: Column, html: Column) -> Column:
     """Targets of canonical links and meta refreshes, as an array of addresses."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     wanted = F.filter(tags, lambda t: t.rlike(r"""(?is)\brel\s*=\s*["']?[^"'>]*\bcanonical\b|\bhttp-equiv\s*=\s*["']?refresh\b"""))
-    target = F.transform(wanted, lambda t: F.trim(F.regexp_extract(
-        t, r"""(?is)(?:\bhref\s*=\s*["']?|\burl\s*=\s*["']?)([^"'>\s]+)""", 1)))
-    full = F.transform(target, lambda t: F.when(t.contains("://"), t)
-                       .when(t.startswith("//"), F.concat(F.lit("http:"), t))
-                       .when(t.startswith("/") & (url_host(url) != ""), F.concat(F.lit("http://"), url_host(url), t)))
+    target = F.transform(wanted, lambda t: decoded(F.trim(F.regexp_extract(
+        t, r"""(?is)(?:\bhref\s*=\s*["']?|\burl\s*=\s*["']?)([^"'>\s]+)""", 1))))
+    full = F.transform(target, lambda t: resolved(t, url))
     return F.transform(F.filter(full, lambda t: t.isNotNull()), address)
 
 
@@ -104,14 +144,20 @@ def judge(pages: DataFrame, rules, id_col: str = "page_id", url_col: str = "url"
         F.when(has, url_host(url)).otherwise("").alias("host"),
         F.when(has, url_path(url)).otherwise("").alias("path"),
         node.alias("node"),
-        F.transform(linked_addresses(url, html), lambda a: F.md5(F.concat(F.lit("u"), a))).alias("links"),
+        linked_addresses(url, html).alias("links"),
     ), "pages")
-    edges = parsed.select(F.col("node").alias("a"), F.explode("links").alias("b"))
+    links = parsed.select(F.col("node").alias("a"), F.explode("links").alias("to")).withColumn("b", F.md5(F.concat(F.lit("u"), F.col("to"))))
+    edges = links.select("a", "b")
     comps = connected_components(edges)
-    ruled = rule_hits(parsed.drop("links"), rule_table(pages.sparkSession, rules)).join(comps, "node", "left")
-    ruled = ruled.withColumn("component", F.coalesce("component", "node"))
+    rules = rule_table(pages.sparkSession, rules)
+    named = lambda df: df.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ruled = named(rule_hits(parsed.drop("links"), rules))
+    # an address begins with its host, so both parts are read behind a '://'
+    to = F.concat(F.lit("http://"), F.col("to"))
+    targets = links.select(F.col("b").alias("node"), "to").distinct().select("node", url_host(to).alias("host"), url_path(to).alias("path"))
+    heard = named(rule_hits(targets, rules)).select("component", "rule", "rule_verdict")
     # only components that a rule reaches are kept, so the join back is small
-    says = ruled.where(F.col("rule").isNotNull()).groupBy("component").agg(
+    says = ruled.select("component", "rule", "rule_verdict").unionByName(heard).where(F.col("rule").isNotNull()).groupBy("component").agg(
         F.max(F.col("rule_verdict") == "block").alias("aliases_blocked"), F.max(F.col("rule_verdict") == "allow").alias("aliases_allowed"))
     blocked, allowed = (F.coalesce(c, F.lit(False)) for c in ("aliases_blocked", "aliases_allowed"))
     verdict = F.coalesce("rule_verdict", F.when(blocked & ~allowed, "block").otherwise("allow"))

@@ -2,6 +2,7 @@
 
 import collections
 import random
+from urllib.parse import urljoin
 
 import numpy as np
 import pytest
@@ -198,6 +199,31 @@ def test_redirects_carry_blocks(spark):
     assert urlfilter.judge(df.limit(0), urlfilter.RULES).count() == 0
 
 
+def test_link_targets_that_are_no_rows(spark):
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    pages = [
+        (1, "http://a.net/1", link("http://example.org/es/x")), (2, "http://b.net/2", link("http://b.net/3")),
+        (3, "http://b.net/4", link("http://b.net/3") + link("http://example.org/es/y")),
+        (4, "http://c.net/1", link("http://example.org/es/z") + link("http://shop.com/fr/1")),  # an allowed target wins
+        (5, "http://d.net/p/q?x=1", link("../r.html")), (6, "http://d.net/r.html", link("http://example.org/es/r")),
+        (7, "http://e.net/login", link("/login?to=http://example.org/es/x")), (8, "http://f.net/a", link("?x=1&amp;y=2")),
+        (9, "http://f.net/a?x=1&y=2", link("http://example&#46;org/es/w")), (10, "http://g.net", link("mailto:x@example.org/es/")),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(df, urlfilter.RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "block", 7: "allow", 8: "block", 9: "block", 10: "allow"}
+
+
+def test_link_targets_are_resolved(spark):
+    cases = [  # as urllib.parse.urljoin, host and path
+        ("http://h.org/b/c/d?q", t) for t in ("g", "./g", "g/", "/g", "//x.net/y", "?y", "g?y", "#s", "g#s", "../g", "../../g", "../../../g", ".", "..", "./", "../", "g?y/../x", "http://z.org/k?a#b")
+    ] + [("http://h.org", "x.html"), ("http://h.org?q", "x.html"), ("http://h.org/a", "/b/../c")]
+    df = spark.createDataFrame(cases, "url string, target string")
+    got = {(r["url"], r["target"]): r["a"] for r in df.select("url", "target", urlfilter.address(urlfilter.resolved(F.col("target"), F.col("url"))).alias("a")).collect()}
+    for u, t in cases:
+        assert got[u, t] == urljoin(u, t).split("://", 1)[1].split("#")[0], (u, t)
+
+
 def near_copies(rng, n):
     out = []
     for _ in range(n):
