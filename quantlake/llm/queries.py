@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quantlake.llm import jaccard, knn, linededup, merkle, mixing, packing, sharding, substring, toxicity, urlfilter
+from quantlake.llm import gam, jaccard, knn, linededup, manifest, merkle, mixing, packing, sharding, substring, toxicity, urlfilter, whiten
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_exact_topk_search": knn.op8_exact_topk_search,
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_quality_classifier": gam.op12_quality_classifier,
+    "op13_embedding_whitening": whiten.op13_embedding_whitening,
 }
 
 ORACLE_SQL = {
@@ -24,4 +27,5 @@ ORACLE_SQL = {
     "op8_exact_topk_search": knn.ORACLE_SQL,
     "op9_substring_dedup": substring.ORACLE_SQL,
     "op10_line_dedup": linededup.ORACLE_SQL,
+    "op11_merkle_manifest": manifest.ORACLE_SQL,
 }

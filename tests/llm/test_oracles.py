@@ -24,7 +24,7 @@ def con():
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(ep.queries())
     assert set(ORACLE_SQL) <= set(ep.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
