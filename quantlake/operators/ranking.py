@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quantlake.session import scratch_path
 
@@ -34,7 +35,7 @@ def with_place(df: DataFrame, order: Sequence[str | Column], name: str = "place"
     ranged = df.repartitionByRange(ranges, *total) if ranges else df.repartitionByRange(*total)
     path = scratch_path(spark, "places")
     ranged.sortWithinPartitions(*total).withColumn(at, F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.schema(df.schema.add(at, "long")).parquet(path)
+    numbered = spark.read.schema(StructType([*df.schema.fields, StructField(at, LongType())])).parquet(path)
     span = F.shiftright(at, INDEX_BITS)
     before, offsets = 0, []
     for s, n in sorted(tuple(r) for r in numbered.groupBy(span.alias("s")).count().collect()):

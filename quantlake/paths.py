@@ -28,6 +28,24 @@ class LakePaths:
     def curated_ohlcv(self) -> str:
         return self._p("curated", "ohlcv")
 
+    @property
+    def tail_ohlcv(self) -> str:
+        """The last bars of each symbol, which a daily run's indicators look back on."""
+        return self._p("state", "tail_ohlcv")
+
+    @property
+    def pending(self) -> str:
+        """Markers of incremental runs that haven't ended."""
+        return self._p("state", "pending")
+
+    @property
+    def latest_ticks(self) -> str:
+        return self._p("state", "latest_ticks")
+
+    @property
+    def latest_checkpoint(self) -> str:
+        return self._p("checkpoints", "latest_ticks")
+
     @property
     def tick_checkpoint(self) -> str:
         return self._p("checkpoints", "ticks")

@@ -5,6 +5,10 @@ One action per zone write; row counts come from the same pass
 step, which cuts the lineage between the two halves. The history is shuffled
 once by symbol and sorted once by (symbol, date): the newest run of each bar is
 picked, and all indicator windows evaluated, on that one order.
+
+Every write lands in a version folder of its own (``sources.versions``), so a run that fails leaves what readers
+see as it was; catalog partitions are moved after success, from the write's own report, and replaced versions are
+swept at the end. ``plans.incremental`` computes the bars only that a run changes.
 """
 
 from __future__ import annotations
@@ -21,12 +25,14 @@ from quantlake.paths import LakePaths
 from quantlake.sources import catalog
 from quantlake.sources.lake import (
     history_by_symbol,
+    land_curated,
+    land_raw,
+    land_staging,
     read_raw,
     read_staging,
-    write_curated,
-    write_raw,
-    write_staging,
+    sweep,
 )
+from quantlake.sources.versions import Commit
 from quantlake.sources.wide import EmptyHistoryError, normalize_wide
 
 
@@ -43,15 +49,20 @@ class BatchResult:
 
 
 def run_ingest(spark: SparkSession, paths: LakePaths, wide: DataFrame, run_date: str | dt.date,
-               symbols: Sequence[str] | None = None, date_col: str = "Date") -> int:
+               symbols: Sequence[str] | None = None, date_col: str = "Date", database: str | None = None) -> int:
     """Reshape a wide vendor history of the requested symbols and land it as one run; returns its rows.
 
     Nothing is replaced by an empty history: the rows are looked for before the run partition is written.
+    With ``database`` the run's partition of the raw table is registered there.
     """
     bars = normalize_wide(wide, symbols, date_col)
     if wide.isEmpty():
         raise EmptyHistoryError("the vendor history has no rows")
-    return write_raw(bars, paths, str(run_date))
+    done = land_raw(bars, paths, str(run_date))
+    if database:
+        catalog.create_database(spark, database, use=False)
+        catalog.publish(spark, catalog.create_raw_table(spark, paths, database), done.partitions)
+    return done.rows
 
 
 def run_batch(
@@ -74,17 +85,27 @@ def run_batch(
     raw = read_raw(spark, paths, run)
     if not allow_empty and raw.isEmpty():
         raise EmptyRunError(f"no raw rows for run date {run}")
-    n_staging = write_staging(clean(raw, ingested_at), paths, run)
+    staged = land_staging(clean(raw, ingested_at), paths, run)
     history = history_by_symbol(read_staging(spark, paths))
     enriched = add_all_indicators(history, split_rows=split_rows)
-    n_curated = write_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
+    curated = land_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
     if database:
-        refresh_catalog(spark, paths, database)
-    return BatchResult(run, n_staging, n_curated, split_rows)
+        publish_run(spark, paths, database, staged, curated, whole=not dynamic_curated)
+    sweep(spark, paths)
+    return BatchResult(run, staged.rows, curated.rows, split_rows)
+
+
+def publish_run(spark: SparkSession, paths: LakePaths, database: str, staged: Commit, curated: Commit, whole: bool) -> None:
+    """Register in ``database`` what a run's two writes report, and replace the views."""
+    catalog.create_database(spark, database, use=False)
+    catalog.publish(spark, catalog.create_staging_table(spark, paths, database), staged.partitions)
+    table = catalog.create_curated_table(spark, paths, database)
+    catalog.publish(spark, table, curated.partitions, whole=whole)
+    catalog.create_views(spark, database)
 
 
 def refresh_catalog(spark: SparkSession, paths: LakePaths, database: str, ticks: bool = False) -> list[str]:
-    """Create what is missing in ``database``, register new partitions, replace the views; returns the view names."""
+    """Create what is missing in ``database``, register all that the zones hold, replace the views; returns the view names."""
     catalog.create_database(spark, database, use=False)
     curated = catalog.create_curated_table(spark, paths, database)
     catalog.repair(spark, curated)

@@ -1,21 +1,29 @@
 """Catalog tables over the lake folders.
 
 Works with Spark's built-in session catalog (no external metastore needed):
-tables are created over existing locations, partitions written by jobs
-outside the catalog are registered with ``recoverPartitions``, and statistics
-are refreshed with ``ANALYZE``.
+tables are created over existing locations. A job registers the partitions it has
+written from its own report (``publish``): partitions are added at, or moved to, the folders of the new version, one
+by one and each as a whole. ``repair`` does the same for everything that a zone holds, or leaves it to
+``recoverPartitions`` where a folder has no versions. Statistics are refreshed with ``ANALYZE``, of
+the table or of single partitions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quantlake.paths import LakePaths
-from quantlake.schemas import CURATED_OHLCV, RAW_OHLCV, RAW_TICKS, ddl
+from quantlake.schemas import CURATED_OHLCV, RAW_OHLCV, RAW_TICKS, STAGING_OHLCV, ddl
+from quantlake.sources import versions
 
 RAW_TABLE = "raw_ohlcv"
+STAGING_TABLE = "staging_ohlcv"
 CURATED_TABLE = "curated_ohlcv"
 TICKS_TABLE = "raw_ticks"
+#: Partitions named in one ALTER TABLE
+BATCH = 200
 
 
 def _q(name: str) -> str:
@@ -49,6 +57,13 @@ def create_raw_table(spark: SparkSession, paths: LakePaths, db: str | None = Non
     return name
 
 
+def create_staging_table(spark: SparkSession, paths: LakePaths, db: str | None = None) -> str:
+    """Cleaned bars of each run, partitioned by run date."""
+    name = f"{db}.{STAGING_TABLE}" if db else STAGING_TABLE
+    _create(spark, name, STAGING_OHLCV, ("date_partition",), paths.staging_ohlcv)
+    return name
+
+
 def create_curated_table(spark: SparkSession, paths: LakePaths, db: str | None = None) -> str:
     """Curated bars with column comments, partitioned by symbol."""
     name = f"{db}.{CURATED_TABLE}" if db else CURATED_TABLE
@@ -68,35 +83,109 @@ def is_partitioned(spark: SparkSession, table: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(table))
 
 
+def location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _spec(key: str, value: str | None) -> str:
+    if value is None:
+        return f"PARTITION (`{key}` = null)"
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"PARTITION (`{key}` = '{text}')"
+
+
+def publish(spark: SparkSession, table: str, folders: dict[str | None, str], whole: bool = False) -> dict[str, int]:
+    """Make ``table`` read the partitions in ``folders`` (value -> folder), as a write reports them.
+
+    Partitions new to the table are added, others moved by one ALTER each, so a reader sees every partition
+    either before or after. ``whole``: partitions that are not in ``folders`` go, last. The work follows the folders, not
+    the lake; the catalog's own list of partition names is all that is read besides.
+    """
+    key = partition_columns(spark, table)[0]
+    known = {versions.value_of(r[0]) for r in partitions(spark, table).collect()}
+    new, moved = [v for v in folders if v not in known], [v for v in folders if v in known]
+    for i in range(0, len(new), BATCH):
+        specs = " ".join(f"{_spec(key, v)} LOCATION '{folders[v]}'" for v in new[i : i + BATCH])
+        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {specs}")
+    for v in moved:
+        spark.sql(f"ALTER TABLE {_q(table)} {_spec(key, v)} SET LOCATION '{folders[v]}'")
+    gone = sorted(known - set(folders), key=str) if whole else []
+    for i in range(0, len(gone), BATCH):
+        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS {', '.join(_spec(key, v) for v in gone[i : i + BATCH])}")
+    spark.catalog.refreshTable(table)
+    return {"added": len(new), "moved": len(moved), "dropped": len(gone)}
+
+
 def repair(spark: SparkSession, table: str) -> bool:
     """Register partition folders written outside the catalog.
 
-    A table created over a streaming sink's folder after the sink has written
-    is read through the sink's commit log (``_spark_metadata``), which already
+    A zone with versions is registered as its readers by path see it. A table created over a streaming sink's
+    folder after the sink has written is read through the sink's commit log (``_spark_metadata``), which already
     knows every committed file and its partition values; Spark registers such
     a table without catalog partitions, and there is nothing to recover.
     Returns whether partitions were recovered.
     """
     if not is_partitioned(spark, table):
         return False
-    spark.catalog.recoverPartitions(table)
+    keys, zone = partition_columns(spark, table), location(spark, table)
+    folders = versions.live(spark, zone, keys[0]) if len(keys) == 1 else {}
+    if any("/version=" in f for f in folders.values()):
+        publish(spark, table, folders, whole=True)
+    else:
+        spark.catalog.recoverPartitions(table)
     return True
 
 
-def analyze(spark: SparkSession, table: str, partition_cols: tuple[str, ...] = ()) -> None:
-    """Table (and per-partition) statistics for the optimizer."""
-    part = f" PARTITION ({', '.join(partition_cols)})" if partition_cols else ""
-    spark.sql(f"ANALYZE TABLE {_q(table)}{part} COMPUTE STATISTICS")
+def analyze(spark: SparkSession, table: str, partition_cols: tuple[str, ...] = (), values: Iterable[str | None] | None = None,
+            columns: tuple[str, ...] = ()) -> None:
+    """Statistics for the optimizer, of the table, per partition (``partition_cols``), or of the partitions
+    ``values`` only, such as those that a run has changed; ``columns``: of these columns of the table too."""
+    if values is not None:
+        key = partition_columns(spark, table)[0]
+        for v in values:
+            spark.sql(f"ANALYZE TABLE {_q(table)} {_spec(key, v)} COMPUTE STATISTICS")
+    else:
+        part = f" PARTITION ({', '.join(partition_cols)})" if partition_cols else ""
+        spark.sql(f"ANALYZE TABLE {_q(table)}{part} COMPUTE STATISTICS")
+    if columns:
+        spark.sql(f"ANALYZE TABLE {_q(table)} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+
+
+def _rows_in(text: str) -> int | None:
+    return int(text.split(" rows")[0].split(",")[-1]) if "rows" in text else None
 
 
 def row_count(spark: SparkSession, table: str) -> int | None:
     """The row count that ANALYZE recorded, or None."""
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").collect():
-        if r["col_name"] == "Statistics" and "rows" in r["data_type"]:
-            return int(r["data_type"].split(" rows")[0].split(",")[-1])
+        if r["col_name"] == "Statistics":
+            return _rows_in(r["data_type"])
     return None
 
 
+def partition_row_counts(spark: SparkSession, table: str, values: Iterable[str | None] | None = None) -> dict[str | None, int | None]:
+    """The row count that ANALYZE recorded for each partition (or for ``values``); None: not analyzed."""
+    key = partition_columns(spark, table)[0]
+    if values is None:
+        values = [versions.value_of(r[0]) for r in partitions(spark, table).collect()]
+    out: dict[str | None, int | None] = {}
+    for v in values:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)} {_spec(key, v)}").collect()
+        out[v] = next((_rows_in(r["data_type"]) for r in rows if r["col_name"] == "Partition Statistics"), None)
+    return out
+
+
+def column_statistics(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """What ANALYZE recorded about a column: min, max, num_nulls, distinct_count and lengths."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)} `{column}`").collect()
+    return {r["info_name"]: r["info_value"] for r in rows if r["info_value"] not in ("NULL", None)}
+
+
 def partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {_q(table)}")
 

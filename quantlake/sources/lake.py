@@ -2,13 +2,13 @@
 
 Reads always pass an explicit schema, so partition values keep their declared
 types and no file footers are sampled for inference. Writes go to partition
-directories; the row count of a write is taken with an ``Observation`` on the
-same pass instead of a second execution of the plan.
+directories of a new version folder (``versions``), so a write that fails leaves the zone as it was; its
+row count is taken with an ``Observation`` on the same pass instead of a second execution of the plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,43 +16,39 @@ from quantlake.operators.cleaning import BAR_KEY
 from quantlake.operators.dedup import keep_max_per_key
 from quantlake.paths import LakePaths
 from quantlake.schemas import CURATED_OHLCV, RAW_OHLCV, STAGING_OHLCV
+from quantlake.sources import versions
+from quantlake.sources.versions import Commit
+
+RUN_KEY, SYMBOL_KEY = "date_partition", "symbol"
 
 
 def _data_cols(schema: StructType, *partition_cols: str) -> list[str]:
     return [f.name for f in schema.fields if f.name not in partition_cols]
 
 
-def write_counted(df: DataFrame, writer, name: str = "rows") -> int:
-    """Run ``writer(df_observed)`` and return how many rows it wrote (one pass)."""
-    obs = Observation(name)
-    writer(df.observe(obs, F.count(F.lit(1)).alias("n")))
-    return int(obs.get["n"])
+def land_raw(df: DataFrame, paths: LakePaths, run_date: str) -> Commit:
+    """Land raw bars in ``date_partition=<run_date>`` (that partition only is replaced)."""
+    return versions.write_one(df.select(*_data_cols(RAW_OHLCV, RUN_KEY)), paths.raw_ohlcv, RUN_KEY, run_date)
 
 
 def write_raw(df: DataFrame, paths: LakePaths, run_date: str) -> int:
-    """Land raw bars in ``date_partition=<run_date>`` (that partition only is replaced)."""
-    out = df.select(*_data_cols(RAW_OHLCV, "date_partition"))
-    target = paths.partition("raw_ohlcv", date_partition=run_date)
-    return write_counted(out, lambda d: d.write.mode("overwrite").parquet(target))
+    """``land_raw``, giving the rows only."""
+    return land_raw(df, paths, run_date).rows
 
 
-def write_raw_runs(df: DataFrame, paths: LakePaths) -> None:
+def write_raw_runs(df: DataFrame, paths: LakePaths) -> Commit:
     """Land several runs at once: each row in its own ``date_partition``; only those partitions are replaced."""
-    out = df.select(*[f.name for f in RAW_OHLCV.fields])
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_partition").parquet(paths.raw_ohlcv))
+    return versions.write_partitions(df.select(*RAW_OHLCV.fieldNames()), paths.raw_ohlcv, RUN_KEY)
 
 
 def landed_runs(spark: SparkSession, paths: LakePaths) -> list[str]:
     """The run dates that the raw zone holds, oldest first."""
-    days = spark.read.schema(RAW_OHLCV).parquet(paths.raw_ohlcv).select("date_partition").distinct()
-    return sorted(r[0] for r in days.collect())
+    return sorted(versions.live(spark, paths.raw_ohlcv, RUN_KEY))
 
 
 def read_raw(spark: SparkSession, paths: LakePaths, run_date: str | None = None) -> DataFrame:
     """The raw zone, pruned to one run date when given (PartitionFilters)."""
-    df = spark.read.schema(RAW_OHLCV).parquet(paths.raw_ohlcv)
-    return select_run(df, run_date)
+    return select_run(versions.read(spark, paths.raw_ohlcv, RAW_OHLCV, RUN_KEY), run_date)
 
 
 def select_run(df: DataFrame, run_date) -> DataFrame:
@@ -64,15 +60,18 @@ def select_run(df: DataFrame, run_date) -> DataFrame:
     return df.filter(F.col("date_partition") == run_date)
 
 
+def land_staging(df: DataFrame, paths: LakePaths, run_date: str) -> Commit:
+    """Replace one staging partition and report its rows."""
+    return versions.write_one(df.select(*_data_cols(STAGING_OHLCV, RUN_KEY)), paths.staging_ohlcv, RUN_KEY, run_date)
+
+
 def write_staging(df: DataFrame, paths: LakePaths, run_date: str) -> int:
-    """Overwrite one staging partition and report its row count."""
-    out = df.select(*_data_cols(STAGING_OHLCV, "date_partition"))
-    target = paths.partition("staging_ohlcv", date_partition=run_date)
-    return write_counted(out, lambda d: d.write.mode("overwrite").parquet(target))
+    """``land_staging``, giving the rows only."""
+    return land_staging(df, paths, run_date).rows
 
 
 def read_staging(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return spark.read.schema(STAGING_OHLCV).parquet(paths.staging_ohlcv)
+    return versions.read(spark, paths.staging_ohlcv, STAGING_OHLCV, RUN_KEY)
 
 
 def latest_per_bar(staging: DataFrame) -> DataFrame:
@@ -98,22 +97,26 @@ def read_staging_history(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return latest_per_bar(read_staging(spark, paths))
 
 
-def write_curated(df: DataFrame, paths: LakePaths, dynamic: bool = False) -> int:
+def land_curated(df: DataFrame, paths: LakePaths, dynamic: bool = False) -> Commit:
     """Curated bars partitioned by symbol.
 
     Static overwrite (default) replaces the whole table, so symbols absent from
     ``df`` disappear, as in the source pipeline; ``dynamic=True`` replaces only
     the symbols present.
     """
-    out = df.select(*[f.name for f in CURATED_OHLCV.fields])
-    mode = "dynamic" if dynamic else "static"
+    return versions.write_partitions(df.select(*CURATED_OHLCV.fieldNames()), paths.curated_ohlcv, SYMBOL_KEY, full=not dynamic)
 
-    def _w(d: DataFrame):
-        (d.write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy("symbol").parquet(paths.curated_ohlcv))
 
-    return write_counted(out, _w)
+def write_curated(df: DataFrame, paths: LakePaths, dynamic: bool = False) -> int:
+    """``land_curated``, giving the rows only."""
+    return land_curated(df, paths, dynamic).rows
 
 
 def read_curated(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return spark.read.schema(CURATED_OHLCV).parquet(paths.curated_ohlcv)
+    return versions.read(spark, paths.curated_ohlcv, CURATED_OHLCV, SYMBOL_KEY)
+
+
+def sweep(spark: SparkSession, paths: LakePaths, keep: int = 1) -> list[str]:
+    """Delete what newer writes have replaced in the three zones, but for the last ``keep`` versions of each."""
+    zones = ((paths.raw_ohlcv, RUN_KEY), (paths.staging_ohlcv, RUN_KEY), (paths.curated_ohlcv, SYMBOL_KEY))
+    return [path for zone, key in zones for path in versions.sweep(spark, zone, key, keep)]
