@@ -13,10 +13,10 @@ MACD signal); all frames share one PARTITION BY / ORDER BY, so Catalyst plans a
 single Exchange + Sort with three Window nodes on top.
 
 Hot keys. A window is evaluated per partition key, so one symbol holding a
-third of all rows would be one task. ``split_rows`` turns on the split plan:
-each series is cut into chunks of ``split_rows`` consecutive rows and every
-chunk is given a halo of the ``LOOKBACK`` rows before it, so chunks are
-independent tasks and the halo rows are dropped afterwards. Row positions come
+third of all rows would be one task. ``split_rows`` turns on the split plan (``ranged_series``): rows are
+range-partitioned by (symbol, date), every range is given a halo of the ``LOOKBACK`` rows before it, so ranges are
+independent tasks and the halo rows are dropped afterwards. ``split_series`` does the same in chunks of exactly equal
+size, for a part of the series (``hot_rows``) and without writing anything in between; row positions then come
 from counts per (symbol, quantile bucket), never from a window over a whole symbol.
 """
 
@@ -25,10 +25,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampNTZType, TimestampType
 
+from quantlake.session import scratch_path
 
 # ---- fixed values: the indicator bundle of the source pipeline -----------
 SMA_PERIODS = (20, 50)
@@ -48,18 +49,19 @@ LOOKBACK = max(
 )
 
 Keys = Sequence[str]
+Order = str | Sequence[str]
 
 
-def trailing_window(period: int, partition_cols: Keys = ("symbol",), order_col: str = "date"):
-    """The current row and the ``period - 1`` rows before it."""
-    return Window.partitionBy(*partition_cols).orderBy(order_col).rowsBetween(-(period - 1), 0)
+def _ordered(partition_cols: Keys, order_col: Order):
+    return Window.partitionBy(*partition_cols).orderBy(*([order_col] if isinstance(order_col, str) else order_col))
 
 
-def _ordered(partition_cols: Keys, order_col: str):
-    return Window.partitionBy(*partition_cols).orderBy(order_col)
+def trailing_window(period: int, partition_cols: Keys = ("symbol",), order_col: Order = "date"):
+    """The current row and the ``period - 1`` rows before it."""
+    return _ordered(partition_cols, order_col).rowsBetween(-(period - 1), 0)
 
 
-def _mean(col: str | Column, period: int, keys: Keys, order: str) -> Column:
+def _mean(col: str | Column, period: int, keys: Keys, order: Order) -> Column:
     return F.avg(col).over(trailing_window(period, keys, order))
 
 
@@ -147,7 +149,7 @@ def last_bars(df: DataFrame, rows: int, partition_cols: Keys = ("symbol",), orde
     return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rows).drop("_rank")
 
 
-def _bundle(df: DataFrame, keys: Keys, order: str, price_col: str = "close") -> DataFrame:
+def _bundle(df: DataFrame, keys: Keys, order: Order, price_col: str = "close") -> DataFrame:
     """W09 in three projections; adds the ten curated indicator columns."""
     base = df.columns
     w_lag = _ordered(keys, order)
@@ -198,19 +200,21 @@ def add_all_indicators(
     order_col: str = "date",
     split_rows: int | None = None,
     hot_rows: int | None = None,
+    tie_cols: Keys = (),
 ) -> DataFrame:
     """The fixed bundle (SMA 20/50, EMA 20, RSI 14, MACD 12-26-9, Bollinger 20x2).
 
-    ``split_rows`` (optional) splits every series into chunks of that many rows
+    ``split_rows`` (optional) splits the rows into ranges of about that many, each
     with a LOOKBACK-row halo, so a hot symbol spreads over many tasks. With
-    ``hot_rows`` only the series longer than that take the split plan and the
-    rest the plain one. All plans return the same rows, NULL keys and NULL
-    order values included.
+    ``hot_rows`` only the series longer than that are split (into chunks of that many rows) and the
+    rest take the plain plan. All plans return the same rows, NULL keys and NULL
+    order values included. Bars are unique by key and ``order_col``; where rows are not, ``tie_cols`` order them
+    (else their order is the engine's choice).
     """
     if split_rows is None:
-        return _bundle(df, tuple(partition_cols), order_col)
+        return _bundle(df, tuple(partition_cols), [order_col, *tie_cols])
     if hot_rows is None:
-        return split_series(df, _bundle, LOOKBACK, split_rows, partition_cols, order_col)
+        return ranged_series(df, _bundle, LOOKBACK, split_rows, partition_cols, [order_col, *tie_cols])
     # hybrid: the long series are found by a map-side combined count; how to join with them is left to Spark
     keys = list(partition_cols)
     hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
@@ -226,6 +230,59 @@ def _null_safe(left: DataFrame, left_cols: Keys, right: DataFrame, right_cols: K
     return functools.reduce(lambda x, y: x & y, pairs)
 
 
+def ranged_series(df: DataFrame, fn, lookback: int, range_rows: int, partition_cols: Keys = ("symbol",), order_col: Order = "date") -> DataFrame:
+    """Evaluate a trailing-window function ``fn(df, keys, order)`` over ranges of about ``range_rows`` rows.
+
+    1. the rows are range-partitioned by (key, order), sorted in each range and written once with their place in it: however
+       long one series is, its rows spread evenly (this is the plan's range shuffle);
+    2. one aggregate gives every range's size, first and last key; from this the driver (one row a range) decides which last rows of
+       which ranges precede which range: of the range before, and of earlier ones where those hold fewer than ``lookback``;
+    3. these rows are handed on as halo, and ``fn`` runs over (key, range) in the order of places (one hash shuffle); halo copies are dropped.
+    Remaining columns decide ties of ``order_col``. NULL keys and order values are values like others, first in order.
+    """
+    if range_rows <= lookback:
+        raise ValueError("range_rows must exceed the lookback")
+    spark, keys, cols = df.sparkSession, list(partition_cols), df.columns
+    given = [*keys, *([order_col] if isinstance(order_col, str) else order_col)]
+    ties = [f.name for f in df.schema.fields if f.name not in given and f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    total = [F.col(f"`{c}`") for c in given + ties]
+    seen, path = Observation("series"), scratch_path(spark, "series")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/rows")
+    ranges = max(1, -(-seen.get["n"] // range_rows))
+    rows = spark.read.schema(df.schema).parquet(f"{path}/rows").repartitionByRange(ranges, *total).sortWithinPartitions(*total)
+    rows.withColumn("_at", F.monotonically_increasing_id()).write.parquet(f"{path}/ranged")
+    ranged = spark.read.schema(StructType([*df.schema.fields, StructField("_at", LongType())])).parquet(f"{path}/ranged")
+    ranged = ranged.withColumns({"_range": F.shiftright("_at", RANGE_BITS), "_place": F.col("_at").bitwiseAND(F.lit((1 << RANGE_BITS) - 1))})
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    known = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.min_by(key, "_at").alias("first"), F.max_by(key, "_at").alias("last"))
+    lent = spark.createDataFrame(_lent_rows(sorted(known.collect()), lookback), "_from long, _least long, _to long")
+    # at most ``lookback`` entries a range are broadcast
+    halo = ranged.join(F.broadcast(lent), (F.col("_range") == F.col("_from")) & (F.col("_place") >= F.col("_least")))
+    halo = halo.select(*cols, "_at", F.col("_to").alias("_range"), F.lit(True).alias("_halo"))
+    every = ranged.select(*cols, "_at", "_range", F.lit(False).alias("_halo")).unionByName(halo)
+    out = fn(every, (*keys, "_range"), "_at")
+    extra = [c for c in out.columns if c not in cols and not c.startswith("_")]
+    return out.filter(~F.col("_halo")).select(*cols, *extra)
+
+
+def _lent_rows(ranges: list, lookback: int) -> list[tuple[int, int, int]]:
+    """(from, least place, to): the rows before each range that its first series looks back on."""
+    out = []
+    for i, r in enumerate(ranges):
+        need, j = lookback, i - 1
+        while need > 0 and j >= 0 and ranges[j]["last"] == r["first"]:
+            take = min(need, ranges[j]["n"])
+            out.append((ranges[j]["_range"], ranges[j]["n"] - take, r["_range"]))
+            need -= take
+            if ranges[j]["first"] != r["first"]:
+                break
+            j -= 1
+    return out
+
+
+# monotonically_increasing_id() puts the range above this many bits and the row's place in it below
+RANGE_BITS = 33
+
 # a series is counted in this many buckets of about equal size
 SPLIT_BUCKETS = 64
 

@@ -261,3 +261,52 @@ def test_split_spreads_one_intraday_series(spark):
     rank = I._as_number(b, "date")
     cuts = b.groupBy("symbol").agg(F.percentile_approx(rank, [i / I.SPLIT_BUCKETS for i in range(1, I.SPLIT_BUCKETS)], 4096).alias("c")).first()["c"]
     assert len(set(cuts)) == I.SPLIT_BUCKETS - 1
+
+
+COLS = ("sma_20", "sma_50", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist", "bb_upper", "bb_mid", "bb_lower")
+
+
+def test_ranges_hand_rows_on_over_several_short_ranges():
+    from quantlake.operators.indicators import _lent_rows
+
+    r = lambda i, n, a, b: {"_range": i, "n": n, "first": a, "last": b}
+    ranges = [r(0, 100, "a", "b"), r(2, 20, "b", "b"), r(3, 5, "b", "b"), r(4, 60, "b", "c"), r(5, 9, "d", "d"), r(7, 1, "d", "d")]
+    assert _lent_rows(ranges, 49) == [(0, 51, 2), (2, 0, 3), (0, 71, 3), (3, 0, 4), (2, 0, 4), (0, 76, 4), (5, 0, 7)]
+
+
+def test_range_plan_shuffles_once_after_the_ranges_are_written(spark):
+    out = add_all_indicators(random_walk(spark, 3, 300), split_rows=64)
+    plan = plan_text(out)
+    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan and plan.count("Window [") == 3
+    assert sum(plan.count(x) for x in ("Exchange hashpartitioning", "Exchange rangepartitioning", "BroadcastExchange")) <= 3
+
+
+def test_range_plan_equals_plain_with_ties_and_nulls(spark):
+    rnd = random.Random(12)
+    rows = [(None if rnd.random() < 0.05 else dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randrange(90)), rnd.choice(["A", "A", "A", "B", None]),
+             None if rnd.random() < 0.05 else round(rnd.uniform(1, 99), 2), i) for i in range(900)]
+    rows += [(dt.date(2024, 1, 9), "A", 5.0, -1)] * 200          # a long run of equal rows
+    b = spark.createDataFrame(rows, "date date, symbol string, close double, i int").repartition(6)
+    plain = add_all_indicators(b, tie_cols=("close", "i"))
+    for n in (LOOKBACK + 1, 130, 5000):
+        split = add_all_indicators(b, split_rows=n, tie_cols=("close", "i"))
+        key = lambda r: tuple((v is not None, v) if not isinstance(v, float) else (True, round(v, 9)) for v in r)
+        assert sorted(map(key, split.collect()), key=str) == sorted(map(key, plain.collect()), key=str)
+    assert add_all_indicators(b.limit(0), split_rows=64).count() == 0
+
+
+def test_range_plan_spreads_a_million_rows_of_one_symbol(spark):
+    from quantlake.operators import indicators as I
+
+    b = spark.range(1_000_000).select(
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("date"), F.lit("HOT").alias("symbol"), (F.col("id") % 97 + 1.0).alias("close"))
+    seen = {}
+
+    def probe(df, keys, order):
+        seen["ranges"] = [r["count"] for r in df.groupBy(*keys).count().collect()]
+        return df.withColumn("lagged", F.sum("close").over(I.trailing_window(50, keys, order)))
+
+    out = I.ranged_series(b, probe, LOOKBACK, 20_000)
+    assert out.agg(F.count("*"), F.sum("lagged")).first() == b.withColumn(
+        "lagged", F.sum("close").over(I.trailing_window(50, ("symbol",), "date"))).agg(F.count("*"), F.sum("lagged")).first()
+    assert len(seen["ranges"]) == 50 and max(seen["ranges"]) < 2 * 20_000
