@@ -1,14 +1,14 @@
 """Job entry points.
 
     python -m quantlake ingest --root ROOT --wide PATH [--universe FILE] [--run-date YYYY-MM-DD]
-    python -m quantlake batch  --root ROOT [--run-date YYYY-MM-DD] [--dynamic-curated] [--database DB] [--allow-empty]
+    python -m quantlake batch  --root ROOT [--run-date YYYY-MM-DD] [--dynamic-curated | --incremental] [--database DB] [--allow-empty]
     python -m quantlake refresh --root ROOT --database DB [--ticks]
     python -m quantlake stream --root ROOT (--kafka BROKERS [--prefix P] | --files DIR)
                                [--trigger "30 seconds"] [--available-now] [--files-per-folder K] [--rejects]
 
 ``ingest`` reshapes a wide vendor history (Parquet) of the tracked universe and lands it as one run;
 ``refresh`` registers new partitions and replaces the views. ``batch`` runs one daily batch (raw run partition -> staging -> curated) for a
-run date (default: today, as the source job). ``stream`` decodes tick records
+run date (default: today, as the source job); with ``--incremental`` only the bars that the run changes are computed. ``stream`` decodes tick records
 from Kafka (connector JAR on the classpath) or from a folder of JSON lines and
 lands them in ``ROOT/raw/ticks`` with a checkpoint under ``ROOT/checkpoints``.
 The master and cluster settings come from ``spark-submit``.
@@ -24,6 +24,7 @@ from pyspark.sql import SparkSession
 
 from quantlake.paths import LakePaths
 from quantlake.plans.batch import refresh_catalog, run_batch, run_ingest
+from quantlake.plans.incremental import run_incremental
 from quantlake.session import DEFAULT_CONF, ensure_checkpoint_dir
 from quantlake.sources.kafka import DEFAULT_PREFIX, read_tick_stream
 from quantlake.sources.universe import read_universe
@@ -45,7 +46,9 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("batch")
     b.add_argument("--root", required=True)
     b.add_argument("--run-date", default=None)
-    b.add_argument("--dynamic-curated", action="store_true")
+    how = b.add_mutually_exclusive_group()
+    how.add_argument("--dynamic-curated", action="store_true")
+    how.add_argument("--incremental", action="store_true")
     b.add_argument("--database", default=None)
     b.add_argument("--allow-empty", action="store_true")
     i = sub.add_parser("ingest")
@@ -73,6 +76,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "batch":
         spark = _session("quantlake-batch")
         run_date = args.run_date or dt.date.today().isoformat()
+        if args.incremental:
+            print(json.dumps(run_incremental(spark, paths, run_date, allow_empty=args.allow_empty, database=args.database).__dict__))
+            return 0
         res = run_batch(spark, paths, run_date, dynamic_curated=args.dynamic_curated, allow_empty=args.allow_empty,
                         database=args.database)
         print(json.dumps(res.__dict__))

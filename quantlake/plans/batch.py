@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from quantlake.operators.cleaning import clean, ingested_at_as_text
 from quantlake.operators.indicators import add_all_indicators
 from quantlake.paths import LakePaths
-from quantlake.sources import catalog
+from quantlake.sources import catalog, versions
 from quantlake.sources.lake import (
     history_by_symbol,
     land_curated,
@@ -88,6 +88,7 @@ def run_batch(
     staged = land_staging(clean(raw, ingested_at), paths, run)
     history = history_by_symbol(read_staging(spark, paths))
     enriched = add_all_indicators(history, split_rows=split_rows)
+    versions.delete(spark, paths.tail_ohlcv)  # an incremental run that follows starts anew
     curated = land_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
     if database:
         publish_run(spark, paths, database, staged, curated, whole=not dynamic_curated)
@@ -100,7 +101,10 @@ def publish_run(spark: SparkSession, paths: LakePaths, database: str, staged: Co
     catalog.create_database(spark, database, use=False)
     catalog.publish(spark, catalog.create_staging_table(spark, paths, database), staged.partitions)
     table = catalog.create_curated_table(spark, paths, database)
-    catalog.publish(spark, table, curated.partitions, whole=whole)
+    if catalog.partitions(spark, table).isEmpty():
+        catalog.repair(spark, table)
+    else:
+        catalog.publish(spark, table, curated.partitions, whole=whole)
     catalog.create_views(spark, database)
 
 
