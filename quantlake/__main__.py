@@ -5,12 +5,14 @@
     python -m quantlake refresh --root ROOT --database DB [--ticks]
     python -m quantlake stream --root ROOT (--kafka BROKERS [--prefix P] | --files DIR)
                                [--trigger "30 seconds"] [--available-now] [--files-per-folder K] [--rejects]
+                               [--dedup-within "1 hour"] [--latest]
 
 ``ingest`` reshapes a wide vendor history (Parquet) of the tracked universe and lands it as one run;
 ``refresh`` registers new partitions and replaces the views. ``batch`` runs one daily batch (raw run partition -> staging -> curated) for a
 run date (default: today, as the source job); with ``--incremental`` only the bars that the run changes are computed. ``stream`` decodes tick records
 from Kafka (connector JAR on the classpath) or from a folder of JSON lines and
-lands them in ``ROOT/raw/ticks`` with a checkpoint under ``ROOT/checkpoints``.
+lands them in ``ROOT/raw/ticks`` with a checkpoint under ``ROOT/checkpoints``; ``--latest`` also keeps each symbol's
+newest tick in ``ROOT/state/latest_ticks``.
 The master and cluster settings come from ``spark-submit``.
 """
 
@@ -28,6 +30,7 @@ from quantlake.plans.incremental import run_incremental
 from quantlake.session import DEFAULT_CONF, ensure_checkpoint_dir
 from quantlake.sources.kafka import DEFAULT_PREFIX, read_tick_stream
 from quantlake.sources.universe import read_universe
+from quantlake.streaming.latest import start_latest_ticks
 from quantlake.streaming.ticks import decode_ticks, start_reject_sink, start_tick_sink
 
 
@@ -70,6 +73,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--files-per-folder", type=int, default=None)
     s.add_argument("--rejects", action="store_true")
+    s.add_argument("--dedup-within", default=None)
+    s.add_argument("--latest", action="store_true")
     args = ap.parse_args(argv)
 
     paths = LakePaths(args.root)
@@ -102,7 +107,9 @@ def main(argv: list[str] | None = None) -> int:
         start_reject_sink(records, paths.rejected_ticks, paths.reject_checkpoint, trigger=args.trigger, available_now=args.available_now)
     q = start_tick_sink(decode_ticks(records, bad_records="quarantine" if args.rejects else "keep"), paths.raw_ticks, paths.tick_checkpoint,
                         trigger=args.trigger, available_now=args.available_now,
-                        files_per_folder=args.files_per_folder)
+                        files_per_folder=args.files_per_folder, dedup_within=args.dedup_within)
+    if args.latest:
+        start_latest_ticks(decode_ticks(records), paths.latest_ticks, paths.latest_checkpoint, trigger=args.trigger, available_now=args.available_now)
     q.awaitTermination()
     for other in spark.streams.active:
         other.awaitTermination()

@@ -6,6 +6,8 @@ flattened columns, then ``event_time`` and the ``date_partition`` day. It is
 stateless and narrow, so a micro-batch does not shuffle (unless the sink is
 asked to bound its file count, see ``start_tick_sink``).
 
+Repeated records can be dropped within a watermark (``once_within``); ``latest`` keeps the newest tick of each symbol.
+
 The sink is Spark's file sink: each micro-batch is committed in the
 checkpoint and in ``_spark_metadata``, so a restarted query neither loses nor
 repeats files, and readers of the folder see committed files only.
@@ -68,6 +70,18 @@ def start_reject_sink(records: DataFrame, path: str, checkpoint: str, trigger: s
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
 
 
+def once_within(ticks: DataFrame, delay: str) -> DataFrame:
+    """A stream's ticks without repeats: rows equal in every field are one record, however often it is delivered.
+
+    The state holds records until the watermark, ``delay`` behind the newest event time, has passed them; ticks older than
+    the watermark are late and are dropped, as nothing is known any more about whether they were landed. Rows
+    without a readable time can't be placed and are left out (``bad_tick_records`` has them).
+    """
+    fields = ["symbol", "timestamp", "price", "volume", "open", "high", "low", "prev_close"]
+    timed = ticks.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(fields)
+
+
 def landed_columns(ticks: DataFrame) -> DataFrame:
     """Order columns as the landed table (partition columns last)."""
     return ticks.select(*[f.name for f in RAW_TICKS.fields])
@@ -81,6 +95,7 @@ def start_tick_sink(
     available_now: bool = False,
     query_name: str | None = None,
     files_per_folder: int | None = None,
+    dedup_within: str | None = None,
 ) -> StreamingQuery:
     """Append ticks to Parquet partitioned by day and symbol.
 
@@ -92,8 +107,11 @@ def start_tick_sink(
     by the folder keys plus a deterministic salt (hash of the tick time mod k):
     at most k files per folder per batch, and a hot symbol still spreads over
     k tasks.
+
+    The feed delivers at least once. ``dedup_within`` (such as ``"1 hour"``) lands a record that is sent again within
+    that event time once, also across micro-batches and restarts (see ``once_within``).
     """
-    out = landed_columns(ticks)
+    out = landed_columns(ticks if dedup_within is None else once_within(ticks, dedup_within))
     if files_per_folder:
         salt = F.pmod(F.hash("event_time", "timestamp"), F.lit(files_per_folder))
         out = out.repartition("date_partition", "symbol", salt)

@@ -1,0 +1,90 @@
+"""Streams with state: the latest tick of each symbol, and records that are delivered again."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quantlake.plans import measures as M
+from quantlake.plans import views as V
+from quantlake.streaming.latest import merge_latest, read_latest_ticks, start_latest_ticks
+from quantlake.streaming.ticks import decode_ticks, read_landed_ticks, start_tick_sink
+
+
+def tick(symbol, minute, price, **over):
+    day, left = divmod(minute, 1440)
+    return json.dumps({"symbol": symbol, "timestamp": f"2024-01-{8 + day:02d}T{left // 60:02d}:{left % 60:02d}:00.000000+00:00", "price": price, "volume": 5,
+                       "open": None, "high": price + 1, "low": price - 1, "prev_close": 2.0, **over})
+
+
+def feed(spark, folder, batches):
+    for lines in batches:
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def run(spark, folder, start):
+    q = start(decode_ticks(spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(folder)))
+    q.awaitTermination()
+    assert q.exception() is None
+    return q
+
+
+def ordered(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_state_equals_batch_view_after_disorder_and_restart(spark, tmp_root):
+    rng = random.Random(3)
+    ticks = [tick(rng.choice("ABCD"), m + rng.randrange(-300, 300) + 600, round(rng.uniform(1, 9), 2)) for m in range(0, 4000, 9)]
+    ticks += [tick("A", 3000, p) for p in (5.0, 7.0, 6.0)] + ["{broken", tick("E", 2900, 1.0, timestamp="never")]   # ties, unreadable ones
+    batches = [ticks[i : i + 60] for i in range(0, len(ticks), 60)]
+    src, path, ckpt = f"{tmp_root}/src", f"{tmp_root}/latest", f"{tmp_root}/ckpt"
+    for part in (batches[:3], batches[3:5], batches[5:]):                  # three runs of one query
+        feed(spark, src, part)
+        run(spark, src, lambda t: start_latest_ticks(t, path, ckpt, late="1 day", available_now=True))
+    every = decode_ticks(spark.read.schema("value string").text(src))
+    state = read_latest_ticks(spark, path)
+    for day in ("2024-01-08", "2024-01-09", "2024-01-10", "2024-01-11"):
+        assert ordered(V.v_latest_ticks(state, as_of=day)) == ordered(V.v_latest_ticks(every, as_of=day))
+        live = [V.v_latest_ticks(t, as_of=day) for t in (state, every)]
+        assert ordered(M.live_kpis(live[0])) == ordered(M.live_kpis(live[1]))
+        assert ordered(M.live_table_totals(live[0])) == ordered(M.live_table_totals(live[1]))
+    n, days = state.count(), state.groupBy("date_partition", "symbol").count()
+    assert n == days.count() and n <= 16
+    rows = ordered(state)
+    merge_latest(decode_ticks(spark.createDataFrame([(x,) for x in batches[2]], "value string")).where("event_time is not null"), path)   # a batch again
+    assert ordered(read_latest_ticks(spark, path)) == rows
+
+
+def test_state_is_dropped_behind_the_watermark(spark, tmp_root):
+    src = f"{tmp_root}/src"
+    feed(spark, src, [[tick(s, day * 1440 + 60, 1.0) for s in "ABCDE"] for day in range(20)])
+    q = run(spark, src, lambda t: start_latest_ticks(t, f"{tmp_root}/latest", f"{tmp_root}/ckpt", late="1 day", available_now=True))
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 6 * 5 and read_latest_ticks(spark, f"{tmp_root}/latest").count() == 100    # of 20 days
+
+
+def test_replayed_records_land_once(spark, tmp_root):
+    src, sink, ckpt = f"{tmp_root}/src", f"{tmp_root}/sink", f"{tmp_root}/ckpt"
+    first = [tick(s, m, float(m)) for s in "AB" for m in range(0, 50, 5)]
+    start = lambda t: start_tick_sink(t, sink, ckpt, available_now=True, dedup_within="1 hour")
+    feed(spark, src, [first + first[:4], first[5:], first[:3] + [tick("A", 55, 1.0), tick("A", 55, 2.0), "{broken"]])
+    run(spark, src, start)
+    feed(spark, src, [first[::2] + [tick("B", 57, 1.0)] * 3])              # sent again after a restart
+    run(spark, src, start)
+    landed = read_landed_ticks(spark, sink)
+    assert landed.count() == 20 + 2 + 1 and landed.distinct().count() == 23
+    feed(spark, src, [[tick("A", 900, 1.0)], [tick("A", 905, 1.0)], first + [tick("C", 1, 9.0), tick("A", 910, 1.0)]])   # far behind the watermark: late
+    q = run(spark, src, start)
+    landed = read_landed_ticks(spark, sink)
+    assert landed.count() == 26 and landed.where("symbol = 'C'").count() == 0
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 4      # records behind the watermark are forgotten
+
+
+@pytest.mark.parametrize("within", [None, "1 hour"])
+def test_sink_without_the_option_keeps_every_delivery(spark, tmp_root, within):
+    src, sink = f"{tmp_root}/src", f"{tmp_root}/sink"
+    feed(spark, src, [[tick("A", 1, 1.0)], [tick("A", 1, 1.0)]])
+    run(spark, src, lambda t: start_tick_sink(t, sink, f"{tmp_root}/ckpt", available_now=True, dedup_within=within))
+    assert read_landed_ticks(spark, sink).agg(F.count("*")).first()[0] == (1 if within else 2)
