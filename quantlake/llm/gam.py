@@ -10,7 +10,7 @@ whose best two-by-two cut gains most on what is left are boosted in the same way
 coarser cells. A text is scored by looking up its bins and adding.
 
 Work: one pass measures every whole text (written as a few numbers a row); bin edges are quantiles of all rows; the
-boosting itself is numpy on the driver over the bins of at most MAX_FIT labelled rows, drawn by a hash of the id; scoring is one
+boosting itself is numpy on the driver over the bins of about MAX_FIT labelled rows at most, drawn by a hash; scoring is one
 vectorised pass over the stored measures. Character and word measures are taken in pieces of PIECE characters and averaged by
 their size, so a text of any length needs bounded memory and is measured whole.
 
@@ -271,10 +271,11 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", name: st
     """A model from ``labels`` (doc_id, ``label``) outside the held-out rows; bin edges from all of ``measured``."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_y"))
-    lot = F.xxhash64("_id", F.lit(12))
-    drawn = known.orderBy(lot, "_id").limit(MAX_FIT)
-    rows = measured.select(F.col(id_col).alias("_id"), F.col(name).alias("_x")).join(drawn, "_id")
-    rows = rows.orderBy(lot, "_id", "_x").limit(MAX_FIT).select("_x", "_y").collect()
+    rows = measured.select(F.col(id_col).alias("_id"), F.col(name).alias("_x")).join(known, "_id").groupBy("_id", "_x", "_y").count()
+    rows = stored(rows.select("_id", "_x", "_y"), "gam-labelled")  # a row that repeats counts once
+    share = min(1.0, MAX_FIT / max(1, rows.count()))
+    drawn = rows.where(F.pmod(F.xxhash64("_id", "_x", F.lit(12)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = sorted(drawn.select("_id", "_x", "_y").collect())
     if not rows:
         return Model()
     x, y = np.array([r["_x"] for r in rows], dtype=float), np.array([float(r["_y"] > 0) for r in rows])
