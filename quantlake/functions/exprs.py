@@ -94,10 +94,12 @@ def iso_timestamp(ts: Column | str) -> Column:
     """ISO-8601 text of an instant in UTC, with microseconds and the offset, as the tick feed sends."""
     ts = _c(ts).cast("timestamp")
     seconds = F.pmod(F.unix_seconds(ts), F.lit(86400))
-    return F.format_string(
-        "%sT%02d:%02d:%02d.%06d+00:00", utc_day(ts).cast("string"), F.floor(seconds / 3600), F.floor(F.pmod(seconds, F.lit(3600)) / 60),
-        F.pmod(seconds, F.lit(60)), F.pmod(F.unix_micros(ts), F.lit(1000000)),
-    )
+    # one number whose digits, behind a leading 1, are hhmmss
+    clock = (F.lit(1000000) + F.floor(seconds / 3600) * 10000 + F.floor(F.pmod(seconds, F.lit(3600)) / 60) * 100 + F.pmod(seconds, F.lit(60))).cast("string")
+    micros = (F.lit(1000000) + F.pmod(F.unix_micros(ts), F.lit(1000000))).cast("string")
+    return F.concat(
+        utc_day(ts).cast("string"), F.lit("T"), F.substring(clock, 2, 2), F.lit(":"), F.substring(clock, 4, 2), F.lit(":"), F.substring(clock, 6, 2),
+        F.lit("."), F.substring(micros, 2, 6), F.lit("+00:00"))
 
 
 def topic_for(symbol: Column | str, prefix: str) -> Column:

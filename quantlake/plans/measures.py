@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.functions.exprs import LIVE, CLOSED, RSI_CARD_LABELS, rsi_label
+from quantlake.operators.ranking import with_place
 from quantlake.plans.views import presentation
 
 TOTAL_LABEL = "Total"
@@ -156,6 +157,23 @@ def rsi_screen(signals: DataFrame) -> DataFrame:
     )
 
 
+#: The orders of the dashboard's listings
+LISTINGS = {
+    "volume": ("total_volume", "desc"),
+    "losers": ("daily_change_pct", "asc"),
+    "movers": ("daily_change_pct", "desc"),
+    "widest": ("band_width", "desc"),
+    "narrowest": ("band_width", "asc"),
+    "symbols": ("symbol", "asc"),
+}
+
+
+def placed(listing: DataFrame, order: str) -> DataFrame:
+    """A listing with each row's place in one of LISTINGS, ties by symbol; ranked in ranges, not in one task."""
+    column, way = LISTINGS[order]
+    return with_place(listing, [F.desc(column) if way == "desc" else F.asc(column), "symbol"])
+
+
 def band_width_rank(squeeze: DataFrame) -> DataFrame:
     """Widest bands first."""
     return presentation(squeeze.select("symbol", "close", "band_width"), F.desc("band_width"), "symbol")

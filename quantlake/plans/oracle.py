@@ -218,6 +218,25 @@ _RAW_COLS = "date, symbol, open, high, low, close, volume"
 LAKE = D_CTES + (("cl", _CLEANED), ("cn", _NEWEST.format(src="cl"))) + IND_CTES("cn")
 
 
+# three overlapping runs of E, the last with late corrections of one symbol; the newest run of a bar counts
+RUNS = (
+    ("e", E()),
+    ("eo", "SELECT *, date_diff('day', DATE '2024-01-01', date) AS off FROM e"),
+    ("er", """SELECT *, '2024-03-01' AS date_partition FROM eo WHERE off <= 17
+UNION ALL SELECT *, '2024-03-02' FROM eo WHERE off BETWEEN 15 AND 23
+UNION ALL SELECT * REPLACE (CASE WHEN off < 3 THEN close * 2 ELSE close END AS close), '2024-03-03' FROM eo
+  WHERE off > 20 OR (off < 3 AND symbol = 'click')"""),
+    ("d", "SELECT * EXCLUDE (off) FROM er"),
+    ("cl", _CLEANED),
+    ("cn", _NEWEST.format(src="cl")),
+    # what the last run does to each symbol: bars of it that differ from those before, and where they lie
+    ("bf", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY date_partition DESC) AS rn FROM cl "
+           "WHERE date_partition < '2024-03-03') WHERE rn = 1"),
+    ("df", """SELECT n.symbol, n.date FROM cl n LEFT JOIN bf o ON o.symbol = n.symbol AND o.date = n.date WHERE n.date_partition = '2024-03-03'
+  AND row(n.open, n.high, n.low, n.close, n.volume) IS DISTINCT FROM row(o.open, o.high, o.low, o.close, o.volume)"""),
+    ("kinds", "SELECT symbol, coalesce(min(date) <= (SELECT max(date) FROM bf WHERE bf.symbol = df.symbol), true) AS anew FROM df GROUP BY symbol"),
+) + IND_CTES("cn")
+
 ORACLE_SQL: dict[str, str] = {
     # sources
     "raw_partition_scan": _with(
@@ -415,6 +434,40 @@ FROM v06 GROUP BY ROLLUP (symbol)""",
     "movers_ranked": _with(
         *DAILY, body="SELECT symbol, open, close, daily_change_pct, volume, "
                      "CAST(row_number() OVER (ORDER BY daily_change_pct DESC NULLS LAST, symbol) AS INTEGER) AS place FROM sl"),
+    "losers_ranked": _with(
+        *DAILY, body="SELECT symbol, daily_change_pct, CASE WHEN daily_change_pct < 0 THEN 'loss' ELSE 'gain' END AS direction, "
+                     "CAST(row_number() OVER (ORDER BY daily_change_pct ASC NULLS FIRST, symbol) AS INTEGER) AS place FROM sl"),
+    "volume_ranked": _with(
+        *DAILY, body="SELECT symbol, total_volume, CAST(row_number() OVER (ORDER BY total_volume DESC NULLS LAST, symbol) AS INTEGER) AS place "
+                     "FROM (SELECT symbol, CAST(sum(volume) AS BIGINT) AS total_volume FROM sl GROUP BY symbol)"),
+    "widest_ranked": _with(
+        *TI, ("v05", V05),
+        body="SELECT symbol, close, band_width, CAST(row_number() OVER (ORDER BY band_width DESC NULLS LAST, symbol) AS INTEGER) AS place "
+             "FROM v05 WHERE trade_date = (SELECT CAST(max(date) AS VARCHAR) FROM i_ind)"),
+    "narrowest_ranked": _with(
+        *TI, ("v05", V05),
+        body="SELECT symbol, trade_date, band_width, "
+             "CAST(row_number() OVER (ORDER BY band_width ASC NULLS FIRST, symbol, trade_date) AS INTEGER) AS place FROM v05"),
+    "live_ranked": _with(*LATEST, body="SELECT *, CAST(row_number() OVER (ORDER BY symbol) AS INTEGER) AS place FROM v06"),
+    "ticks_ordered": _with(
+        *K_CTES, body="SELECT symbol, timestamp AS tick_time, price, "
+                      "row_number() OVER (ORDER BY symbol, timestamp, price NULLS FIRST) AS place FROM k"),
+    "latest_day_bars": _with(("e", E()), *IND_CTES("e"), body=_ind_select("i_ind") + " WHERE date = (SELECT max(date) FROM i_ind)"),
+    "lake_incremental": _with(*RUNS, body=_ind_select("i_ind", ", ingested_at, "
+        "(SELECT count(*) FROM kinds WHERE NOT anew) AS appended, (SELECT count(*) FROM kinds WHERE anew) AS replaced")),
+    "partition_statistics": _with(
+        ("e", E()), body="SELECT symbol, count(*) AS n_rows, count(*) AS analyzed_rows FROM e "
+                         "WHERE symbol <> 'click' OR day(date) > 3 GROUP BY symbol"),
+    "stream_latest_ticks": _with(
+        *K_CTES, body=f"""SELECT {_TICK_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, date_partition ORDER BY event_time DESC, timestamp DESC, price DESC) AS rn FROM k) WHERE rn = 1"""),
+    "stream_live_kpis": _with(
+        *LATEST,
+        body=f"""SELECT {ST('avg(change_pct)')} AS avg_change_pct, {ST('sum(price)')} AS total_price,
+       CAST(sum(volume) AS BIGINT) AS total_volume,
+       CASE WHEN bool_or(market_status = 'LIVE') THEN 'LIVE' ELSE 'CLOSED' END AS market_status
+FROM v06"""),
+    "stream_dedup_sink": _with(*K_CTES, body=f"SELECT DISTINCT {_TICK_COLS} FROM k"),
     "symbol_slice": _with(
         ("t", T), body=f"SELECT symbol, CAST(date AS VARCHAR) AS trade_date, open, high, low, close, volume, {_chg('close', 'open')} AS daily_change_pct "
                        "FROM t WHERE symbol IN ('Brand#11', 'Brand#23', 'Brand#55')"),

@@ -16,7 +16,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -33,10 +33,12 @@ from quantlake.operators.indicators import (
     LOOKBACK,
     last_bars,
 )
+from quantlake.operators.ranking import with_place
 from quantlake.paths import LakePaths
 from quantlake.plans import measures as M
 from quantlake.plans import views as V
 from quantlake.plans.batch import run_batch
+from quantlake.plans.incremental import run_incremental
 from quantlake.schemas import INDICATOR_COLS, OHLCV_COLS
 from quantlake.session import scratch_path
 from quantlake.sources import catalog as CAT
@@ -53,6 +55,7 @@ from quantlake.sources.testdata import (
 )
 from quantlake.sources.universe import in_universe, universe_frame
 from quantlake.sources.wide import normalize_wide
+from quantlake.streaming.latest import read_latest_ticks, start_latest_ticks
 from quantlake.streaming.ticks import decode_ticks, landed_columns, read_landed_ticks, start_tick_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +67,8 @@ TOP_N = 5
 OTHER_ZONE = "Asia/Karachi"                                        # UTC+5 all year
 SLICED_SYMBOLS = ["Brand#11", "Brand#23", "Brand#55"]
 SPLIT_TEST_ROWS = 64                                               # forces many chunks at test scale
+RUNS_FROM, CORRECTED_DAYS, CORRECTED_SYMBOL = "2024-01-01", 3, "click"   # the incremental lake's runs
+FEED_PARTS, FEED_DAYS = 3, 10                                      # source files of the restarted streams
 VIEW_CHECK = {"v_daily_summary": "volume", "v_weekly_rollup": "week_volume", "v_top_movers": "change_pct", "v_rsi_signals": "close",
               "v_bollinger_squeeze": "close", "v_latest_ticks": "price", "v_tick_history": "price"}  # column summed per view
 # ---------------------------------------------------------------------------
@@ -457,12 +462,130 @@ def q_ingestion_stamp(spark, sf):
     return stamped.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(age.between(0, 3600)).alias("stamped_now"))
 
 
+def _placed(listing: DataFrame, order: str) -> DataFrame:
+    return M.placed(listing, order).withColumn("place", F.col("place").cast("int"))
+
+
 def q_movers_ranked(spark, sf):
     """The summary grid in presentation order, made visible by each row's place."""
-    order = [F.desc("daily_change_pct"), F.col("symbol")]
-    grid = M.market_summary(_moves_latest(spark, sf))
-    # one row per symbol of one day: a page, not the table
-    return grid.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+    return _placed(M.market_summary(_moves_latest(spark, sf)), "movers")
+
+
+def q_losers_ranked(spark, sf):
+    """Smallest change first."""
+    return _placed(M.change_ranking(_moves_latest(spark, sf)), "losers")
+
+
+def q_volume_ranked(spark, sf):
+    """Largest volume first."""
+    return _placed(M.volume_by_symbol(_moves_latest(spark, sf)), "volume")
+
+
+def q_widest_ranked(spark, sf):
+    """Widest bands first."""
+    return _placed(q_band_width_rank(spark, sf), "widest")
+
+
+def q_narrowest_ranked(spark, sf):
+    """The squeeze, narrowest bands first, over every symbol and day."""
+    return _placed(V.v_bollinger_squeeze(_curated_t(spark, sf)).select("symbol", "trade_date", "band_width"), "narrowest")
+
+
+def q_live_ranked(spark, sf):
+    """The live table by symbol."""
+    return _placed(_latest_k(spark, sf), "symbols")
+
+
+def q_ticks_ordered(spark, sf):
+    """All ticks by symbol and time, each with its place."""
+    return with_place(_ticks_k(spark, sf).select("symbol", F.col("timestamp").alias("tick_time"), "price"), ["symbol", "tick_time"])
+
+
+def q_latest_day_bars(spark, sf):
+    """Curated bars landed, the last day found in the footers and read back."""
+    paths = LakePaths(scratch_path(spark, "days"))
+    lake.write_curated(add_all_indicators(events_bars(spark, sf)).withColumn("ingested_at", F.lit(FIXED_INGESTED_AT)), paths)
+    return publish(lake.read_latest_day(spark, paths).select(*OHLCV_COLS, *INDICATOR_COLS))
+
+
+def _in_runs(bars: DataFrame) -> DataFrame:
+    """E as three overlapping runs: each has the days behind the one before, some days again, and the last one late corrections."""
+    off = F.datediff("date", F.lit(RUNS_FROM).cast("date"))
+    late = (off < CORRECTED_DAYS) & (F.col("symbol") == CORRECTED_SYMBOL)
+    runs = [(F.lit("2024-03-01"), off <= 17), (F.lit("2024-03-02"), off.between(15, 23)), (F.lit("2024-03-03"), (off > 20) | late)]
+    landed = [bars.where(when).withColumn("date_partition", run) for run, when in runs]
+    landed[2] = landed[2].withColumn("close", F.when(off < CORRECTED_DAYS, F.col("close") * 2).otherwise(F.col("close")))
+    return functools.reduce(DataFrame.unionByName, landed)
+
+
+def q_lake_incremental(spark, sf):
+    """Three runs through the incremental job: first bars, appended days, appended days with late corrections."""
+    paths = LakePaths(scratch_path(spark, "lake"))
+    lake.write_raw_runs(_in_runs(events_bars(spark, sf)), paths)
+    for run in lake.landed_runs(spark, paths):
+        done = run_incremental(spark, paths, run, ingested_at=FIXED_INGESTED_AT)
+    work = [F.lit(v).cast("long").alias(n) for n, v in (("appended", done.appended), ("replaced", done.replaced))]  # by the last run
+    return publish(lake.read_curated(spark, paths).select(*OHLCV_COLS, *INDICATOR_COLS, "ingested_at", *work))
+
+
+def q_partition_statistics(spark, sf):
+    """Each symbol's rows as ANALYZE recorded them per partition, after two runs' partitions were registered
+    from the writes' own reports: the second run replaces one symbol, and that partition only is analyzed again."""
+    root = scratch_path(spark, "stats")
+    paths, db = LakePaths(root), "ql_" + root.rsplit("/", 1)[-1][:12]
+    curated = add_all_indicators(events_bars(spark, sf)).withColumn("ingested_at", F.lit(FIXED_INGESTED_AT))
+    CAT.create_database(spark, db, location=f"{root}/warehouse", use=False)
+    name = CAT.create_curated_table(spark, paths, db)
+    CAT.publish(spark, name, lake.land_curated(curated, paths).partitions, whole=True)
+    CAT.analyze(spark, name, ("symbol",), columns=("close",))
+    fewer = lake.land_curated(curated.where((F.col("symbol") == CORRECTED_SYMBOL) & (F.dayofmonth("date") > CORRECTED_DAYS)), paths, dynamic=True)
+    CAT.publish(spark, name, fewer.partitions)
+    CAT.analyze(spark, name, values=fewer.partitions)
+    counts = CAT.partition_row_counts(spark, name)
+    # one row a partition, as the catalog lists them
+    stated = spark.createDataFrame(list(counts.items()), "symbol string, analyzed_rows long")
+    return CAT.query_view(spark, name).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).join(stated, "symbol", "full")
+
+
+def _feed(spark, sf, src: str, part: int) -> None:
+    """Every PARTS-th of the ticks' days, in order of time but for ticks that come a day late, as one more source file."""
+    ticks = _ticks_k(spark, sf)
+    day = F.datediff("date_partition", F.lit(RUNS_FROM).cast("date")) + F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(2))
+    (encode_ticks(ticks.where(F.least(F.floor(day / FEED_DAYS), F.lit(FEED_PARTS - 1)) == part)).select("value").write.mode("append").text(src))
+
+
+def _fed(spark, sf, name: str, start) -> str:
+    """A stream run over each part of the feed in turn, so it restarts from its checkpoint every time."""
+    root = scratch_path(spark, name)
+    for part in range(FEED_PARTS):
+        _feed(spark, sf, f"{root}/source", part)
+        stream = spark.readStream.schema("value STRING").text(f"{root}/source")
+        start(decode_ticks(stream), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def q_stream_latest_ticks(spark, sf):
+    """W11, V06 as running state: the latest tick of every symbol and day, kept by a stream that is fed out of order and restarted."""
+    path = _fed(spark, sf, "latest", lambda t, out, ckpt: start_latest_ticks(t, out, ckpt, late="3 days", available_now=True))
+    return publish(read_latest_ticks(spark, path).select(*_TICK_OUT))
+
+
+def q_stream_live_kpis(spark, sf):
+    """M16 over the running state, of the latest day."""
+    path = _fed(spark, sf, "latest", lambda t, out, ckpt: start_latest_ticks(t, out, ckpt, late="3 days", available_now=True))
+    return publish(M.live_kpis(V.v_latest_ticks(read_latest_ticks(spark, path), as_of=_today_k(spark, sf))))
+
+
+def q_stream_dedup_sink(spark, sf):
+    """The feed delivered twice, the second time in part after a restart, lands once."""
+    root = scratch_path(spark, "dedup")
+    src, out, ckpt = f"{root}/source", f"{root}/out", f"{root}/checkpoint"
+    ticks = _ticks_k(spark, sf)
+    for again in (ticks.unionByName(ticks.where("volume % 2 = 0")), ticks.where("volume % 3 = 0")):
+        encode_ticks(again).select("value").write.mode("append").text(src)
+        stream = spark.readStream.schema("value STRING").text(src)
+        start_tick_sink(decode_ticks(stream), out, ckpt, available_now=True, dedup_within="40 days").awaitTermination()
+    return publish(read_landed_ticks(spark, out).select(*_TICK_OUT))
 
 
 def q_symbol_slice(spark, sf):
@@ -476,6 +599,18 @@ QUERIES: dict[str, Query] = {
     "ticks_today": q_ticks_today,
     "ingestion_stamp": q_ingestion_stamp,
     "movers_ranked": q_movers_ranked,
+    "losers_ranked": q_losers_ranked,
+    "volume_ranked": q_volume_ranked,
+    "widest_ranked": q_widest_ranked,
+    "narrowest_ranked": q_narrowest_ranked,
+    "live_ranked": q_live_ranked,
+    "ticks_ordered": q_ticks_ordered,
+    "latest_day_bars": q_latest_day_bars,
+    "lake_incremental": q_lake_incremental,
+    "partition_statistics": q_partition_statistics,
+    "stream_latest_ticks": q_stream_latest_ticks,
+    "stream_live_kpis": q_stream_live_kpis,
+    "stream_dedup_sink": q_stream_dedup_sink,
     "symbol_slice": q_symbol_slice,
     "raw_partition_scan": q_raw_partition_scan,
     "universe_filter": q_universe_filter,

@@ -8,6 +8,8 @@ row count is taken with an ``Observation`` on the same pass instead of a second
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,6 +19,7 @@ from quantlake.operators.dedup import keep_max_per_key
 from quantlake.paths import LakePaths
 from quantlake.schemas import CURATED_OHLCV, RAW_OHLCV, STAGING_OHLCV
 from quantlake.sources import versions
+from quantlake.sources.footers import footer_range
 from quantlake.sources.versions import Commit
 
 RUN_KEY, SYMBOL_KEY = "date_partition", "symbol"
@@ -116,6 +119,18 @@ def read_curated(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return versions.read(spark, paths.curated_ohlcv, CURATED_OHLCV, SYMBOL_KEY)
 
 
+def curated_days(spark: SparkSession, paths: LakePaths) -> tuple[dt.date | None, dt.date | None]:
+    """The first and last day of the curated zone, from the footers of its live folders."""
+    folders = list(versions.live(spark, paths.curated_ohlcv, SYMBOL_KEY).values())
+    schema = StructType([f for f in CURATED_OHLCV.fields if f.name != SYMBOL_KEY])
+    return footer_range(spark, folders, "date", schema) if folders else (None, None)
+
+
+def read_latest_day(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """The curated bars of the last day; the day comes from footers, and the scan skips row groups by it."""
+    return read_curated(spark, paths).where(F.col("date") == F.lit(curated_days(spark, paths)[1]).cast("date"))
+
+
 def sweep(spark: SparkSession, paths: LakePaths, keep: int = 1) -> list[str]:
     """Delete what newer writes have replaced in the three zones, but for the last ``keep`` versions of each."""
     zones = ((paths.raw_ohlcv, RUN_KEY), (paths.staging_ohlcv, RUN_KEY), (paths.curated_ohlcv, SYMBOL_KEY))
