@@ -77,6 +77,12 @@ def segment_ids(h: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndar
     return scramble((sums[first + length] - sums[first]) * down[first] + length.astype(np.uint64))
 
 
+def place_key(seg: np.ndarray, rk: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hash of a segment at one place."""
+    at = rk.astype(np.int64).view(np.uint64) + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return scramble(seg.astype(np.int64).view(np.uint64) ^ scramble(at)).view(np.int64)
+
+
 def repeated_in_shard(pieces: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int]]:
     """(piece, first word, length) of the stretches that windows with an earlier start cover.
 
@@ -151,14 +157,21 @@ def covered_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
     shard = F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int").alias("shard")
-    wanted = spark.sparkContext.broadcast(member_filter(index, "seg"))
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"pk": place_key(*(b[c].to_numpy() for c in ("seg", "rk", "start")))})
+
+    # a segment's words are sent from its first place only
+    wanted = spark.sparkContext.broadcast(member_filter(index.select("seg", "rk", "start").mapInPandas(keyed, "pk long"), "pk"))
 
     def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = Words(), set()
         for b in batches:
-            s, _, first, length, seg, deal = cut(words, b)
+            s, text, first, length, seg, deal = cut(words, b)
             coded, keep = s.h.astype("<u8"), []
-            for k in np.flatnonzero(may_be_members(wanted.value, seg)).tolist():
+            here = place_key(seg, b["rk"].to_numpy()[text], first - s.text_start[text]) if len(seg) else seg
+            for k in np.flatnonzero(may_be_members(wanted.value, here)).tolist():
                 i = int(seg[k])
                 if i not in seen:
                     keep.append(k)
@@ -167,7 +180,7 @@ def covered_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pd.DataFrame({
                 "seg": seg[keep], "deal": deal[keep], "words": [coded[a : a + n].tobytes() for a, n in zip(first[keep].tolist(), length[keep].tolist())]})
 
-    text_of = texts.select("text").mapInPandas(bodies, "seg long, deal int, words binary")
+    text_of = texts.select("rk", "text").mapInPandas(bodies, "seg long, deal int, words binary")
 
     def search(places: pd.DataFrame, bodies_: pd.DataFrame) -> pd.DataFrame:
         pdf = places.drop(columns="shard").merge(bodies_[["seg", "words"]].drop_duplicates("seg"), on="seg")
