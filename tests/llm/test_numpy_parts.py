@@ -189,3 +189,26 @@ def test_nnpu_separates_and_ignores_noise():
     s = np.array([b + w[i].sum() for i in x])
     p = 1 / (1 + np.exp(-s))
     assert ((p >= 0.3) == np.array(truth)).mean() > 0.98
+
+
+def test_long_blank_runs_keep_their_ids(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from quantlake.llm import packing
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc = packing._encoding(packing.vocabulary())
+    ids = lambda t: tok.encode(t, add_special_tokens=False).ids
+    for t in ("a" + " " * 1_000_000 + "b", "a" + "\n" * 1_000_000, "\t" * 1_000_000 + "!x", "x" + "\u3000 " * 500_000 + "y", "z" * 1_000_000):
+        assert packing.token_ids(enc, t) == ids(t)
+    assert len(packing.token_ids(enc, "a" + " " * 10_000_000 + "b")) == 10_000_001      # what the pattern gives: a, the run, ' b'
+    rng = random.Random(1)
+    monkeypatch.setattr(packing, "LONG_BLANKS", 3)                                       # the same cuts on short runs
+    monkeypatch.setattr(packing, "BLANKS", packing.re.compile(packing.BLANKS.pattern.replace("100000", "3")))
+    pieces = [" ", "  ", "\n", "\t", "\x1c", "\xa0", "\u2003", "a", "é", "12", "'s", "!?", "<|endoftext|>", "中"]
+    for _ in range(3000):
+        t = "".join(rng.choices(pieces, k=rng.randrange(3, 14)))
+        assert packing.token_ids(enc, t) == ids(t), repr(t)
