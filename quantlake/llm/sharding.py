@@ -1,19 +1,20 @@
 """Range sharding by sampled splitters (operator 3).
 
-Every record has a key (60 bits of its text's MD5, so equal texts are neighbours) and a size (UTF-8 bytes
-+ 1). Keys are drawn with probability proportional to size; their quantiles are the boundaries of many
-small ranges; a range that turns out overfull is sampled again and subdivided, down to single ids inside one
-hot key. With exact sizes of all ranges, a record's position in bytes is its range's start plus a running sum
-inside the range, and its shard is the eighth of all bytes that its middle falls into.
+Every record has a key (60 bits of its text's MD5, so equal texts are neighbours), a tie (a hash of its id, whose last bits tell
+equal rows apart) and a size (UTF-8 bytes + 1). Keys are drawn with probability proportional to size; their quantiles are
+the boundaries of many small ranges; a range that turns out overfull is sampled again and subdivided, down to single
+rows inside one hot key. With exact sizes of all ranges, a record's position in bytes is its range's start plus a running
+sum inside the range, and its shard is the eighth of all bytes that its middle falls into.
 
-Law ``bytes``: sizes near equal. Equal texts stay in one shard, unless a group is larger than
-``GROUP_SHARE`` of a shard and a cut falls inside it: then it is divided by id.
+Law ``bytes``: sizes near equal. Equal texts stay in one shard if they make up at most 1 / ``GROUP_SHARE`` of a mean shard, all
+rows of that text in the corpus counted; a larger group that a cut falls into is divided there. The rule depends on
+the texts alone, not on the ranges that the work was cut into.
 
-Scale: texts are read once; only (id, size, crc, key) is kept, shuffled once by range and sorted inside.
-The driver sees a bounded sample (``SAMPLES_PER_RANGE`` per range, at most ``MAX_RANGES`` ranges) and one
-number per range. No task holds more than an overfull range's bound of rows.
+Scale: texts are read once; only (id, size, crc, key, tie) is kept, shuffled once by range and sorted inside.
+The driver sees a sample (about ``SAMPLES_PER_RANGE`` for each range that is being cut, at most ``MAX_RANGES`` ranges at first), whatever
+repeats, and one number per range. No task holds more than an overfull range's bound of rows.
 
-Defined cases: null text has size 1; null ids order first; rows equal in id and text are
+Defined cases: null text has size 1; null ids are values like others; rows equal in id and text are
 interchangeable; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -36,19 +37,20 @@ OVERFULL = 4            # times the mean size or rows of a range
 MAX_ROUNDS = 4
 GROUP_SHARE = 100       # a group stays whole up to 1/100 of a shard
 LOWEST = -(2**63)
+COPY_MASK = (1 << 24) - 1   # bits of a tie that tell equal rows apart
 
 Splitter = tuple[int, int]
 
 
 def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, key, tie of every row."""
+    """doc_id, size, text_crc32, key, tie of every row; to be stored, as the last bits of ``tie`` are drawn when it is run."""
     text = whole_text(text_col)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("key"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("tie"),
+        (F.xxhash64(F.col(id_col).cast("long")).bitwiseAND(F.lit(~COPY_MASK)) + F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(COPY_MASK))).alias("tie"),
     )
 
 
@@ -63,7 +65,7 @@ def range_index(splitters: list[Splitter]):
         lo, hi = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
         out = lo.copy()
         for a, b in {(a, b) for a, b in zip(lo, hi) if b > a}:
-            at = lo == a
+            at = (lo == a) & (hi == b)  # keys between the splitters share ``lo``
             out[at] = a + np.searchsorted(ties[a:b], t[at], "right")
         return pd.Series(out.astype(np.int32))
 
@@ -84,10 +86,12 @@ def quantiles(sample: list, parts: int) -> list[Splitter]:
 
 
 def draw(rec: DataFrame, rate: float, seed: int) -> list:
-    """Rows taken with probability min(1, size * rate), weighted so that the sample stands for bytes."""
+    """Rows taken with probability min(1, size * rate), weighted so that the sample stands for bytes. Rows with one (key, tie)
+    are drawn as one, so about ``rate`` times all bytes are taken at most, whatever repeats."""
+    one = rec.groupBy("key", "tie").agg(F.sum("size").alias("size"))
     u = (F.pmod(F.xxhash64("key", "tie", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40))
     p = F.least(F.lit(1.0), F.col("size") * F.lit(rate))
-    return rec.where(u < p).select("key", "tie", (F.col("size") / p).alias("w")).collect()
+    return one.where(u < p).select("key", "tie", (F.col("size") / p).alias("w")).collect()
 
 
 def splitters_for(rec: DataFrame, rows: int, total: int) -> tuple[list[Splitter], dict[int, tuple[int, int]]]:
@@ -102,8 +106,22 @@ def splitters_for(rec: DataFrame, rows: int, total: int) -> tuple[list[Splitter]
         if not full or again == MAX_ROUNDS:
             return cuts, sizes
         share = sum(max(sizes[r][0] / total, sizes[r][1] / rows) for r in full)
-        finer = draw(rec.where(range_index(cuts)("key", "tie").isin(full)), 4 ** (again + 1) * SAMPLES_PER_RANGE * parts / total, again + 1)
-        cuts = sorted({*cuts, *quantiles(finer, math.ceil(4 * share * parts) + 1)})
+        into = math.ceil(4 * share * parts) + 1
+        finer = draw(rec.where(range_index(cuts)("key", "tie").isin(full)), SAMPLES_PER_RANGE * into / sum(sizes[r][0] for r in full), again + 1)
+        cuts = sorted({*cuts, *quantiles(finer, into)})
+
+
+def _whole_groups(pos: DataFrame, divided: list[int]) -> DataFrame:
+    """``group`` and ``begin`` of the keys that lie in several ranges, over all of these."""
+    if not divided:
+        return pos
+    pos = stored(pos, "positions")
+    keys = pos.sparkSession.createDataFrame([(k,) for k in sorted(set(divided))], "key long")
+    parts = pos.join(F.broadcast(keys), "key").groupBy("key", "rng").agg(F.max("group").alias("group"), F.min("begin").alias("begin"))
+    all_of = parts.groupBy("key").agg(F.sum("group").alias("_group"), F.min("begin").alias("_begin"))
+    # at most one row for each splitter
+    pos = pos.join(F.broadcast(all_of), "key", "left")
+    return pos.withColumns({"group": F.coalesce("_group", "group"), "begin": F.coalesce("_begin", "begin")})
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
@@ -128,6 +146,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         .withColumn("at", F.row_number().over(run) - 1 + F.col("n0"))
         .withColumn("group", F.sum("size").over(same)).withColumn("begin", F.min(F.col("end") - F.col("size")).over(same))
     )
+    pos = _whole_groups(pos, [k for k, t in cuts if t != LOWEST])
     whole = F.col("group") * GROUP_SHARE * shards <= F.lit(total)
     twice = F.when(whole, 2 * F.col("begin") + F.col("group")).otherwise(2 * F.col("end") - F.col("size"))
     scaled, unit = twice * F.lit(shards), F.lit(2 * total)
@@ -150,15 +169,3 @@ def op3_sharding(spark, sf_dir):
     got = shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
-
-ORACLE_SQL = """
-WITH r AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-k AS (SELECT doc_id, t, (octet_length(encode(t)) + 1)::BIGINT AS size, ('0x' || substr(md5(t), 1, 15))::BIGINT AS key FROM r),
-p AS (SELECT doc_id, t, size, sum(size) OVER o AS "end", row_number() OVER o - 1 AS at, sum(size) OVER g AS grp, key,
-             sum(size) OVER () AS total
-      FROM k WINDOW o AS (ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY key)),
-q AS (SELECT *, min("end" - size) OVER (PARTITION BY key) AS beg FROM p),
-s AS (SELECT *, least(7, (CASE WHEN grp * 800 <= total THEN 2 * beg + grp ELSE 2 * "end" - size END) * 8 // (2 * total))::INTEGER AS shard FROM q)
-SELECT doc_id, size, 'bytes' AS law, shard, (at - min(at) OVER (PARTITION BY shard))::BIGINT AS slot, CAST(NULL AS INTEGER) AS grown_shard
-FROM s
-"""

@@ -143,6 +143,32 @@ def test_shards_of_a_hot_text_are_even(spark):
     assert len(got) == 1200 and len(loads) == 8 and max(abs(x - mean) for x in loads.values()) < 0.05 * mean
 
 
+@pytest.mark.parametrize("range_rows", [5000, 10])
+def test_groups_of_equal_texts_stay_whole(spark, monkeypatch, range_rows):
+    """1,000 groups of 20, each 0.8 % of a shard, however finely the work is cut."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", range_rows)
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), (F.col("id") % 1000).cast("string")).alias("text"))
+    got = sharding.shard(df)
+    spread = got.groupBy("text_crc32").agg(F.countDistinct("shard").alias("n")).agg(F.max("n")).first()[0]
+    loads = [r["b"] for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert spread == 1 and max(loads) < 1.02 * min(loads) and got.count() == 20_000
+
+
+def test_repeated_rows_are_drawn_as_few(spark, monkeypatch):
+    """15,000 equal rows in 40,000: they reach the driver as a sample does, and no range holds them all."""
+    seen, ranges = [], []
+    draw, cut = sharding.draw, sharding.splitters_for
+    monkeypatch.setattr(sharding, "draw", lambda *a: (seen.append(draw(*a)), seen[-1])[1])
+    monkeypatch.setattr(sharding, "splitters_for", lambda *a: (ranges.append(cut(*a)), ranges[-1])[1])
+    df = spark.range(25_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    df = df.unionByName(spark.range(15_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("again and again").alias("text"))).repartition(8)
+    got = sharding.shard(df)
+    loads = [r["b"] for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    slots = got.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b")).collect()
+    assert got.count() == 40_000 and max(loads) - min(loads) < 200 and all((r["a"], r["b"]) == (0, r["n"] - 1) for r in slots)
+    assert max(map(len, seen)) < 2000 and max(n for _, n in ranges[0][1].values()) < 40_000 / 4
+
+
 def test_held_out_labels_are_not_read(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
