@@ -10,13 +10,16 @@
 3. ``copies`` rounds a rate up or down by the document's own hash, so that expected totals are kept.
 
 Scale: texts are read once and kept as hashed words (one int each). Training counts are a map-side combined
-aggregate of at most FEATURES x MAX_DOMAINS numbers; that table is what is broadcast. Each gradient step is one
+aggregate of at most FEATURES x (targets + 1) numbers; that table is what is broadcast. Each gradient step is one
 aggregate over (weight, posterior) rows that returns one number per domain. Rounds are expressions over the
 stored posteriors; every STORE_EVERY of them the rates are written, so plans stay short.
 
 Defined cases: null text is empty and has the prior as posterior and no tokens; rows equal in id and text share
-a rate; a domain that no document belongs to is left out and the targets of the others rescaled; a
-labelled domain without target has target 0; without labels or tokens every rate is 1; extra columns pass.
+a rate; a domain that no document belongs to is left out and the targets of the others rescaled; labelled
+domains without a target, however many, are one domain OTHER, which by default keeps the share of tokens that it has (the
+targets then divide the rest); of contradicting labels of one id the least domain counts; a label without language or
+quality is none; without labels or tokens every rate is 1; extra columns pass. What a domain should and does reach is
+returned with its rows, so a target that MAX_ROUNDS or the floor left unmet is seen.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ from pyspark.sql import functions as F
 from quantlake.llm.common import row_key, stored, table, whole_text
 
 FEATURES = 8192
-MAX_DOMAINS = 64
+MAX_DOMAINS = 64         # named in the targets, OTHER included
+OTHER = "other"
 SMOOTH = 0.5
 EVIDENCE = 24
 TOLERANCE = 1e-4
@@ -56,11 +60,10 @@ def hashed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def domain_model(words: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame, list[float]]:
     """Domains, a table (f, l0, l1, ...) of log-likelihoods, and log priors, from ``labelled`` (doc_id, domain)."""
-    known = words.join(labelled.where("doc_id is not null and domain is not null").dropDuplicates(["doc_id"]), "doc_id")
+    labelled = labelled.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    known = words.join(labelled, "doc_id")
     counts = stored(known.select("domain", F.explode("words").alias("f")).groupBy("domain", "f").agg(F.count("*").alias("c")), "counts")
-    totals = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("c").alias("n")).orderBy("domain").limit(MAX_DOMAINS + 1).collect()}
-    if len(totals) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    totals = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("c").alias("n")).collect()}
     names = sorted(totals)
     per = [F.sum(F.when(F.col("domain") == d, F.col("c")).otherwise(0)).alias(f"c{k}") for k, d in enumerate(names)]
     wide = words.sparkSession.range(FEATURES).select(F.col("id").cast("int").alias("f")).join(counts.groupBy("f").agg(*per), "f", "left") if names else None
@@ -92,7 +95,8 @@ def _dot(weights: np.ndarray) -> Column:
 
 
 def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = None, floor: float = 0.0) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """``members`` (rk, rows, n, p) with ``rate``; the targets and the totals reached.
+    """``members`` (rk, rows, n, p) with ``rate``; the targets and the totals reached. A share that is nan is the one that
+    the domain has at rate 1; the others then divide the rest.
 
     ``budget``: tokens in all; None: as many as there are; negative: the fewest at which no domain has to shrink.
     """
@@ -110,7 +114,9 @@ def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = Non
 
     totals, whole = measured(members, F.lit(1.0), F.lit(True))
     tokens = float(totals.sum())
-    shares = np.where(totals > 1e-9 * max(tokens, 1.0), shares, 0.0)
+    kept = np.where(np.isnan(shares), totals / max(tokens, 1e-300), 0.0)
+    shares = np.where((totals > 1e-9 * max(tokens, 1.0)) & ~np.isnan(shares), shares, 0.0)
+    shares = kept + shares / max(shares.sum(), 1e-300) * (1 - kept.sum())
     if tokens <= 0 or shares.sum() <= 0:
         return members.withColumn("rate", F.lit(1.0)), totals, totals
     shares = shares / shares.sum()
@@ -136,27 +142,32 @@ def mix(
     docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None, floor: float = 0.0,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """rk, n_tokens, domain, membership, rate, copies: one row per distinct (id, text) of ``docs``."""
+    """rk, n_tokens, domain, membership, rate, copies, and the tokens that its domain should and does reach: one row per
+    distinct (id, text) of ``docs``. ``targets`` may name OTHER; else its share stays as it is."""
+    if len(targets.keys() | {OTHER}) > MAX_DOMAINS:
+        raise ValueError(f"more than {MAX_DOMAINS} targets")
+    labelled = labelled.select("doc_id", F.when(F.col("domain").isin(list(targets)), F.col("domain")).when(F.col("domain").isNotNull(), F.lit(OTHER)).alias("domain"))
     words = stored(hashed_words(docs, id_col, text_col), "words")
     names, logs, priors = domain_model(words, labelled)
     if not names:
         return words.groupBy("rk").agg(F.max(F.size("words")).cast("long").alias("n_tokens")).select(
             "rk", "n_tokens", F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("membership"),
-            F.lit(1.0).alias("rate"), F.lit(1).alias("copies"))
+            F.lit(1.0).alias("rate"), F.lit(1).alias("copies"), F.lit(None).cast("double").alias("target_tokens"), F.lit(None).cast("double").alias("reached_tokens"))
     members = stored(posteriors(words, (names, logs, priors)), "members")
-    rated, _, _ = fit_rates(members, np.array([targets.get(d, 0.0) for d in names]), budget, floor)
+    rated, goal, reached = fit_rates(members, np.array([targets.get(d, np.nan) for d in names]), budget, floor)
     u = F.pmod(F.xxhash64("rk", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     best = F.array_max("p")
+    at = (F.array_position("p", best) - 1).cast("int")
+    of = lambda values: F.get(F.array(*[F.lit(v) for v in values]), at)
     return rated.select(
-        "rk", F.col("n").cast("long").alias("n_tokens"),
-        F.get(F.array(*[F.lit(d) for d in names]), (F.array_position("p", best) - 1).cast("int")).alias("domain"),
-        best.alias("membership"), "rate", F.floor(F.col("rate") + u).cast("int").alias("copies"))
+        "rk", F.col("n").cast("long").alias("n_tokens"), of(names).alias("domain"), best.alias("membership"), "rate",
+        F.floor(F.col("rate") + u).cast("int").alias("copies"), of(map(float, goal)).alias("target_tokens"), of(map(float, reached)).alias("reached_tokens"))
 
 
 def language_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled table: (doc_id, domain) of labelled documents, domain = language / quality."""
+    """The labelled table: (doc_id, domain) of labelled documents, domain = language / quality, null if either is."""
     return docs.select("doc_id", "lang").join(labels.select("doc_id", "quality"), "doc_id").select(
-        "doc_id", F.concat_ws("/", "lang", F.col("quality").cast("string")).alias("domain"))
+        "doc_id", F.concat("lang", F.lit("/"), F.col("quality").cast("string")).alias("domain"))
 
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, floor: float = 1.0) -> DataFrame:

@@ -203,6 +203,52 @@ def test_domains_are_learnt(spark):
     assert sum(r["rate"] * r["n_tokens"] for r in got if r["domain"] == "en") == pytest.approx(1800, rel=0.02)
 
 
+def test_domains_without_target_keep_their_share(spark):
+    """70 languages of which two have targets; contradicting, incomplete and null labels."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"l{i % 70}w{k}" for k in range(6)], k=20 + i % 30)) for i in range(700)]
+    df = docs(spark, texts).select("doc_id", "text", F.concat(F.lit("l"), (F.col("doc_id") % 70).cast("string")).alias("lang"))
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 700)] + [(3, 0), (4, None), (None, 1), (9999, 1)], "doc_id long, quality int")
+    plan = mixing.mix(df, mixing.language_quality(df, labels), {"l0/1": 0.8, "l1/1": 0.2}, 20000.0)
+    got = df.select("doc_id", mixing.row_key().alias("rk")).join(plan, "rk").collect()
+    assert {r["domain"] for r in got} == {"l0/1", "l1/1", mixing.OTHER}
+    tokens = {d: sum(r["n_tokens"] * r["rate"] for r in got if r["domain"] == d) for d in ("l0/1", "l1/1", mixing.OTHER)}
+    share = sum(r["n_tokens"] for r in got if r["domain"] == mixing.OTHER) / sum(r["n_tokens"] for r in got)
+    want = {"l0/1": 0.8 * (1 - share), "l1/1": 0.2 * (1 - share), mixing.OTHER: share}
+    assert all(tokens[d] == pytest.approx(20000 * want[d], rel=0.05) for d in want)
+    for r in got:
+        assert r["target_tokens"] == pytest.approx(20000 * want[r["domain"]], rel=0.02) and abs(r["reached_tokens"] - r["target_tokens"]) <= 2e-4 * 20000
+    with pytest.raises(ValueError):
+        mixing.mix(df, mixing.language_quality(df, labels), {f"x{i}": 1.0 for i in range(64)})
+
+
+def test_mixing_query_on_a_whole_table(spark):
+    """Posteriors, targets and copies of the query against numpy over the same hashed words."""
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in mixing.op5_mixing(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    words = {r["doc_id"]: (r["rk"], r["words"]) for r in mixing.hashed_words(rows).collect()}
+    known = {r["doc_id"]: r["domain"] for r in mixing.language_quality(rows, spark.read.parquet(f"{sf}/labels.parquet")).collect() if r["domain"]}
+    names = sorted({d for i, d in known.items() if words[i][1]})
+    counts = {d: np.zeros(mixing.FEATURES) for d in names}
+    for i, d in known.items():
+        np.add.at(counts[d], words[i][1], 1)
+    logs = np.array([np.log((counts[d] + mixing.SMOOTH) / (counts[d].sum() + mixing.SMOOTH * mixing.FEATURES)) for d in names])
+    prior = np.log([counts[d].sum() / sum(c.sum() for c in counts.values()) for d in names])
+    assert set(got) == set(words)
+    totals = np.zeros(len(names))
+    for i, (_, w) in words.items():
+        s = prior + (min(len(w), mixing.EVIDENCE) * logs[:, w].mean(1) if w else 0)
+        p = np.exp(s - s.max())
+        p /= p.sum()
+        assert got[i]["n_tokens"] == len(w) and got[i]["membership"] == pytest.approx(p.max(), rel=1e-6) and got[i]["domain"] == names[int(p.argmax())]
+        assert got[i]["rate"] >= 0 and 0 <= got[i]["copies"] - np.floor(got[i]["rate"]) <= 1
+        totals += len(w) * got[i]["rate"] * p
+    shares = np.array([mixing.TARGETS[d] for d in names])
+    goal = shares / shares.sum() * sum(len(w) for _, w in words.values())
+    assert np.abs(totals - goal).max() <= 2 * mixing.TOLERANCE * goal.sum()
+
+
 def test_redirects_carry_blocks(spark):
     link = lambda u: f'<head><LINK href="{u}" rel=canonical></head>'
     pages = [
