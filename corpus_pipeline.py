@@ -8,6 +8,12 @@ one's ``docs``. All but the last return the columns of ``documents``.
 3. n-gram Jaccard join: of each component of texts that share 0.8 of their five-word shingles, one row stays.
 4. mixing: rows repeat until the domains' expected tokens match their target shares; every row stays at least once.
 5. packing: the token ids of all rows, cut and packed into sequences of 2048 tokens; one row per piece.
+
+Defined cases, in every stage: an empty table gives no rows; repeated rows are rows of their own until stage 3, which leaves one
+of each text; null texts count as empty, are no copies of anything and pass stages 1 to 4 (packed as their end id alone); null
+ids are never learnt from and tie last; null ``lang``, and labels that are null, missing or contradicting, only mean that a row
+teaches no domain; without any toxic label nothing is toxic, without any domain nothing is repeated; extra columns pass
+through to stage 4.
 """
 
 from __future__ import annotations
