@@ -1,7 +1,7 @@
 """Job entry points.
 
     python -m quantlake ingest --root ROOT --wide PATH [--universe FILE] [--run-date YYYY-MM-DD]
-    python -m quantlake batch  --root ROOT [--run-date YYYY-MM-DD] [--dynamic-curated | --incremental] [--database DB] [--allow-empty]
+    python -m quantlake batch  --root ROOT [--run-date YYYY-MM-DD] [--dynamic-curated | --incremental] [--database DB] [--allow-empty] [--split-rows N]
     python -m quantlake refresh --root ROOT --database DB [--ticks]
     python -m quantlake stream --root ROOT (--kafka BROKERS [--prefix P] | --files DIR)
                                [--trigger "30 seconds"] [--available-now] [--files-per-folder K] [--rejects]
@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     how.add_argument("--incremental", action="store_true")
     b.add_argument("--database", default=None)
     b.add_argument("--allow-empty", action="store_true")
+    b.add_argument("--split-rows", type=int, default=None)
     i = sub.add_parser("ingest")
     i.add_argument("--root", required=True)
     i.add_argument("--wide", required=True)
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps(run_incremental(spark, paths, run_date, allow_empty=args.allow_empty, database=args.database).__dict__))
             return 0
         res = run_batch(spark, paths, run_date, dynamic_curated=args.dynamic_curated, allow_empty=args.allow_empty,
-                        database=args.database)
+                        database=args.database, split_rows=args.split_rows)
         print(json.dumps(res.__dict__))
         return 0
     if args.job == "ingest":

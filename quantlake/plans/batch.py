@@ -28,6 +28,7 @@ from quantlake.sources.lake import (
     land_curated,
     land_raw,
     land_staging,
+    latest_per_bar,
     read_raw,
     read_staging,
     sweep,
@@ -78,7 +79,8 @@ def run_batch(
     """One run date through staging into curated.
 
     A run date without raw rows raises ``EmptyRunError`` before any write, unless ``allow_empty``.
-    ``split_rows`` evaluates series in chunks (for intraday bars; see ``split_series``). With
+    ``split_rows`` evaluates series in ranges of about that many rows, whatever symbol they are of (for intraday bars;
+    see ``ranged_series``). With
     ``database`` the curated table is registered there, its new partitions included, and its views refreshed.
     """
     run = str(run_date)
@@ -86,7 +88,9 @@ def run_batch(
     if not allow_empty and raw.isEmpty():
         raise EmptyRunError(f"no raw rows for run date {run}")
     staged = land_staging(clean(raw, ingested_at), paths, run)
-    history = history_by_symbol(read_staging(spark, paths))
+    staging = read_staging(spark, paths)
+    # in ranges a symbol's bars are never together, so runs are reduced per bar in every input task instead
+    history = history_by_symbol(staging) if split_rows is None else latest_per_bar(staging)
     enriched = add_all_indicators(history, split_rows=split_rows)
     versions.delete(spark, paths.tail_ohlcv)  # an incremental run that follows starts anew
     curated = land_curated(ingested_at_as_text(enriched), paths, dynamic=dynamic_curated)
