@@ -1,20 +1,21 @@
 """Exact top-k by integer inner product as a Voronoi kNN join (operator 8).
 
 Vectors are turned into integers first, so scores are exact. Pivots (k-means centres of a bounded sample)
-cut queries and data into cells. A summary of each data cell holds, per pivot: its number of rows, its radius and
-its few smallest distances to the pivot. For a query q and a vector x of cell c with pivot p and d = |x - p|:
+cut queries and data into cells, and cells that lie together are gathered into groups of about equal rows. A summary of each
+data cell holds its number of rows, its radius and its few smallest distances to the pivot. For a query q and a vector x of
+cell c with pivot p and d = |x - p|:
 
     q.p - |q| d  <=  q.x  <=  q.p + |q| d
 
-The left side over the summaries gives each query a score that k rows are sure to reach, and the least of these
-over a group is the group's bound; the right side, with the group's largest q.p and |q|, tells which rows of
-which cells could still reach it. Only those rows are replicated to the group, and each (group, block of
-rows) is solved locally as one matrix product; the best k of the blocks are merged.
+The left side over the summaries gives each query a score that k rows are sure to reach; the right side with a cell's radius
+tells whether a row of it could still reach that. A query goes to the groups that have such a cell, and each
+(block of a group's rows, slice of its queries) is solved locally as one matrix product; the best k of the blocks are merged.
 
-Scale: a data row goes to each group that needs it (at most GROUPS copies), blocks split a cell of any
-size, so one vector that a third of all rows share fills many blocks, not one task. A block holds at most about
-BLOCK_ROWS rows and one group's queries; groups of more than GROUP_QUERIES queries are split too. The driver
-holds the sample, the pivots and the summaries (CELLS rows).
+Scale: of the two sides it is the few queries that are replicated, and only to groups that they need; a data row moves once (once
+for every GROUP_QUERIES queries of its group, which bounds a task). Blocks are dealt by hash and hold about BLOCK_ROWS rows whatever
+a cell's size, so one vector that a third of all rows share fills many blocks, not one task. The driver holds the
+sample, the pivots and the summaries (CELLS rows). Where data have no cell structure no group can be skipped, and the join
+costs what comparing the query set with all rows, in blocks, costs.
 
 Defined cases: null vectors and vectors with null or non-finite components take no part, as query or candidate; a
 query never meets its own row (same vec_id); ties go to the smaller vec_id; repeated rows of one id and
@@ -40,7 +41,8 @@ GROUPS = 16
 SAMPLE = 8192
 KMEANS_ROUNDS = 8
 BLOCK_ROWS = 8192
-GROUP_QUERIES = 2048
+GROUP_QUERIES = 8192
+SLACK = 1e-3            # above any rounding of the bounds
 
 
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -78,6 +80,19 @@ def nearest(x: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.sqrt(((x - p[at]) ** 2).sum(1)) * (1 + 1e-9) + 1e-6
 
 
+def gathered(pivots: np.ndarray, n: np.ndarray, groups: int) -> np.ndarray:
+    """A group for each cell: cells in a chain of nearest pivots, cut into ``groups`` of about equal rows."""
+    left, chain = set(range(1, len(pivots))), [0]
+    while left:
+        here = pivots[chain[-1]]
+        chain.append(min(left, key=lambda j: (float(((pivots[j] - here) ** 2).sum()), j)))
+        left.discard(chain[-1])
+    before = np.cumsum(n[chain]) - n[chain]
+    out = np.zeros(len(pivots), np.int64)
+    out[chain] = np.minimum(groups - 1, before * groups // max(1, int(n.sum())))
+    return np.unique(out, return_inverse=True)[1]
+
+
 def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
     """The k best (score, id), ties to the smaller id, without ``own``."""
     s = np.where(ids == own, np.iinfo(np.int64).min, scores)
@@ -119,37 +134,35 @@ def knn_join(
     near = placed.select("cell", "d", "vec_id").withColumn("r", rank).where(F.col("r") <= k + 1)
     close = near.groupBy("cell").agg(F.array_sort(F.collect_list("d")).alias("close"))
     summary = low.join(close, "cell").orderBy("cell").toPandas()  # one row per cell
-    shared = spark.sparkContext.broadcast((summary["cell"].to_numpy(), summary["radius"].to_numpy(), [np.array(c) for c in summary["close"]]))
+    group = gathered(pivots.value[summary["cell"].to_numpy()], summary["n"].to_numpy(), groups)
+    shared = spark.sparkContext.broadcast((summary["cell"].to_numpy(), summary["radius"].to_numpy(), [np.array(c) for c in summary["close"]], group))
 
     def sure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """For each query: a score that k other rows reach, its norm, and q.p of every cell."""
-        at, _, close_ = shared.value
+        """For each query the groups that can hold one of its k best."""
+        at, radius, close_, group_ = shared.value
         for b in batches:
             q = matrix(b["v"], dims)
             qp, norm = q @ pivots.value[at].T, np.sqrt((q * q).sum(1)) * (1 + 1e-9)
             floor_ = np.concatenate([qp[:, [j]] - norm[:, None] * c[None, :] for j, c in enumerate(close_)], axis=1)
             want = min(k + 1, floor_.shape[1])
             bound = np.partition(floor_, floor_.shape[1] - want, axis=1)[:, floor_.shape[1] - want] if floor_.shape[1] > k else np.full(len(b), -np.inf)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "grp": b["cell"] % groups, "bound": bound, "norm": norm, "qp": list(qp)})
-
-    queries = stored(placed.where(is_query).mapInPandas(sure, "vec_id long, v array<long>, grp int, bound double, norm double, qp array<double>"), "queries")
-    cell_no = F.posexplode("qp").alias("j", "qp")
-    bounds = queries.groupBy("grp").agg(F.min("bound").alias("bound"), F.max("norm").alias("norm"), F.count("*").alias("queries"))
-    reach = queries.select("grp", cell_no).groupBy("grp", "j").agg(F.max("qp").alias("qp")).join(bounds, "grp").toPandas()  # GROUPS x CELLS
-    slack = 1e-3  # above any rounding of the bounds
-    need = [(int(summary["cell"][r.j]), int(r.grp), float(r.qp), float(r.norm), float(r.bound) - slack) for r in reach.itertuples()
-            if r.qp + r.norm * summary["radius"][r.j] >= r.bound - slack]
-    if not need:
+            reach = qp + norm[:, None] * radius[None, :] >= bound[:, None] - SLACK
+            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "grps": [np.unique(group_[r]).astype(np.int32) for r in reach]})
+
+    queries = stored(placed.where(is_query).mapInPandas(sure, "vec_id long, v array<long>, grps array<int>"), "queries")
+    sizes = summary.assign(grp=group).groupby("grp")["n"].sum()
+    asked = {r["g"]: r["n"] for r in queries.select(F.explode("grps").alias("g")).groupBy("g").agg(F.count("*").alias("n")).collect()}
+    cuts = [(int(g), -(-int(n) // block_rows), -(-asked[g] // GROUP_QUERIES)) for g, n in sizes.items() if g in asked]
+    if not cuts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    needs = F.broadcast(spark.createDataFrame(need, "cell int, grp int, qp double, norm double, bound double"))
-    sent = placed.join(needs, "cell").where(F.col("qp") + F.col("norm") * F.col("d") >= F.col("bound"))
-    rows = data.count()
-    blocks, slices = max(1, -(-rows // block_rows)), max(1, -(-queries.count() // (GROUP_QUERIES * groups)))
-    # a row goes to one block of each group that needs it; a group's queries go to all of its blocks, in slices
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block")
-    right = sent.select("grp", block, "vec_id", "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    left = queries.select("grp", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(slices)).cast("int").alias("part"), "vec_id", "v").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # at most CELLS rows each
+    cut = F.broadcast(spark.createDataFrame(cuts, "grp int, blocks int, slices int"))
+    home = F.broadcast(spark.createDataFrame([(int(c), int(g)) for c, g in zip(summary["cell"], group)], "cell int, grp int"))
+    lot_of = lambda seed, n: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    right = placed.join(home, "cell").join(cut, "grp").select("grp", lot_of(2, "blocks").alias("block"), "vec_id", "v", upto("slices").alias("part"))
+    left = queries.select("vec_id", "v", F.explode("grps").alias("grp")).join(cut, "grp").select(
+        "grp", lot_of(1, "slices").alias("part"), "vec_id", "v", upto("blocks").alias("block"))
 
     def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []

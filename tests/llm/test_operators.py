@@ -328,6 +328,22 @@ def test_jaccard_components_match_brute_force(spark, monkeypatch, rows):
         assert sorted(r["doc_id"] for r in kept) == sorted(set(comp))
 
 
+def test_knn_sends_queries_only_where_they_can_win(spark, monkeypatch):
+    """Four far clusters in eight groups: a query goes to those around its own."""
+    rng = np.random.default_rng(3)
+    centres = np.eye(4) * 40
+    rows = [(i, [float(x) for x in centres[i % 4] + rng.normal(size=4) * 0.1]) for i in range(2000)]
+    met = []
+    stored = knn.stored
+    monkeypatch.setattr(knn, "stored", lambda df, name: (met.append(df) if name == "queries" else None, stored(df, name))[1])
+    got = knn.knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), cells=16, groups=8, block_rows=200).collect()
+    assert max(len(r["grps"]) for r in met[0].collect()) <= 4 and {(r["query_id"] - r["vec_id"]) % 4 for r in got} == {0}
+    ints = {i: [int(np.floor(np.float64(np.float32(x)) * 256)) for x in v] for i, v in rows}
+    for q in range(0, 2000, 500):
+        want = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -s) for s, i in want]
+
+
 def test_knn_matches_brute_force(spark):
     rng = np.random.default_rng(9)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)]
