@@ -4,10 +4,13 @@ A text is its lines ("paragraphs"); runs of paragraphs are sections. A section e
 own hash says so (one in eight on average), so an inserted paragraph moves no other section's
 boundaries. Paragraph node: SHA-256 of its text; section node: SHA-256 of its paragraph nodes; root: SHA-256 of
 the section nodes. Joining the paragraphs again gives the text, so equal roots mean equal texts. Below a
-paragraph, leaves of up to four words are hashed (64 bits) to grade small edits.
+paragraph, its words are cut into leaves by content too: a leaf ends behind a word whose last character and length say
+so (one in four on average), so a word that is put in or taken out changes the leaf that it falls into and no other. Leaves
+are hashed (64 bits) to grade small edits.
 
-Likeness of two fingerprints: equal roots give 1; else the Dice share of their distinct leaves, at most just
-below 1. ``differing`` descends only into sections that the other tree lacks and lists the paragraphs that differ.
+Likeness of two trees: equal roots give 1; else the Dice share of their distinct leaves, at most just
+below 1. ``differing`` compares section nodes first, descends only into sections that the other tree lacks, and lists the
+paragraphs in them that no such section of the other tree has.
 
 Scale: every text is hashed once, behind the one shuffle of the texts. The next document is met by a window inside buckets
 of neighbouring ids; the first row of a bucket is also put behind the end of the bucket before, so buckets are
@@ -25,36 +28,53 @@ from pyspark.sql import functions as F
 
 from quantlake.llm.common import table, whole_text
 
-LEAF_WORDS = 4
+#: A leaf ends behind a word whose last code point plus length is a multiple of this
+LEAF_ENDS = 4
 #: A section ends behind a paragraph whose SHA-256 begins with one of these (2 of 16).
 SECTION_ENDS = ("0", "8")
 BUCKET_ROWS = 2000
 MAX_BUCKETS = 1_000_000
 QUANTILES = 64
 
-LEAF = r"[^\s]+(?:[^\S\n]+[^\s]+){0,%d}" % (LEAF_WORDS - 1)
+WORD_ENDS = r"[^\S\n]+"
 
 
 def paragraphs(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 256))
 
 
-def sections(nodes: Column) -> Column:
-    """Section nodes from paragraph nodes."""
+def section_ends(nodes: Column) -> Column:
+    """Numbers (from 1) of the paragraphs that end a section."""
     n = F.size(nodes)
-    ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | F.substring(F.get(nodes, i - 1), 1, 1).isin(*SECTION_ENDS))
+    return F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | F.substring(F.get(nodes, i - 1), 1, 1).isin(*SECTION_ENDS))
+
+
+def spans(nodes: Column, ends: Column) -> Column:
+    """Of each section: its node, its first paragraph (from 0), and its paragraph nodes."""
     starts = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
-    return F.zip_with(starts, ends, lambda a, b: F.sha2(F.array_join(F.slice(nodes, a + 1, b - a), ""), 256))
+
+    def span(a: Column, b: Column) -> Column:
+        own = F.slice(nodes, a + 1, b - a)
+        return F.struct(F.sha2(F.array_join(own, ""), 256).alias("node"), a.alias("first"), own.alias("nodes"))
+
+    return F.zip_with(starts, ends, span)
+
+
+def leaf_hashes(text: Column) -> Column:
+    """Distinct hashes of the leaves of a text, each a run of words of one paragraph."""
+    mark = lambda w: F.when((F.ascii(F.right(w, F.lit(1))) + F.length(w)) % LEAF_ENDS == 0, F.concat(w, F.lit("\n"))).otherwise(F.concat(w, F.lit(" ")))
+    words = lambda p: F.filter(F.split(p, WORD_ENDS), lambda w: w != "")
+    cut = F.transform(F.split(text, "\n"), lambda p: F.split(F.array_join(F.transform(words(p), mark), ""), "\n"))
+    return F.array_distinct(F.transform(F.filter(F.transform(F.flatten(cut), lambda x: F.rtrim(x)), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
 def add_tree(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds struct ``name``: root, sections, leaves (distinct leaf hashes)."""
-    nodes, secs = f"{name}_p", f"{name}_s"
-    leaves = F.array_distinct(F.transform(F.regexp_extract_all(F.col(text), F.lit(LEAF), F.lit(0)), lambda w: F.xxhash64(w)))
+    """Adds struct ``name``: root, sections (node, first paragraph, paragraph nodes), leaves (distinct leaf hashes)."""
+    nodes, ends, secs = f"{name}_p", f"{name}_e", f"{name}_s"
     df = df.withColumn(nodes, paragraphs(F.col(text)))
-    df = df.withColumn(secs, sections(F.col(nodes)))
-    tree = F.struct(F.sha2(F.array_join(secs, ""), 256).alias("root"), F.col(secs).alias("sections"), leaves.alias("leaves"))
-    return df.withColumn(name, tree).drop(nodes, secs)
+    df = df.withColumn(ends, section_ends(F.col(nodes))).withColumn(secs, spans(F.col(nodes), F.col(ends)))
+    tree = F.struct(F.sha2(F.array_join(F.col(f"{secs}.node"), ""), 256).alias("root"), F.col(secs).alias("sections"), leaf_hashes(F.col(text)).alias("leaves"))
+    return df.withColumn(name, tree).drop(nodes, ends, secs)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -64,10 +84,17 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.col(f"{a}.root") == F.col(f"{b}.root"), 1.0).otherwise(F.least(dice, F.lit(0.999999)))
 
 
-def differing(text_a: Column, text_b: Column) -> Column:
-    """Paragraph numbers (from 0) of ``text_a`` whose node is not in ``text_b``'s tree."""
-    pa, pb = paragraphs(text_a), paragraphs(text_b)
-    return F.filter(F.sequence(F.lit(0), F.size(pa) - 1), lambda i: ~F.array_contains(pb, F.get(pa, i)))
+def differing(a: str, b: str) -> Column:
+    """Paragraph numbers (from 0) at which tree ``a`` differs from tree ``b``, rising."""
+
+    def apart(x: str, y: str) -> Column:
+        there = F.col(f"{y}.sections.node")
+        return F.filter(F.col(f"{x}.sections"), lambda s: ~F.array_contains(there, s["node"]))
+
+    others = F.flatten(F.transform(apart(b, a), lambda s: s["nodes"]))
+    places = F.transform(apart(a, b), lambda s: F.filter(
+        F.transform(s["nodes"], lambda n, i: F.when(~F.array_contains(others, n), s["first"] + i)), lambda i: i.isNotNull()))
+    return F.when(F.col(f"{a}.root") == F.col(f"{b}.root"), F.array().cast("array<int>")).otherwise(F.flatten(places))
 
 
 def neighbour_bucket(rows: DataFrame, key: str) -> Column:
@@ -124,7 +151,8 @@ def op2_merkle_fingerprints(spark, sf_dir):
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         F.col("tree.root").alias("fingerprint"), F.col("edited_tree.root").alias("edited_fingerprint"),
         likeness("tree", "edited_tree").alias("near_edited"), likeness("tree", "next.tree").alias("near_next"),
-        F.size(F.array_except("edited_tree.sections", "tree.sections")).cast("long").alias("edited_sections"),
+        F.size(F.array_except("edited_tree.sections.node", "tree.sections.node")).cast("long").alias("edited_sections"),
+        F.array_join(F.transform(differing("edited_tree", "tree"), lambda i: i.cast("string")), ",").alias("edited_paragraphs"),
     )
 
 
@@ -138,13 +166,24 @@ s AS (SELECT *, coalesce(sum(CASE WHEN substr(h, 1, 1) IN ('0', '8') THEN 1 ELSE
              OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sec FROM p),
 q AS (SELECT doc_id, k, sec, sha256(string_agg(h, '' ORDER BY i)) AS h FROM s GROUP BY ALL),
 r AS (SELECT doc_id, k, sha256(string_agg(h, '' ORDER BY sec)) AS root, list(h) AS hs FROM q GROUP BY ALL),
-l AS (SELECT doc_id, k, list_distinct(regexp_extract_all(x, '[^ \t\n\x0B\f\r]+(?:[ \t\x0B\f\r]+[^ \t\n\x0B\f\r]+){0,3}')) AS lv FROM v),
-j AS (SELECT e.doc_id, t, ed, a.root AS r0, b.root AS r1, c.root AS r2, x.lv AS l0, y.lv AS l1, z.lv AS l2, a.hs AS h0, b.hs AS h1
+w AS (SELECT doc_id, k, i, unnest(range(len(ws))) AS j, unnest(ws) AS word FROM (
+  SELECT doc_id, k, i, regexp_extract_all(line, '[^ \t\x0B\f\r]+') AS ws FROM (
+    SELECT doc_id, k, unnest(range(len(string_split(x, chr(10))))) AS i, unnest(string_split(x, chr(10))) AS line FROM v))),
+g AS (SELECT *, coalesce(sum(CASE WHEN (unicode(right(word, 1)) + length(word)) % 4 = 0 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id, k, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS leaf FROM w),
+y AS (SELECT doc_id, k, i, leaf, string_agg(word, ' ' ORDER BY j) AS x FROM g GROUP BY ALL),
+l AS (SELECT v.doc_id, v.k, coalesce(list(DISTINCT y.x) FILTER (WHERE y.x IS NOT NULL), []) AS lv FROM v LEFT JOIN y ON y.doc_id = v.doc_id AND y.k = v.k GROUP BY ALL),
+j AS (SELECT e.doc_id, t, ed, a.root AS r0, b.root AS r1, c.root AS r2, x.lv AS l0, y1.lv AS l1, z.lv AS l2, a.hs AS h0, b.hs AS h1
       FROM e JOIN r a ON a.doc_id = e.doc_id AND a.k = 0 JOIN r b ON b.doc_id = e.doc_id AND b.k = 1 JOIN r c ON c.doc_id = e.doc_id AND c.k = 2
-      JOIN l x ON x.doc_id = e.doc_id AND x.k = 0 JOIN l y ON y.doc_id = e.doc_id AND y.k = 1 JOIN l z ON z.doc_id = e.doc_id AND z.k = 2)
-SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(ed) AS edited_sha256, r0 AS fingerprint, r1 AS edited_fingerprint,
+      JOIN l x ON x.doc_id = e.doc_id AND x.k = 0 JOIN l y1 ON y1.doc_id = e.doc_id AND y1.k = 1 JOIN l z ON z.doc_id = e.doc_id AND z.k = 2),
+sq AS (SELECT s.doc_id, s.k, s.i, s.h, q.h AS node FROM s JOIN q ON q.doc_id = s.doc_id AND q.k = s.k AND q.sec = s.sec WHERE s.k < 2),
+pa AS (SELECT n.doc_id, n.k, n.i, n.h FROM sq n WHERE NOT EXISTS (SELECT 1 FROM q o WHERE o.doc_id = n.doc_id AND o.k = 1 - n.k AND o.h = n.node)),
+pl AS (SELECT doc_id, string_agg(CAST(i - 1 AS VARCHAR), ',' ORDER BY i) AS places FROM pa n WHERE k = 1
+       AND NOT EXISTS (SELECT 1 FROM pa o WHERE o.doc_id = n.doc_id AND o.k = 0 AND o.h = n.h) GROUP BY doc_id)
+SELECT j.doc_id, length(t)::BIGINT AS n_chars, sha256(ed) AS edited_sha256, r0 AS fingerprint, r1 AS edited_fingerprint,
   CASE WHEN r0 = r1 THEN 1.0::DOUBLE ELSE least(2.0::DOUBLE * len(list_intersect(l0, l1)) / greatest(len(l0) + len(l1), 1), 0.999999::DOUBLE) END AS near_edited,
   CASE WHEN r0 = r2 THEN 1.0::DOUBLE ELSE least(2.0::DOUBLE * len(list_intersect(l0, l2)) / greatest(len(l0) + len(l2), 1), 0.999999::DOUBLE) END AS near_next,
-  len(list_filter(list_distinct(h1), lambda u: NOT list_contains(h0, u)))::BIGINT AS edited_sections
-FROM j
+  len(list_filter(list_distinct(h1), lambda u: NOT list_contains(h0, u)))::BIGINT AS edited_sections,
+  CASE WHEN r0 = r1 THEN '' ELSE coalesce(places, '') END AS edited_paragraphs
+FROM j LEFT JOIN pl ON pl.doc_id = j.doc_id
 """
