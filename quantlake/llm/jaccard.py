@@ -8,8 +8,8 @@ The result is each document's set size and component, exact for every link.
    the data needs) and kept as log2 levels in a table of fixed size: a global order, rarest first.
    The table only orders; the join is exact for any table.
 3. Index lists: a set of n shingles is listed under the first n - ceil(t n) + 1 of that order; two linked sets share one
-   of these. Shingles that occur once are left out. Lists are sorted by size and skipped by blocks: once sizes or
-   positions rule a whole block out, none of its sets is looked at.
+   of these. Shingles that occur once are left out. Lists are sorted by size, then position, and met block by block: a
+   pair of blocks is skipped if sizes, or the most elements that any of their sets has behind its position, rule out every link.
    A pair of a list is passed on if its sizes, its positions and the two sets' parity bitmaps (512 bits; bits that differ
    are at most the elements that differ) allow a link.
 4. Answers from similar sets: classes first meet, by four min-hashes, a leader each, the one with the fewest shingles of
@@ -19,7 +19,8 @@ The result is each document's set size and component, exact for every link.
 
 Scale: texts are read in place three times; only shingle counts, list entries of shared rare shingles and the sets
 of candidate classes move. A list longer than LIST_ROWS is split into blocks that meet pairwise, each in its own
-group. Copies, and near copies of one leader, never expand into pairs.
+group. Copies, and near copies of one leader, never expand into pairs; ``link_counts``, which asks for every link, lists pairs
+of classes (not of copies) inside components too.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and link with nothing; fewer words
 than a shingle: the whole sequence is the one shingle; repeated rows are one class; rows with a null id
@@ -48,8 +49,6 @@ RUN_ROWS = 200_000
 BLOCK = 256
 PARITY = 512
 
-ENTRY = "token long, cls long, n int, pos int"
-
 
 def class_of(s: np.ndarray) -> int:
     """64-bit id of a set, as a signed number."""
@@ -99,11 +98,15 @@ def listed_pairs(cls: np.ndarray, n: np.ndarray, pos: np.ndarray, comp: np.ndarr
     cls, n, pos, comp, bits = cls[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order], bits[order]
     if (comp == comp[0]).all():
         return
-    for a in range(0, len(cls), BLOCK):
+    starts = np.arange(0, len(cls), BLOCK)
+    rest = np.maximum.reduceat(n - pos, starts)  # of each block, the most that a set can still share
+    for a in starts.tolist():
         i = slice(a, min(a + BLOCK, len(cls)))
         # sizes beyond this are ruled out for the whole block, so later blocks are skipped
         last = np.searchsorted(n, n[i][-1] * 100 // percent, "right")
         for b in range(a, last, BLOCK):
+            if min(rest[a // BLOCK], rest[b // BLOCK]) < min_overlap(n[a], n[b], percent):  # sizes rise, so these ask for least
+                continue
             j = slice(b, min(b + BLOCK, last))
             other = comp[i][:, None] != comp[j][None, :]
             if a == b:
@@ -168,13 +171,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").withColumn("common", common("ia", "ib")).drop("ia", "ib")
 
 
-def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, lower: bool = True,
-) -> DataFrame:
-    """doc_id, rk, n_shingles, component_id, component of every row of ``docs``.
-
-    ``rk`` is the row's key of (id, text), ``component`` a number that rows share exactly if links join them.
-    """
+def joined_classes(
+    docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, lower: bool, every: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, rk, cls, n) and links (a, b) between classes of equal sets: enough of them to connect each component, or
+    ``every`` one."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), whole_text(text_col).alias("text"))
 
@@ -256,7 +257,10 @@ def jaccard_components(
     blocks = F.ceil(F.pow(F.lit(2.0), F.col("level") + 1) / LIST_ROWS).cast("int")
     mine = F.pmod(F.xxhash64("cls", F.lit(5)), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    listed = entries.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    if every:
+        listed = entries.withColumn("component", F.col("cls"))
+    else:
+        listed = entries.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     listed = listed.withColumn("mine", mine).withColumn("other", other).select(
         "token", "cls", "n", "pos", "component", "bits", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"))
     listed = listed.repartition("token", "g1", "g2").sortWithinPartitions("token", "g1", "g2", "cls")
@@ -299,6 +303,17 @@ def jaccard_components(
                               ((apart - F.col("off")) * (100 + percent) <= most).alias("maybe")), "told")
     rest = linked(verified(told.where("maybe and not sure").select("a", "b"), sets)).select("a", "b")
     edges = close.select("a", "b").unionAll(told.where("sure").select("a", "b")).unionAll(rest)
+    return rows, edges
+
+
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, lower: bool = True,
+) -> DataFrame:
+    """doc_id, rk, n_shingles, component_id, component of every row of ``docs``.
+
+    ``rk`` is the row's key of (id, text), ``component`` a number that rows share exactly if links join them.
+    """
+    rows, edges = joined_classes(docs, id_col, text_col, size, percent, lower, every=False)
     final = connected_components(edges)
 
     ids = rows.groupBy("cls").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")).where("n > 0")
@@ -311,6 +326,20 @@ def jaccard_components(
                       F.coalesce("component", "rk").alias("component"))
 
 
+def link_counts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, lower: bool = True,
+) -> DataFrame:
+    """doc_id, rk, n_shingles, class_id (rows of equal sets share it), n_links (other rows that this one links with) of every row."""
+    rows, edges = joined_classes(docs, id_col, text_col, size, percent, lower, every=True)
+    pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sizes = rows.where("n > 0").groupBy("cls").agg(F.count("*").alias("copies"))
+    both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(sizes.toDF("b", "copies"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("copies").alias("near"))
+    counts = sizes.join(near, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    out = rows.select("doc_id", "rk", "cls", "n").join(counts, "cls", "left")
+    return out.select("doc_id", "rk", F.col("n").cast("long").alias("n_shingles"), F.col("cls").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component of ``docs``: that of the smallest id, null ids last, ties by the hash of id and text.
 

@@ -1,6 +1,6 @@
 """Repeated-line removal by overlapping three-line windows (operator 10).
 
-Every run of three consecutive lines is hashed (128 bits). A window that occurs more than once anywhere
+Every run of three consecutive lines is hashed (96 bits). A window that occurs more than once anywhere
 keeps its first occurrence, in the order (doc_id, row key, line); every later occurrence marks its three
 lines, and the marked positions of a document merge into one set that is cut out.
 

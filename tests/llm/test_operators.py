@@ -322,6 +322,24 @@ def near_copies(rng, n):
     return out
 
 
+def test_blocks_of_a_list_are_skipped_by_position(monkeypatch):
+    """Pairs of one list equal those of all pairs; blocks whose sets have too little left are not looked at."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rng = np.random.default_rng(5)
+    m = 400
+    n = rng.integers(40, 60, m)
+    pos = rng.integers(0, 25, m)
+    bits = np.zeros((m, jaccard.PARITY // 64), np.uint64)
+    ids = np.arange(m)
+    looked = []
+    may = jaccard.may_link
+    monkeypatch.setattr(jaccard, "may_link", lambda *a: (looked.append(len(a[0])), may(*a))[1])
+    got = {tuple(sorted(p)) for x, y in jaccard.listed_pairs(ids, n, pos, ids, bits, 85) for p in zip(x.tolist(), y.tolist())}
+    i, j = np.triu_indices(m, 1)
+    ok = (np.minimum(n[i], n[j]) * 100 >= 85 * np.maximum(n[i], n[j])) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= jaccard.min_overlap(n[i], n[j], 85))
+    assert got >= set(zip(i[ok].tolist(), j[ok].tolist())) and sum(looked) < 0.5 * len(i)
+
+
 @pytest.mark.parametrize("rows", [8192, 4])
 def test_jaccard_components_match_brute_force(spark, monkeypatch, rows):
     monkeypatch.setattr(jaccard, "LIST_ROWS", rows)
@@ -338,6 +356,9 @@ def test_jaccard_components_match_brute_force(spark, monkeypatch, rows):
                 comp = [a if c == b else c for c in comp]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs(spark, texts), size=3, percent=80).collect()}
     assert got == {i: (len(s), comp[i]) for i, s in enumerate(sets)}
+    links = {i: sum(100 * len(s & t) >= 80 * len(s | t) for j, t in enumerate(sets) if i != j and s) for i, s in enumerate(sets)}
+    counted = {r["doc_id"]: r["n_links"] for r in jaccard.link_counts(docs(spark, texts), size=3, percent=80).collect()}
+    assert counted == links and max(links.values()) > 3
     if rows == 4:
         kept = jaccard.first_of_groups(docs(spark, texts), size=3, percent=80).collect()
         assert sorted(r["doc_id"] for r in kept) == sorted(set(comp))
