@@ -59,10 +59,10 @@ def test_state_equals_batch_view_after_disorder_and_restart(spark, tmp_root):
 
 def test_state_is_dropped_behind_the_watermark(spark, tmp_root):
     src = f"{tmp_root}/src"
-    feed(spark, src, [[tick(s, day * 1440 + 60, 1.0) for s in "ABCDE"] for day in range(20)])
+    feed(spark, src, [[tick(s, day * 1440 + 60, 1.0) for s in "ABCDE"] for day in range(10)])
     q = run(spark, src, lambda t: start_latest_ticks(t, f"{tmp_root}/latest", f"{tmp_root}/ckpt", late="1 day", available_now=True))
     kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
-    assert max(kept) <= 6 * 5 and read_latest_ticks(spark, f"{tmp_root}/latest").count() == 100    # of 20 days
+    assert max(kept) <= 6 * 5 and read_latest_ticks(spark, f"{tmp_root}/latest").count() == 50    # of 10 days
 
 
 def test_replayed_records_land_once(spark, tmp_root):

@@ -39,7 +39,8 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-WRITERS = ("raw_partition_scan", "registered_views", "table_statistics", "stream_tick_sink", "lake_roundtrip", "catalog_repair")
+WRITERS = ("raw_partition_scan", "registered_views", "table_statistics", "stream_tick_sink", "lake_roundtrip", "catalog_repair",
+           "lake_incremental", "latest_day_bars", "partition_statistics", "stream_latest_ticks", "stream_live_kpis", "stream_dedup_sink")
 
 
 def written_frames(spark, sf_dir):
