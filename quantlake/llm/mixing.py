@@ -12,7 +12,8 @@
 Scale: texts are read once and kept as hashed words (one int each). Training counts are a map-side combined
 aggregate of at most FEATURES x (targets + 1) numbers; that table is what is broadcast. Each gradient step is one
 aggregate over (weight, posterior) rows that returns one number per domain. Rounds are expressions over the
-stored posteriors; every STORE_EVERY of them the rates are written, so plans stay short.
+stored posteriors; every STORE_EVERY of them the rates are written, so plans stay short. A round's moves are data, so
+rounds add no compiled code to the driver and the executors.
 
 Defined cases: null text is empty and has the prior as posterior and no tokens; rows equal in id and text share
 a rate; a domain that no document belongs to is left out and the targets of the others rescaled; labelled
@@ -27,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quantlake.llm.common import row_key, stored, table, whole_text
 
@@ -87,13 +89,6 @@ def posteriors(words: DataFrame, model: tuple[list[str], DataFrame, list[float]]
     return both.select("rk", "rows", "n", F.transform("e", lambda x: x / F.col("z")).alias("p"))
 
 
-def _dot(weights: np.ndarray) -> Column:
-    out = F.lit(0.0)
-    for k, w in enumerate(weights):
-        out = out + F.get("p", F.lit(k)) * float(w)
-    return out
-
-
 def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = None, floor: float = 0.0) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """``members`` (rk, rows, n, p) with ``rate``; the targets and the totals reached. A share that is nan is the one that
     the domain has at rate 1; the others then divide the rest.
@@ -103,12 +98,29 @@ def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = Non
     dims = len(shares)
     weight, p = F.col("rows") * F.col("n"), [F.get("p", F.lit(k)) for k in range(dims)]
 
+    def stepped(rows: DataFrame, moves: list[np.ndarray]) -> DataFrame:
+        """``rows`` with ``rate``: r after the moves. They come as a row of data, filled up to STORE_EVERY with moves of
+        nothing, not as constants of the expression: every round then runs the code that the first one compiled."""
+        if not moves:
+            return rows.withColumn("rate", F.col("r"))
+        flat = np.concatenate([*moves, np.zeros((STORE_EVERY - len(moves)) * dims)]).tolist()
+        names = [[f"move{k}_{i}" for i in range(dims)] for k in range(STORE_EVERY)]
+        schema = StructType([StructField(n, DoubleType(), False) for one in names for n in one])
+        rate = F.col("r")
+        for one in names:
+            dot = F.lit(0.0)
+            for i in range(dims):
+                dot = dot + p[i] * F.col(one[i])
+            rate = F.greatest(F.lit(float(floor)), rate - dot)
+        # one row is broadcast
+        return rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([flat], schema))).select(*rows.columns, rate.alias("rate"))
+
     def measured(rows: DataFrame, rate: Column, on: Column) -> tuple[np.ndarray, np.ndarray]:
         """Expected totals at ``rate``, and the Gram matrix of the rows that ``on`` marks."""
-        w = F.when(on, weight).otherwise(0.0)
+        rows = rows.select((weight * rate).alias("w"), F.when(on, weight).otherwise(0.0).alias("v"), "p")
         sums = rows.agg(
-            *[F.coalesce(F.sum(weight * rate * p[k]), F.lit(0.0)).alias(f"t{k}") for k in range(dims)],
-            *[F.coalesce(F.sum(w * p[i] * p[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i in range(dims) for j in range(i, dims)]).first()
+            *[F.coalesce(F.sum(F.col("w") * p[k]), F.lit(0.0)).alias(f"t{k}") for k in range(dims)],
+            *[F.coalesce(F.sum(F.col("v") * p[i] * p[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i in range(dims) for j in range(i, dims)]).first()
         gram = [[sums[f"m{min(i, j)}_{max(i, j)}"] for j in range(dims)] for i in range(dims)]
         return np.array([sums[f"t{k}"] for k in range(dims)]), np.array(gram)
 
@@ -123,19 +135,18 @@ def fit_rates(members: DataFrame, shares: np.ndarray, budget: float | None = Non
     if budget is not None and budget < 0:
         budget = max(t / s for t, s in zip(totals, shares) if s > 0)
     goal = shares * (tokens if budget is None else budget)
-    state, rate, gram, best = members.withColumn("r", F.lit(1.0)), F.col("r"), whole, np.inf
-    for step in range(1, MAX_ROUNDS + 1):
+    state, moves, gram, best = members.withColumn("r", F.lit(1.0)), [], whole, np.inf
+    for _ in range(MAX_ROUNDS):
         off = np.abs(totals - goal).max()
         if off <= TOLERANCE * goal.sum():
             break
         metric = gram if off < best else whole
         best = min(best, off)
-        move = np.linalg.solve(metric + RIDGE * np.eye(dims) * max(np.trace(whole), 1e-12), totals - goal)
-        rate = F.greatest(F.lit(float(floor)), rate - _dot(move))
-        if step % STORE_EVERY == 0:
-            state, rate = stored(state.withColumn("r", rate), "rates"), F.col("r")
-        totals, gram = measured(state, rate, rate > floor)
-    return state.withColumn("rate", rate).drop("r"), goal, totals
+        moves.append(np.linalg.solve(metric + RIDGE * np.eye(dims) * max(np.trace(whole), 1e-12), totals - goal))
+        if len(moves) == STORE_EVERY:
+            state, moves = stored(stepped(state, moves).drop("r").withColumnRenamed("rate", "r"), "rates"), []
+        totals, gram = measured(stepped(state, moves), F.col("rate"), F.col("rate") > floor)
+    return stepped(state, moves).drop("r"), goal, totals
 
 
 def mix(

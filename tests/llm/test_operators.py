@@ -208,6 +208,20 @@ def test_rates_meet_targets(spark):
         assert np.abs(reached - goal).max() < 2e-3 * goal.sum()
 
 
+def test_rounds_run_code_that_is_compiled_once(spark):
+    rng = np.random.default_rng(5)
+    members = spark.createDataFrame(
+        [(i, 1, float(20 + i % 40), p) for i, p in enumerate(rng.dirichlet([0.4] * 3, 60).tolist())], "rk long, rows long, n double, p array<double>")
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    made = []
+    for shares in ([0.7, 0.2, 0.1], [0.1, 0.65, 0.25]):
+        before = compiled.getCount()
+        rated, goal, totals = mixing.fit_rates(members, np.array(shares))
+        assert np.abs(goal - totals).max() <= 1e-4 * goal.sum() and {r["rate"] for r in rated.collect()} != {1.0}
+        made.append(compiled.getCount() - before)
+    assert made[1] == 0, made
+
+
 def test_domains_are_learnt(spark):
     texts = [" ".join(random.Random(i).choices(["chat", "chien", "maison"] if i % 3 else ["dog", "cat", "house"], k=30)) for i in range(120)]
     labelled = spark.createDataFrame([(i, "fr" if i % 3 else "en") for i in range(60)], "doc_id long, domain string")
