@@ -214,6 +214,7 @@ def joined_classes(
 
     schema = "doc_id long, rk long, cls long, n int, rare int, low array<long>, token long, pos int, level int, bits binary"
     both = stored(texts.mapInPandas(index, schema), "shingle-index")
+    levels.destroy()
     rows = both.where("token is null").select("doc_id", "rk", "cls", "n", "rare", "low")
     entries = both.where("token is not null").select("token", "cls", "n", "pos", "level", "bits")
 
@@ -244,6 +245,7 @@ def joined_classes(
 
     sets = texts.select("text").mapInPandas(whole_sets, "cls long, n int, items binary")
     sets = stored(sets.dropDuplicates(["cls"]), "sets")
+    wanted.destroy()
 
     def linked(df: DataFrame) -> DataFrame:
         return df.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)

@@ -143,6 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 np.array([place.value[f] for f in fs if f in place.value], dtype=np.int32).tobytes() for fs in b["feats"]]})
 
     got = sample.mapInPandas(indexed, "p boolean, u boolean, x binary").collect()
+    place.destroy()
     x, y = [], []
     for r in sorted(got, key=lambda r: (r["p"], r["u"], r["x"])):  # a confirmed row of the unlabelled sample is in both
         for on, kind in ((r["p"], 1), (r["u"], 0)):

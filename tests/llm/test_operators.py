@@ -378,6 +378,17 @@ def test_jaccard_components_match_brute_force(spark, monkeypatch, rows):
         assert sorted(r["doc_id"] for r in kept) == sorted(set(comp))
 
 
+def test_tables_sent_to_tasks_are_freed(spark, monkeypatch):
+    prepare(spark)
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(send(x)) or sent[-1])
+    words = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(i, words + " " + str(i % 3)) for i in range(9)], "doc_id long, text string")
+    rows, edges = jaccard.joined_classes(df, "doc_id", "text", 4, 50, True, every=False)
+    assert len(sent) == 2 and not any(b._jbroadcast.isValid() for b in sent)
+    assert rows.count() == 9 and edges.count() > 0
+
+
 def test_knn_sends_queries_only_where_they_can_win(spark, monkeypatch):
     """Four far clusters in eight groups: a query goes to those around its own."""
     rng = np.random.default_rng(3)
