@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quantlake.llm.common import prepare, row_key, stored, table, whole_text
 from quantlake.llm.components import connected_components
-from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter
+from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter, sent
 from quantlake.llm.wordhash import Words, scramble, shingle_sets
 
 SHINGLE, PERCENT = 5, 80
@@ -183,7 +183,7 @@ def joined_classes(
         sets = list(shingle_sets(Words(lower), texts, size))
         return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
 
-    levels = spark.sparkContext.broadcast(count_levels(texts.select("text"), shingles, LEVEL_BITS, 5))
+    levels = sent(spark, count_levels(texts.select("text"), shingles, LEVEL_BITS, 5))
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = Words(lower), set()
@@ -228,7 +228,7 @@ def joined_classes(
     stars = stored(stars.where(fits).select("a", "b").distinct(), "stars")
 
     # whole sets, of the classes that any pair could need
-    wanted = spark.sparkContext.broadcast(member_filter(
+    wanted = sent(spark, member_filter(
         stars.select(F.col("a").alias("cls")).unionAll(stars.select("b")).unionAll(entries.select("cls")).distinct(), "cls"))
 
     def whole_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.llm.common import prepare, row_key, stored, table, whole_text
-from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter
+from quantlake.llm.counts import count_levels, level_of, may_be_members, member_filter, sent
 from quantlake.llm.fmindex import FMIndex
 from quantlake.llm.wordhash import Words, joined, scramble
 
@@ -120,7 +120,7 @@ def covered_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def grams(batch) -> np.ndarray:
         return Segments(Words(), batch, window, gram).gram.astype(np.uint64)
 
-    levels = spark.sparkContext.broadcast(count_levels(texts.select("text"), grams, LEVEL_BITS, 40))
+    levels = sent(spark, count_levels(texts.select("text"), grams, LEVEL_BITS, 40))
 
     def cut(words: Words, b: pd.DataFrame):
         """Segments of a batch that could repeat: text, first word, length, segment id and the hash that deals them."""
@@ -163,7 +163,7 @@ def covered_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pd.DataFrame({"pk": place_key(*(b[c].to_numpy() for c in ("seg", "rk", "start")))})
 
     # a segment's words are sent from its first place only
-    wanted = spark.sparkContext.broadcast(member_filter(index.select("seg", "rk", "start").mapInPandas(keyed, "pk long"), "pk"))
+    wanted = sent(spark, member_filter(index.select("seg", "rk", "start").mapInPandas(keyed, "pk long"), "pk"))
 
     def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = Words(), set()
@@ -201,7 +201,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cuts = covered_stretches(docs, id_col, text_col, window).groupBy("rk").agg(F.collect_list(F.struct("start", "length")).alias("cuts"))
     cuts = stored(cuts, "cuts")
     # texts without cuts are finished where they are read; only the others (and a few that the filter lets through) move
-    touched = docs.sparkSession.sparkContext.broadcast(member_filter(cuts, "rk"))
+    touched = sent(docs.sparkSession, member_filter(cuts, "rk"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"), row_key(id_col, text_col).alias("rk"))
     cuts = cuts.select("rk", F.col("cuts.start").alias("starts"), F.col("cuts.length").alias("lengths"))
 

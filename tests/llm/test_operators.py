@@ -389,6 +389,38 @@ def test_tables_sent_to_tasks_are_freed(spark, monkeypatch):
     assert rows.count() == 9 and edges.count() > 0
 
 
+def test_tables_pass_the_driver_compressed(spark, monkeypatch):
+    """Levels of hashes and member bits, against counting; of 16 MB each, no more than 1 MB comes in or goes out."""
+    import pickle
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from quantlake.llm import counts
+
+    came, went, collect = [], [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: came.append(collect(self)) or came[-1])
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x, send=spark.sparkContext.broadcast: went.append(len(pickle.dumps(x, 5))) or send(x))
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    h = np.concatenate([h, h[:500], np.repeat(h[:9], 40)])
+    df = spark.createDataFrame([(" ".join(map(str, x)),) for x in h.reshape(-1, 2).tolist()], "text string").repartition(3)
+    hashes = lambda texts: np.array([x for t in texts for x in t.split()], np.uint64)
+    levels = counts.count_levels(df, hashes, 24, 5)
+    want = np.zeros(1 << 24, np.uint8)
+    for x, n in collections.Counter(h.tolist()).items():
+        want[x >> 40] = max(want[x >> 40], int(np.log2(n)))
+    assert (levels == want).all()
+    keys = h.view(np.int64)
+    bits = counts.member_filter(spark.createDataFrame([(x,) for x in keys.tolist()], "k long").repartition(3), "k")
+    assert len(bits) == 1 << 24 and counts.may_be_members(bits, keys).all() and np.bitwise_count(bits).sum() == len(set((h >> np.uint64(37)).tolist()))
+    assert sum(len(v) for rows in came for r in rows for v in r if isinstance(v, (bytes, bytearray))) < 1 << 20
+    for table in (levels, bits):
+        b = counts.sent(spark, table)
+        got = spark.sparkContext.parallelize([0], 1).map(lambda _: (type(b.value).__name__, len(b.value), int(b.value.sum()))).first()
+        assert got == ("ndarray", 1 << 24, int(table.sum()))
+    assert len(went) >= 2 and max(went) < 1 << 20
+
+
 def test_knn_sends_queries_only_where_they_can_win(spark, monkeypatch):
     """Four far clusters in eight groups: a query goes to those around its own."""
     rng = np.random.default_rng(3)
